@@ -18,7 +18,7 @@ COUNTRY_START, COUNTRY_END = "2024-01-05", "2024-01-25"
 
 GEO_TRAIL_DEPTH, GEO_TRAIL_KM, GEO_TRAIL_DAYS = 4, 500.0, 2
 CITY_TRAIL_DEPTH, CITY_TRAIL_DAYS = 4, 2
-CAP_TRAIL_DEPTH, CAP_TRAIL_KM, CAP_TRAIL_DAYS = 3, 300.0, 3
+CAP_TRAIL_DEPTH, CAP_TRAIL_KM, CAP_TRAIL_DAYS = 2, 300.0, 3
 TWO_HOP_KM = 500.0
 
 GRAPH_DEPTH, GRAPH_KM = 3, 300.0
@@ -28,4 +28,7 @@ RELATED_DEPTH, RELATED_KM = 6, 300.0
 
 ENRICH_KM = 50.0
 
+HOP_KM = 300.0
+GAP_DAYS = 5
+
 DIGITS = 3

@@ -1,9 +1,11 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per key.
 
 Every query reads the driver's tables through the fixture event view and
-runs over the whole of them; parameters live in :mod:`.params` and are
-shared with the oracle SQL in :mod:`.oracle`. Output columns are scalar
-(no arrays, no 32-bit floats) and aliased identically on both sides.
+runs over the whole of them; trail roots are derived from the data (each
+actor's latest event, or ``params.ACTOR``'s). Parameters live in
+:mod:`.params` and are shared with the oracle SQL in :mod:`.oracle`.
+Output columns are scalar (no arrays, no 32-bit floats) and aliased
+identically on both sides.
 """
 
 from __future__ import annotations
@@ -14,19 +16,295 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import params as P
-from .plans import search
-from .sources.fixture import fixture_events
+from .functions.dates import abs_day_gap
+from .functions.geo import haversine_km
+from .functions.labels import event_label
+from .operators.filters import by_actor, located, with_city
+from .operators.hops import hop_actor, hop_city, hop_geo
+from .operators.ranking import latest_per_actor
+from .plans import counts, graph, places, search, trails
+from .sources.events import parse_lines, to_lines, header_line
+from .sources.fixture import fixture_events, fixture_gazetteer
 
+SCALAR = ["e_id", "geo_name", "lat", "lon", "geonamesid", "time", "time_norm", "actor"]
 
-def _ev(spark: SparkSession, sf_dir: str, places: bool = True) -> DataFrame:
-    return fixture_events(spark, sf_dir, places=places)
+
+def _ev(spark: SparkSession, sf_dir: str, places_: bool = True) -> DataFrame:
+    return fixture_events(spark, sf_dir, places=places_)
+
+
+def _scalar(df: DataFrame, extra=()) -> DataFrame:
+    cols = [F.col(c).cast("double").alias(c) if c in ("lat", "lon") else F.col(c) for c in SCALAR]
+    return df.select(*cols, *extra)
+
+
+def _latest_of(ev: DataFrame, actor: str) -> DataFrame:
+    return latest_per_actor(by_actor(ev, actor))
+
+
+def _round(c: str) -> F.Column:
+    return F.round(F.col(c), P.DIGITS).alias(c)
+
+
+# ---- sources -------------------------------------------------------------
+
+
+def _raw_lines(spark, sf_dir, places_: bool) -> DataFrame:
+    ev = fixture_events(spark, sf_dir, places=places_, raw_blank=True)
+    header = spark.createDataFrame([(header_line(places_),)], "value string")
+    return header.unionByName(to_lines(ev, places=places_))
+
+
+def q_scan_events(spark, sf_dir):
+    return _scalar(parse_lines(_raw_lines(spark, sf_dir, False)))
+
+
+def q_scan_events_places(spark, sf_dir):
+    return _scalar(parse_lines(_raw_lines(spark, sf_dir, True), places=True), ["city", "country"])
+
+
+def q_parse_loc(spark, sf_dir):
+    ev = parse_lines(_raw_lines(spark, sf_dir, False))
+    return ev.select(
+        "e_id",
+        F.size("loc").alias("n_parts"),
+        F.get(F.col("loc"), 0).cast("double").alias("lat"),
+        F.get(F.col("loc"), 1).cast("double").alias("lon"),
+    )
+
+
+def q_blank_to_null(spark, sf_dir):
+    raw = parse_lines(_raw_lines(spark, sf_dir, True), places=True, keep_blank=True)
+    norm = parse_lines(_raw_lines(spark, sf_dir, True), places=True)
+    return raw.select("e_id", F.col("city").alias("city_raw")).join(
+        norm.select("e_id", "city", "country"), "e_id"
+    )
+
+
+def q_events_view_sql(spark, sf_dir):
+    _ev(spark, sf_dir, False).createOrReplaceTempView("eventtrails_events")
+    return spark.sql(
+        "SELECT CAST(e_id AS STRING) AS Id, "
+        "concat(actor, ' - ', geo_name, ' - ', CAST(time_norm AS STRING)) AS Label "
+        "FROM eventtrails_events"
+    )
+
+
+# ---- filters and scalars ---------------------------------------------------
+
+
+def q_located_events(spark, sf_dir):
+    return _scalar(located(_ev(spark, sf_dir, False)))
+
+
+def q_events_with_city(spark, sf_dir):
+    return with_city(_ev(spark, sf_dir)).select("e_id", "actor", "time_norm", "city")
+
+
+def q_haversine_km(spark, sf_dir):
+    ev = located(_ev(spark, sf_dir, False))
+    d = haversine_km("lat", "lon", F.lit(P.POINT_LAT), F.lit(P.POINT_LON))
+    return ev.select("e_id", F.round(d, P.DIGITS).alias("dist_km"))
+
+
+def q_event_label(spark, sf_dir):
+    return located(_ev(spark, sf_dir, False)).select("e_id", event_label().alias("Label"))
+
+
+# ---- searches ----------------------------------------------------------------
 
 
 def q_time_interval(spark, sf_dir):
     return search.time_interval(_ev(spark, sf_dir, False), P.INTERVAL_START, P.INTERVAL_END)
 
 
+def q_time_interval_open(spark, sf_dir):
+    return search.time_interval(_ev(spark, sf_dir, False), P.OPEN_START, None)
+
+
+def q_events_near_point(spark, sf_dir):
+    return search.events_near(
+        _ev(spark, sf_dir, False), P.POINT_LAT, P.POINT_LON, P.POINT_KM, start=P.POINT_START, digits=P.DIGITS
+    )
+
+
+def q_events_near_point_by_actor(spark, sf_dir):
+    return search.events_near(
+        _ev(spark, sf_dir, False), P.POINT_LAT, P.POINT_LON, P.POINT_KM, actor=P.ACTOR, digits=P.DIGITS
+    )
+
+
+def q_actor_countries(spark, sf_dir):
+    return search.actor_countries(_ev(spark, sf_dir), P.ACTOR, P.COUNTRY_START, P.COUNTRY_END)
+
+
+def q_actor_timeline(spark, sf_dir):
+    return search.actor_timeline(_ev(spark, sf_dir, False), P.ACTOR)
+
+
+def q_result_nodes(spark, sf_dir):
+    return search.to_nodes(
+        search.time_interval(_ev(spark, sf_dir, False), P.INTERVAL_START, P.INTERVAL_END, order=False)
+    )
+
+
+def q_latest_per_actor(spark, sf_dir):
+    return _scalar(latest_per_actor(located(_ev(spark, sf_dir, False))))
+
+
+def q_root_event(spark, sf_dir):
+    """All rows carrying the id of an actor's latest event (ids may repeat)."""
+    ev = located(_ev(spark, sf_dir, False))
+    ids = latest_per_actor(ev).select("e_id")
+    return _scalar(ev.join(ids, "e_id", "left_semi"))
+
+
+# ---- hops ------------------------------------------------------------------------
+
+
+def _hop_roots(spark, sf_dir, city=False):
+    ev = _ev(spark, sf_dir, city)
+    ev = with_city(ev) if city else located(ev)
+    keep = ["e_id", "time_norm", "actor", "lat", "lon"] + (["city"] if city else [])
+    ev = ev.select(*keep)
+    return ev, latest_per_actor(ev)
+
+
+def q_hop_actor(spark, sf_dir):
+    ev, roots = _hop_roots(spark, sf_dir)
+    return hop_actor(roots, ev).select("e_id", "time_norm", "actor", "e_id2", "time_norm2", "actor2")
+
+
+def q_hop_actor_outer(spark, sf_dir):
+    ev, roots = _hop_roots(spark, sf_dir)
+    return hop_actor(roots, ev, how="left").select("e_id", "time_norm", "actor", "e_id2", "time_norm2")
+
+
+def q_day_gap(spark, sf_dir):
+    ev, roots = _hop_roots(spark, sf_dir)
+    return hop_actor(roots, ev, max_days=P.GAP_DAYS).select("e_id", "e_id2", "date_diff")
+
+
+def q_hop_geo(spark, sf_dir):
+    ev, roots = _hop_roots(spark, sf_dir)
+    h = hop_geo(roots, ev, 1, P.HOP_KM, places=ev.select("lat", "lon"))
+    return h.select("e_id", "time_norm", "actor", "e_id2", "time_norm2", "actor2", _round("gps_diff"))
+
+
+def q_hop_city(spark, sf_dir):
+    ev, roots = _hop_roots(spark, sf_dir, city=True)
+    return hop_city(roots, ev).select("e_id", "city", "e_id2", "time_norm2", "actor2")
+
+
+# ---- trails ------------------------------------------------------------------------
+
+
+def q_trail_actor_geo(spark, sf_dir):
+    ev = located(_ev(spark, sf_dir, False))
+    return trails.trail(
+        ev, _latest_of(ev, P.ACTOR), P.GEO_TRAIL_DEPTH, "geo", P.GEO_TRAIL_KM, P.GEO_TRAIL_DAYS, digits=P.DIGITS
+    )
+
+
+def q_trail_actor_city(spark, sf_dir):
+    ev = with_city(_ev(spark, sf_dir))
+    return trails.trail(ev, _latest_of(ev, P.ACTOR), P.CITY_TRAIL_DEPTH, "city", max_days=P.CITY_TRAIL_DAYS)
+
+
+def q_trail_max_days(spark, sf_dir):
+    ev = located(_ev(spark, sf_dir, False))
+    return trails.trail(
+        ev, latest_per_actor(ev), P.CAP_TRAIL_DEPTH, "geo", P.CAP_TRAIL_KM, P.CAP_TRAIL_DAYS, digits=P.DIGITS
+    )
+
+
+def q_trail_two_hop(spark, sf_dir):
+    ev = located(_ev(spark, sf_dir, False))
+    return trails.trail_two_hop(ev, _latest_of(ev, P.ACTOR), P.TWO_HOP_KM)
+
+
+def q_abs_day_gap(spark, sf_dir):
+    ev = located(_ev(spark, sf_dir, False))
+    t = trails.trail_two_hop(ev, _latest_of(ev, P.ACTOR), P.TWO_HOP_KM)
+    return t.select("e_id2", "e_id3", abs_day_gap("time_norm2", "time_norm3").alias("time_diff"))
+
+
+# ---- graphs ----------------------------------------------------------------------------
+
+
+def _geo_graph(spark, sf_dir):
+    ev = located(_ev(spark, sf_dir, False))
+    return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.GRAPH_DEPTH, "geo", P.GRAPH_KM)
+
+
+def _city_graph(spark, sf_dir):
+    ev = with_city(_ev(spark, sf_dir))
+    return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.CITY_GRAPH_DEPTH, "city", max_days=P.CITY_GRAPH_DAYS)
+
+
+def q_trail_graph_nodes(spark, sf_dir):
+    return _geo_graph(spark, sf_dir)[0]
+
+
+def q_trail_graph_edges(spark, sf_dir):
+    return _geo_graph(spark, sf_dir)[1]
+
+
+def q_city_graph_nodes(spark, sf_dir):
+    return _city_graph(spark, sf_dir)[0]
+
+
+def q_city_graph_edges(spark, sf_dir):
+    return _city_graph(spark, sf_dir)[1]
+
+
+# ---- counts and enrichment --------------------------------------------------------------
+
+
+def q_most_related(spark, sf_dir):
+    return counts.most_related(_ev(spark, sf_dir, False), P.RELATED_DEPTH, P.RELATED_KM)
+
+
+def q_enrich_places(spark, sf_dir):
+    ev = _ev(spark, sf_dir, False)
+    out = places.enrich_places(ev, fixture_gazetteer(spark, sf_dir), P.ENRICH_KM)
+    return _scalar(out, ["city", "country"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "scan_events": q_scan_events,
+        "scan_events_places": q_scan_events_places,
+        "parse_loc": q_parse_loc,
+        "blank_to_null": q_blank_to_null,
+        "events_view_sql": q_events_view_sql,
+        "located_events": q_located_events,
+        "events_with_city": q_events_with_city,
+        "haversine_km": q_haversine_km,
+        "event_label": q_event_label,
         "time_interval": q_time_interval,
+        "time_interval_open": q_time_interval_open,
+        "events_near_point": q_events_near_point,
+        "events_near_point_by_actor": q_events_near_point_by_actor,
+        "actor_countries": q_actor_countries,
+        "actor_timeline": q_actor_timeline,
+        "result_nodes": q_result_nodes,
+        "latest_per_actor": q_latest_per_actor,
+        "root_event": q_root_event,
+        "hop_actor": q_hop_actor,
+        "hop_actor_outer": q_hop_actor_outer,
+        "day_gap": q_day_gap,
+        "hop_geo": q_hop_geo,
+        "hop_city": q_hop_city,
+        "trail_actor_geo": q_trail_actor_geo,
+        "trail_actor_city": q_trail_actor_city,
+        "trail_max_days": q_trail_max_days,
+        "trail_two_hop": q_trail_two_hop,
+        "abs_day_gap": q_abs_day_gap,
+        "trail_graph_nodes": q_trail_graph_nodes,
+        "trail_graph_edges": q_trail_graph_edges,
+        "city_graph_nodes": q_city_graph_nodes,
+        "city_graph_edges": q_city_graph_edges,
+        "most_related": q_most_related,
+        "enrich_places": q_enrich_places,
     }
