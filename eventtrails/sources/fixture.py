@@ -35,8 +35,18 @@ CITY_COUNT = 25
 GAZETTEER_SHIFT_DEG = 0.1
 
 
-def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("int")
+def _with_k(df: DataFrame, name: str) -> DataFrame:
+    """Add the JSON field ``k`` of ``props`` as int column ``name``.
+
+    ``json_tuple`` is a generator, so its output is computed once per row
+    and later filters are not rewritten to re-parse the JSON for every
+    reference to a derived column (which is what happens with a plain
+    ``get_json_object`` projection: Catalyst inlines it into each predicate).
+    """
+    keep = [c for c in df.columns if c != "props"]
+    return df.select(*keep, F.json_tuple(F.col("props"), "k").alias("_k_raw")).select(
+        *keep, F.col("_k_raw").cast("int").alias(name)
+    )
 
 
 def _grid_lat(k: Column) -> Column:
@@ -53,11 +63,11 @@ def fixture_events(spark: SparkSession, sf_dir: str, places: bool = True, raw_bl
     ``raw_blank=True`` keeps unknown city/country as a single space, the way
     the enricher writes them; the default is the normalised null.
     """
-    src = spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        F.col("event_id").cast("int").alias("e_id"),
-        F.col("ts"),
-        F.col("user_id"),
-        _k().alias("_k"),
+    src = _with_k(
+        spark.read.parquet(f"{sf_dir}/events.parquet").select(
+            F.col("event_id").cast("int").alias("e_id"), "ts", "user_id", "props"
+        ),
+        "_k",
     )
     k = F.col("_k")
     located = (k % UNLOCATED_EVERY) != 0
@@ -105,7 +115,7 @@ def fixture_gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     One row per distinct place key seen in ``events`` that is located, at
     the place's grid point shifted by ``GAZETTEER_SHIFT_DEG`` in both axes.
     """
-    keys = spark.read.parquet(f"{sf_dir}/events.parquet").select(_k().alias("place_id")).distinct()
+    keys = _with_k(spark.read.parquet(f"{sf_dir}/events.parquet").select("props"), "place_id").distinct()
     keys = keys.where(F.col("place_id") % UNLOCATED_EVERY != 0)
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("country")
