@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,18 +63,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def cut_lineage(df: DataFrame, enabled: bool | None = None) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    continue from the written table, cutting the lineage.
 
-    ``enabled=None`` checkpoints only if a checkpoint folder is configured;
+    ``enabled=None`` does so only if a checkpoint folder is configured;
     without one the frame is returned unchanged (still correct, only with a
-    longer lineage to recompute after a lost executor). Reliable
-    checkpoints survive executor loss; local checkpoints would not.
+    longer lineage to recompute after a lost executor). The written table
+    lives on the cluster's shared storage, so it survives executor loss, and
+    it is written by one job (an eager ``Dataset.checkpoint`` computes the
+    frame twice: once to count it and once to save it). Tables are left for
+    the owner of the folder to clean up, as Spark's checkpoints are.
     """
     spark = df.sparkSession
     if enabled is False:
         return df
-    if checkpoint_dir(spark) is None:
+    base = checkpoint_dir(spark)
+    if base is None:
         if enabled:
             raise RuntimeError("no checkpoint folder configured (spark.checkpoint.dir)")
         return df
-    return df.checkpoint(eager=True)
+    path = f"{base.rstrip('/')}/eventtrails-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
