@@ -5,6 +5,7 @@ from .geo import (
     EARTH_RADIUS_KM,
     cell_side_for_km,
     chord_for_km,
+    distance_km,
     grid_cell,
     haversine_km,
     unit_vector,
@@ -18,6 +19,7 @@ __all__ = [
     "chord_for_km",
     "date_lit",
     "day_gap",
+    "distance_km",
     "event_label",
     "grid_cell",
     "haversine_km",

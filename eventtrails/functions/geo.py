@@ -41,6 +41,9 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(a), F.sqrt(F.greatest(F.lit(0.0), 1 - a)))
 
 
+distance_km = haversine_km
+
+
 def chord_for_km(km: float) -> float:
     """Chord length on the unit sphere for a great-circle distance in km."""
     theta = min(float(km) / EARTH_RADIUS_KM, math.pi)

@@ -52,21 +52,26 @@ BASE_COLUMNS = ["e_id", "geo_name", "loc", "lat", "lon", "geonamesid", "time", "
 PLACE_COLUMNS = BASE_COLUMNS + ["city", "country"]
 
 
-def _strict(parsed: Column, raw: Column, what: str, mode: str) -> Column:
+def _strict(parsed: Column, raw: Column, what: str, mode: str, guard: Column | None = None) -> Column:
     """Fail the job on a malformed non-empty value (``mode='failfast'``).
 
     Independent of the session's ANSI setting: ``try_*`` parses to null and
     ``raise_error`` turns that into a task failure with the offending text.
+    ``guard`` limits the check to data rows: Catalyst may merge the header
+    filter with later predicates and evaluate them in any order, so the
+    check itself must not fire on a header line.
     """
     if mode == "permissive":
         return parsed
     if mode != "failfast":
         raise ValueError(f"mode must be 'failfast' or 'permissive', not {mode!r}")
     bad = raw.isNotNull() & (F.length(raw) > 0) & parsed.isNull()
+    if guard is not None:
+        bad = guard & bad
     return F.when(bad, F.raise_error(F.concat(F.lit(f"malformed {what}: "), raw))).otherwise(parsed)
 
 
-def parse_loc(raw, mode: str = "failfast") -> Column:
+def parse_loc(raw, mode: str = "failfast", guard: Column | None = None) -> Column:
     """``[u'lat lon']`` to ``array<float>``; short literals to an empty array.
 
     Drops the 3-character prefix and 2-character suffix, splits on single
@@ -76,10 +81,11 @@ def parse_loc(raw, mode: str = "failfast") -> Column:
     inner = raw.substr(F.lit(len(LOC_PREFIX) + 1), F.length(raw) - F.lit(len(LOC_PREFIX) + len(LOC_SUFFIX)))
     parts = F.split(inner, " ", -1)
     if mode == "failfast":
+        ok = F.lit(True) if guard is None else guard
         as_float = F.transform(
             parts,
             lambda p: F.when(
-                p.try_cast("float").isNull(), F.raise_error(F.concat(F.lit("malformed loc: "), raw))
+                ok & p.try_cast("float").isNull(), F.raise_error(F.concat(F.lit("malformed loc: "), raw))
             ).otherwise(p.try_cast("float")),
         )
     else:
@@ -118,22 +124,23 @@ def parse_lines(
     dropped wherever they occur; empty lines are skipped. Extra trailing
     fields are ignored, so a 9-column file reads fine as 7 columns.
     ``mode='failfast'`` aborts on malformed numbers or dates (as the original
-    does); ``'permissive'`` turns them into nulls.
+    does); ``'permissive'`` turns them into nulls. Checks run on the columns
+    a query actually reads: a malformed value in a column pruned from the
+    plan does not fail the job.
     """
     parts = F.split(F.col(column), FIELD_SEP, -1)
-    raw = lines.select(parts.alias("_f")).where(
-        (F.get(F.col("_f"), 0) != F.lit(HEADER_FIRST_FIELD)) & (F.length(F.get(F.col("_f"), 0)) > 0)
-    )
     f = lambda i: F.get(F.col("_f"), i)  # noqa: E731 - field accessor
+    is_row = (f(0) != F.lit(HEADER_FIRST_FIELD)) & (F.length(f(0)) > 0)
+    raw = lines.select(parts.alias("_f")).where(is_row)
     cols = [
-        _strict(f(0).try_cast("int"), f(0), "e_id", mode).alias("e_id"),
+        _strict(f(0).try_cast("int"), f(0), "e_id", mode, is_row).alias("e_id"),
         f(1).alias("geo_name"),
-        parse_loc(f(2), mode).alias("loc"),
-        _strict(f(3).try_cast("int"), f(3), "geonamesid", mode).alias("geonamesid"),
+        parse_loc(f(2), mode, is_row).alias("loc"),
+        _strict(f(3).try_cast("int"), f(3), "geonamesid", mode, is_row).alias("geonamesid"),
         f(4).alias("time"),
-        _strict(F.try_to_timestamp(f(5), F.lit(DATE_PATTERN)).cast("date"), f(5), "time_norm", mode).alias(
-            "time_norm"
-        ),
+        _strict(
+            F.try_to_timestamp(f(5), F.lit(DATE_PATTERN)).cast("date"), f(5), "time_norm", mode, is_row
+        ).alias("time_norm"),
         f(6).alias("actor"),
     ]
     if places:

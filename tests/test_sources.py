@@ -105,3 +105,15 @@ def test_fixture_view_shape(spark):
     ]
     row = ev.where(F.col("lat").isNull()).first()
     assert row.loc == [] and row.city is None and row.country is None
+
+
+def test_header_never_parsed_under_later_filters(spark):
+    # later predicates on parsed columns may be merged with the header filter
+    # and evaluated first; the strict parse must still ignore header lines
+    from eventtrails.plans.search import time_interval
+
+    src = lines(spark, HEADER7, "1;A;[u'1.0 2.0'];;t;2000-01-05;X", HEADER7, "2;B;[u'1.0 2.0'];;t;1999-13-05;X")
+    with pytest.raises(PySparkException):  # a malformed date still fails the job
+        time_interval(parse_lines(src), "2000-01-01", "2000-12-31").collect()
+    ok = lines(spark, HEADER7, "1;A;[u'1.0 2.0'];;t;2000-01-05;X", HEADER7)
+    assert [r.e_id for r in time_interval(parse_lines(ok), "2000-01-01", "2000-12-31").collect()] == [1]
