@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.filters import located, root as root_by_id, with_city
 from ..operators.hops import hop_actor, hop_city, hop_geo, step_suffix
+from ..session import cut_lineage
 
 
 def _roots(ev: DataFrame, root) -> DataFrame:
@@ -67,6 +68,7 @@ def trail(
     max_days: int | None = None,
     digits: int | None = None,
     order: bool = False,
+    checkpoint_every: int | None = None,
 ) -> DataFrame:
     """All trails of ``depth`` hops back from ``root`` (an ``e_id`` or root rows).
 
@@ -74,7 +76,10 @@ def trail(
     a city. ``max_days`` (strict, per hop) bounds each hop's gap and is the
     practical guard against blow-up; a value ``<= 0`` means no cap.
     ``digits`` rounds the ``gps_diff`` columns. ``order`` sorts by the last
-    step's date, as the original output was.
+    step's date, as the original output was. ``checkpoint_every=k`` writes
+    the trails so far to the session's checkpoint folder after every ``k``
+    hops (only the columns still needed), which keeps the lineage of deep
+    enumerations short.
     """
     ev = _hop_events(events, second)
     keep = ["e_id", "time_norm", "actor", "lat", "lon"] + (["city"] if second == "city" else [])
@@ -88,6 +93,10 @@ def trail(
             cur = hop_geo(cur, ev, step, max_km, max_days, places=places)
         else:
             cur = hop_city(cur, ev, step, max_days)
+        if checkpoint_every and step % checkpoint_every == 0 and step < depth:
+            n = step_suffix(step + 1)
+            keep_now = trail_columns(step, second, max_days) + [c + n for c in keep if c not in ("e_id", "time_norm", "actor")]
+            cur = cut_lineage(cur.select(*keep_now))
     cols = trail_columns(depth, second, max_days)
     out = cur.select(
         *[F.round(c, digits).alias(c) if (digits is not None and c.startswith("gps_diff")) else F.col(c) for c in cols]

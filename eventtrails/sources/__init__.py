@@ -11,6 +11,7 @@ from .events import (
     parse_lines,
     parse_loc,
     read_events,
+    read_events_table,
     to_lines,
     with_point,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "parse_lines",
     "parse_loc",
     "read_events",
+    "read_events_table",
     "register",
     "to_lines",
     "with_point",

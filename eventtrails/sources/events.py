@@ -196,3 +196,23 @@ def to_lines(df: DataFrame, places: bool = False, blank: str = " ") -> DataFrame
 def header_line(places: bool = False) -> str:
     names = [f.name for f in (EVENT_PLACE_SCHEMA if places else EVENT_SCHEMA).fields]
     return FIELD_SEP.join(names)
+
+
+TABLE_COLUMNS = ["e_id", "geo_name", "lat", "lon", "geonamesid", "time", "time_norm", "actor"]
+
+
+def read_events_table(spark: SparkSession, path: str, places: bool | None = None) -> DataFrame:
+    """Read an event table written by :func:`write_events_table`.
+
+    Scalar ``lat``/``lon`` are stored columns, so date and latitude filters
+    are pushed into the Parquet reader and skip row groups by their
+    statistics; ``loc`` is derived. ``places=None`` keeps city/country if the
+    table has them.
+    """
+    df = spark.read.parquet(path)
+    has_places = "city" in df.columns if places is None else places
+    loc = F.when(
+        F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array(F.col("lat"), F.col("lon"))
+    ).otherwise(F.array().cast(T.ArrayType(T.FloatType())))
+    out = df.withColumn("loc", loc)
+    return out.select(*(PLACE_COLUMNS if has_places else BASE_COLUMNS))

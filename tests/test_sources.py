@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 
 import pytest
 from pyspark.errors import PySparkException
@@ -117,3 +119,24 @@ def test_header_never_parsed_under_later_filters(spark):
         time_interval(parse_lines(src), "2000-01-01", "2000-12-31").collect()
     ok = lines(spark, HEADER7, "1;A;[u'1.0 2.0'];;t;2000-01-05;X", HEADER7)
     assert [r.e_id for r in time_interval(parse_lines(ok), "2000-01-01", "2000-12-31").collect()] == [1]
+
+
+def test_events_table_round_trip_and_pushdown(spark, tmp_path):
+    from eventtrails.sinks import write_events_table
+    from eventtrails.sources import read_events_table
+    from eventtrails.sources.fixture import fixture_events
+    from eventtrails.plans.search import time_interval
+
+    ev = fixture_events(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "events_tbl")
+    write_events_table(ev, path, partitions=4)
+    back = read_events_table(spark, path)
+    assert back.columns == ev.columns
+    assert sorted(back.collect()) == sorted(ev.collect())
+    q = time_interval(back, "2024-01-10", "2024-01-15")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    plan = buf.getvalue()
+    assert "GreaterThanOrEqual(time_norm,2024-01-10)" in plan and "LessThanOrEqual(time_norm,2024-01-15)" in plan
+    assert sorted(q.collect()) == sorted(time_interval(ev, "2024-01-10", "2024-01-15").collect())

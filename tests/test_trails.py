@@ -175,3 +175,13 @@ def test_graph_equals_distinct_over_trails(spark, second, km, max_days, depth):
 def test_located_filter(spark):
     ev = make_events(spark, [(1, "A", "2000-01-01", None, None), (2, "A", "2000-01-01", 0.0, 0.0)])
     assert [r.e_id for r in located(ev).collect()] == [2]
+
+
+def test_trail_checkpoint_every_same_result(spark):
+    rows = random_rows(31, n=50)
+    ev = make_events(spark, rows)
+    root = max(rows, key=lambda r: (r[2], r[0]))[0]
+    a = trail(ev, root, 4, "geo", 250.0, 4)
+    b = trail(ev, root, 4, "geo", 250.0, 4, checkpoint_every=2)
+    assert a.columns == b.columns
+    assert sorted(a.collect()) == sorted(b.collect())
