@@ -26,9 +26,6 @@ from pyspark.sql import functions as F
 
 from .spatial import neighbour_places
 
-EVENT_FIELDS = ["e_id", "geo_name", "loc", "lat", "lon", "geonamesid", "time", "time_norm", "actor", "city", "country"]
-
-
 def step_suffix(n: int) -> str:
     """Column suffix of step ``n``: ``''`` for step 1, else ``str(n)``."""
     return "" if n <= 1 else str(n)
