@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import grid_cell, haversine_km
+from ..functions.geo import cell_side_for_km, chord_for_km, grid_cell, haversine_km, unit_vector
 
 _OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 _CELL = ["_cx", "_cy", "_cz"]
@@ -104,3 +104,117 @@ def neighbour_places(
     p = places.select(F.col("lat").alias("n_lat"), F.col("lon").alias("n_lon")).distinct()
     return distance_join(c, p, km, ("lat", "lon"), ("n_lat", "n_lon"), "dist_km", replicate)
 
+
+
+def _fine_cells(df: DataFrame, lat: str, lon: str, side: float, prefix: str) -> DataFrame:
+    x, y, z = unit_vector(F.col(lat), F.col(lon))
+    return df.withColumns(
+        {
+            prefix + "x": x,
+            prefix + "y": y,
+            prefix + "z": z,
+            prefix + "cx": F.floor(x / F.lit(side)).cast("long"),
+            prefix + "cy": F.floor(y / F.lit(side)).cast("long"),
+            prefix + "cz": F.floor(z / F.lit(side)).cast("long"),
+        }
+    )
+
+
+def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split: int | None = None):
+    """Build, once, a function that sums values over neighbouring places.
+
+    ``centres`` and ``places``: ``lat, lon`` (duplicates allowed). The
+    returned ``spread(values, keys, value)`` takes ``lat, lon, *keys, value``
+    rows at places and returns ``lat, lon, *keys, value``: per centre, the sum
+    over rows at places strictly within ``km``. Only the value joins run per
+    call; the place pairing is planned once and reused (e.g. by every geo
+    step of the trail counts).
+
+    ``split=None`` pairs every centre with every neighbouring place (grid
+    join on distinct places). ``split=k`` uses cells ``k`` times finer than
+    the radius: a cell lying wholly inside the radius of a centre contributes
+    its pre-summed total (one row per cell and key instead of one per place),
+    and only places in cells crossing the boundary are tested one by one.
+    Exact either way; the split form pays off where many places share a cell
+    (dense regions, large radius) and costs more planning where they do not.
+    """
+    cen = centres.select("lat", "lon").distinct()
+    if not split:
+        nb = neighbour_places(cen, places, km).select("lat", "lon", "n_lat", "n_lon")
+
+        def spread(values: DataFrame, keys: list[str], value: str) -> DataFrame:
+            vals = values.withColumnsRenamed({"lat": "n_lat", "lon": "n_lon"})
+            return nb.join(vals, ["n_lat", "n_lon"]).groupBy("lat", "lon", *keys).agg(F.sum(value).alias(value))
+
+        return spread
+    k = int(split)
+    chord = chord_for_km(km)
+    side = cell_side_for_km(km) / k
+    # chord / side < k, so a point within the chord is at most k cells away
+    reach = k
+    cell_places = _fine_cells(places.select("lat", "lon").distinct(), "lat", "lon", side, "_q").select(
+        F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "_qcx", "_qcy", "_qcz"
+    )
+    cells = cell_places.select("_qcx", "_qcy", "_qcz").distinct()
+    cenc = _fine_cells(cen, "lat", "lon", side, "_c")
+    rng = f"sequence(-{reach}, {reach})"
+    ccell = (
+        cenc.select("_ccx", "_ccy", "_ccz")
+        .distinct()
+        .withColumn("_dx", F.explode(F.expr(rng)))
+        .withColumn("_dy", F.explode(F.expr(rng)))
+        .withColumn("_dz", F.explode(F.expr(rng)))
+        .select(
+            "_ccx", "_ccy", "_ccz",
+            (F.col("_ccx") + F.col("_dx")).alias("_qcx"),
+            (F.col("_ccy") + F.col("_dy")).alias("_qcy"),
+            (F.col("_ccz") + F.col("_dz")).alias("_qcz"),
+        )
+        .join(cells, ["_qcx", "_qcy", "_qcz"])
+    )
+    pairs = cenc.join(ccell, ["_ccx", "_ccy", "_ccz"])
+    # Nearest and farthest squared distance from the centre to the cell cube.
+    near2, far2 = F.lit(0.0), F.lit(0.0)
+    for a in ("x", "y", "z"):
+        v = F.col("_c" + a)
+        lo = F.col("_qc" + a).cast("double") * F.lit(side)
+        hi = lo + F.lit(side)
+        near = F.greatest(lo - v, F.lit(0.0), v - hi)
+        near2 = near2 + near * near
+        far = F.greatest(v - lo, hi - v)
+        far2 = far2 + far * far
+    inner = (chord * (1 - 1e-9)) ** 2
+    outer = (chord * (1 + 1e-9)) ** 2
+    pairs = pairs.where(near2 < F.lit(outer)).withColumn("_inside", far2 < F.lit(inner))
+    whole_cells = pairs.where(F.col("_inside")).select("lat", "lon", "_qcx", "_qcy", "_qcz")
+    edge_places = (
+        pairs.where(~F.col("_inside"))
+        .select("lat", "lon", "_qcx", "_qcy", "_qcz")
+        .join(cell_places, ["_qcx", "_qcy", "_qcz"])
+        .where(haversine_km("lat", "lon", "p_lat", "p_lon") < F.lit(float(km)))
+        .select("lat", "lon", "p_lat", "p_lon")
+    )
+
+    def spread(values: DataFrame, keys: list[str], value: str) -> DataFrame:
+        vq = _fine_cells(values, "lat", "lon", side, "_q")
+        cell_tot = vq.groupBy("_qcx", "_qcy", "_qcz", *keys).agg(F.sum(value).alias(value))
+        whole = whole_cells.join(cell_tot, ["_qcx", "_qcy", "_qcz"]).select("lat", "lon", *keys, value)
+        part = edge_places.join(
+            values.withColumnsRenamed({"lat": "p_lat", "lon": "p_lon"}), ["p_lat", "p_lon"]
+        ).select("lat", "lon", *keys, value)
+        return whole.unionByName(part).groupBy("lat", "lon", *keys).agg(F.sum(value).alias(value))
+
+    return spread
+
+
+def neighbour_sums(
+    centres: DataFrame,
+    values: DataFrame,
+    km: float,
+    keys: list[str],
+    value: str,
+    split: int | None = None,
+) -> DataFrame:
+    """Per centre place, the sum of ``value`` over rows of ``values`` at places
+    strictly within ``km``, per ``keys`` (see :func:`neighbour_spreader`)."""
+    return neighbour_spreader(centres, values.select("lat", "lon"), km, split)(values, keys, value)

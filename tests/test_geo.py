@@ -81,3 +81,25 @@ def test_within_radius_band_is_exact(spark):
         got = sorted(r.i for r in within_radius(df, lat, lon, km).collect())
         want = sorted(i for i, (a, b) in enumerate(pts) if py_hav(a, b, lat, lon) < km)
         assert got == want
+
+
+@pytest.mark.parametrize("km,split", [(150.0, 2), (150.0, 4), (400.0, 3), (3000.0, 2)])
+def test_neighbour_sums_split_equals_pairs(spark, km, split):
+    from eventtrails.operators.spatial import neighbour_sums
+
+    rnd = random.Random(int(km) + split)
+    # dense cluster (many places per cell) plus scattered points, poles included
+    pts = [(40 + rnd.uniform(-2, 2), 10 + rnd.uniform(-2, 2)) for _ in range(120)]
+    pts += points(40, 5)
+    vals = [(a, b, rnd.randrange(3), rnd.randrange(1, 5)) for a, b in pts for _ in range(2)]
+    vdf = spark.createDataFrame(vals, "lat double, lon double, d int, v long")
+    cen = vdf.select("lat", "lon").distinct()
+    got = sorted(tuple(r) for r in neighbour_sums(cen, vdf, km, ["d"], "v", split).collect())
+    base = sorted(tuple(r) for r in neighbour_sums(cen, vdf, km, ["d"], "v", None).collect())
+    assert got == base
+    want = {}
+    for a, b in {(x, y) for x, y, _, _ in vals}:
+        for x, y, d, v in vals:
+            if py_hav(a, b, x, y) < km:
+                want[(a, b, d)] = want.get((a, b, d), 0) + v
+    assert sorted((a, b, d, v) for (a, b, d), v in want.items()) == base

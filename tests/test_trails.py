@@ -185,3 +185,18 @@ def test_trail_checkpoint_every_same_result(spark):
     b = trail(ev, root, 4, "geo", 250.0, 4, checkpoint_every=2)
     assert a.columns == b.columns
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_counts_cell_split_equal(spark):
+    rnd = random.Random(77)
+    rows = [
+        (i + 1, f"A{rnd.randrange(4)}", D(f"2000-01-{1 + rnd.randrange(9)}"),
+         round(rnd.uniform(0, 3), 2), round(rnd.uniform(0, 3), 2))
+        for i in range(60)
+    ]
+    ev = make_events(spark, rows)
+    base = {r.e_id: r.trails for r in count_trails(ev, ev, 4, 150.0).collect()}
+    split = {r.e_id: r.trails for r in count_trails(ev, ev, 4, 150.0, cell_split=3).collect()}
+    assert base == split
+    for i in range(0, 60, 7):
+        assert base[rows[i][0]] == len(brute_trails(rows, [i], 4, "geo", 150.0))
