@@ -76,7 +76,8 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
     if args.table:
         ev = read_events_table(spark, args.events)
     else:
-        ev = read_events(spark, args.events, places=args.places or args.query == "actor-countries")
+        places_needed = args.query == "actor-countries" or getattr(args, "second", "geo") == "city"
+        ev = read_events(spark, args.events, places=args.places or places_needed)
     out = dict(path=args.out, mode=args.mode, single_file=args.single_file)
     q = args.query
     if q == "time-interval":
@@ -91,7 +92,7 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
     elif q == "two-hop":
         write_csv(trails.trail_two_hop(ev, args.root, args.km), **out)
     elif q == "graph":
-        nodes, edges = graph.trail_graph(ev, args.root, args.depth, args.second, args.km, args.max_days)
+        nodes, edges = graph.trail_graph(ev, args.root, args.depth, args.km, args.second, args.max_days)
         write_graph(nodes, edges, **out)
     elif q == "most-related":
         write_csv(counts.most_related(ev, args.depth, args.km, args.max_days, cell_split=args.cell_split), **out)

@@ -234,12 +234,12 @@ def q_abs_day_gap(spark, sf_dir):
 
 def _geo_graph(spark, sf_dir):
     ev = located(_ev(spark, sf_dir, False))
-    return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.GRAPH_DEPTH, "geo", P.GRAPH_KM)
+    return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.GRAPH_DEPTH, P.GRAPH_KM)
 
 
 def _city_graph(spark, sf_dir):
     ev = with_city(_ev(spark, sf_dir))
-    return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.CITY_GRAPH_DEPTH, "city", max_days=P.CITY_GRAPH_DAYS)
+    return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.CITY_GRAPH_DEPTH, second="city", max_days=P.CITY_GRAPH_DAYS)
 
 
 def q_trail_graph_nodes(spark, sf_dir):

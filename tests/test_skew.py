@@ -78,7 +78,7 @@ def test_trail_and_graph_with_hot_keys(spark, skewed):
     with conf(spark, SKEW_CONF):
         t = trail(ev, rows[root_i][0], 3, "geo", 150.0, 3)
         got = sorted(tuple(r[c] for c in ("e_id", "e_id2", "e_id3", "e_id4")) for r in t.collect())
-        nodes, edges = trail_graph(ev, rows[root_i][0], 3, "geo", 150.0, checkpoint=False)
+        nodes, edges = trail_graph(ev, rows[root_i][0], 3, 150.0, checkpoint=False)
         got_edges = {(r.Source, r.Target) for r in edges.collect()}
     want = sorted(tuple(rows[i][0] for i in tr) for tr in brute_trails(rows, [root_i], 3, "geo", 150.0, 3))
     assert got == want

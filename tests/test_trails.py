@@ -98,7 +98,7 @@ def test_repeated_id_multiplies_and_same_day_never_links(spark):
 def test_root_without_predecessor(spark):
     ev = make_events(spark, [(1, "A", "2000-01-01", 1.0, 1.0), (2, "B", "2000-01-02", 1.0, 1.0)])
     assert trail(ev, 1, 2, "geo", 100.0).count() == 0
-    nodes, edges = trail_graph(ev, 1, 2, "geo", 100.0)
+    nodes, edges = trail_graph(ev, 1, 2, 100.0)
     assert nodes.count() == 0 and edges.count() == 0
     assert count_trails(ev, ev.where("e_id = 1"), depth=2).first().trails == 0
 
@@ -153,7 +153,7 @@ def test_graph_equals_distinct_over_trails(spark, second, km, max_days, depth):
     ev = make_events(spark, rows, places=True)
     root_i = max(range(len(rows)), key=lambda i: (rows[i][2], rows[i][0]))
     root_id = rows[root_i][0]
-    nodes, edges = trail_graph(ev, root_id, depth, second, km or 0.0, max_days, checkpoint=False)
+    nodes, edges = trail_graph(ev, root_id, depth, km or 0.0, second, max_days, checkpoint=False)
     got_edges = {(r.Source, r.Target, r.Label) for r in edges.collect()}
     want_edges, want_nodes = set(), set()
     for d in range(1, depth + 1):
