@@ -37,6 +37,47 @@ def _roots(ev: DataFrame, root) -> DataFrame:
     return root_by_id(ev, int(root))
 
 
+def date_window(roots: DataFrame, depth: int, max_days: int | None):
+    """Dates any trail event from ``roots`` can have: ``(lo, hi)``, inclusive.
+
+    Every hop goes strictly back in time, and with a strict day cap a hop
+    goes back at most ``max_days - 1`` days, so after ``depth`` hops an event
+    lies in ``[min(root) - depth*(max_days-1), max(root) - 1]`` (``lo`` is
+    ``None`` without a cap). Returns ``None`` when there are no roots. One
+    small job: an aggregate of the roots' dates.
+    """
+    import datetime as _dt
+
+    lo_hi = roots.agg(F.min("time_norm").alias("lo"), F.max("time_norm").alias("hi")).first()
+    if lo_hi is None or lo_hi["hi"] is None:
+        return None
+    hi = lo_hi["hi"] - _dt.timedelta(days=1)
+    lo = None
+    if max_days and max_days > 0:
+        lo = lo_hi["lo"] - _dt.timedelta(days=depth * (int(max_days) - 1))
+    return lo, hi
+
+
+def prune_to_window(ev: DataFrame, roots: DataFrame, depth: int, max_days: int | None) -> tuple[DataFrame, DataFrame]:
+    """Restrict the hop side of ``ev`` to the dates trails from ``roots`` can reach.
+
+    The bounds are literals, so they reach the Parquet reader as pushed
+    filters and a table sorted by date skips every row group outside the
+    window (each hop then reads a slice instead of the whole table). The
+    roots are materialised first (to the checkpoint folder, if configured)
+    so they are not computed twice.
+    """
+    roots = cut_lineage(roots)
+    w = date_window(roots, depth, max_days)
+    if w is None:
+        return ev.where(F.lit(False)), roots
+    lo, hi = w
+    cond = F.col("time_norm") <= F.lit(hi)
+    if lo is not None:
+        cond = cond & (F.col("time_norm") >= F.lit(lo))
+    return ev.where(cond), roots
+
+
 def _hop_events(events: DataFrame, second: str) -> DataFrame:
     if second == "geo":
         return located(events)
@@ -69,6 +110,7 @@ def trail(
     digits: int | None = None,
     order: bool = False,
     checkpoint_every: int | None = None,
+    prune: bool = True,
 ) -> DataFrame:
     """All trails of ``depth`` hops back from ``root`` (an ``e_id`` or root rows).
 
@@ -79,13 +121,16 @@ def trail(
     step's date, as the original output was. ``checkpoint_every=k`` writes
     the trails so far to the session's checkpoint folder after every ``k``
     hops (only the columns still needed), which keeps the lineage of deep
-    enumerations short.
+    enumerations short. ``prune`` restricts the events to the date window
+    the roots can reach (:func:`prune_to_window`; one small job).
     """
     ev = _hop_events(events, second)
     keep = ["e_id", "time_norm", "actor", "lat", "lon"] + (["city"] if second == "city" else [])
     ev = ev.select(*keep)
-    places = ev.select("lat", "lon") if second == "geo" else None
     cur = _roots(ev, root)
+    if prune:
+        ev, cur = prune_to_window(ev, cur, depth, max_days)
+    places = ev.select("lat", "lon") if second == "geo" else None
     for step in range(1, depth + 1):
         if step % 2 == 1:
             cur = hop_actor(cur, ev, step, max_days)
@@ -107,7 +152,7 @@ def trail(
 
 
 def trail_two_hop(
-    events: DataFrame, root, max_km: float = 500.0, order: bool = False
+    events: DataFrame, root, max_km: float = 500.0, order: bool = False, prune: bool = True
 ) -> DataFrame:
     """Fixed two-hop trail: same actor earlier (outer), then a *different*
     actor's earlier event within ``max_km``.
@@ -118,7 +163,10 @@ def trail_two_hop(
     Out: ``e_id, actor, time_norm`` for steps 1, 2 and 3.
     """
     ev = located(events).select("e_id", "time_norm", "actor", "lat", "lon")
-    cur = hop_actor(_roots(ev, root), ev, 1, how="left")
+    roots = _roots(ev, root)
+    if prune:
+        ev, roots = prune_to_window(ev, roots, 2, None)
+    cur = hop_actor(roots, ev, 1, how="left")
     cur = hop_geo(cur, ev, 2, max_km, different_actor=True, places=ev.select("lat", "lon"))
     out = cur.select(
         "e_id", "actor", "time_norm", "e_id2", "actor2", "time_norm2", "e_id3", "actor3", "time_norm3"
