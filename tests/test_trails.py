@@ -200,3 +200,19 @@ def test_counts_cell_split_equal(spark):
     assert base == split
     for i in range(0, 60, 7):
         assert base[rows[i][0]] == len(brute_trails(rows, [i], 4, "geo", 150.0))
+
+
+def test_geo_hop_across_antimeridian_and_pole(spark):
+    from eventtrails.operators.hops import hop_geo
+
+    rows = [
+        (1, "A", "2000-01-05", 0.0, 179.9),
+        (2, "B", "2000-01-04", 0.0, -179.9),   # 22 km away across the antimeridian
+        (3, "C", "2000-01-03", 0.0, 170.0),    # 1,100 km away
+        (4, "A", "2000-01-05", 89.95, 0.0),
+        (5, "D", "2000-01-02", 89.95, 180.0),  # 11 km away across the pole
+        (6, "E", "2000-01-06", 0.0, -179.9),   # later: never a predecessor
+    ]
+    ev = make_events(spark, rows)
+    got = sorted((r.e_id, r.e_id2) for r in hop_geo(ev.where("e_id in (1, 4)"), ev, 1, 50.0).collect())
+    assert got == [(1, 2), (4, 5)]
