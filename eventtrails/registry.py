@@ -23,7 +23,7 @@ from .operators.filters import by_actor, located, with_city
 from .operators.hops import hop_actor, hop_city, hop_geo
 from .operators.ranking import latest_per_actor
 from .plans import counts, graph, places, search, trails
-from .sources.events import parse_lines, to_lines, header_line
+from .sources.events import blank_to_null, header_line, parse_lines, to_lines
 from .sources.fixture import fixture_events, fixture_gazetteer
 
 SCALAR = ["e_id", "geo_name", "lat", "lon", "geonamesid", "time", "time_norm", "actor"]
@@ -75,9 +75,11 @@ def q_parse_loc(spark, sf_dir):
 
 def q_blank_to_null(spark, sf_dir):
     raw = parse_lines(_raw_lines(spark, sf_dir, True), places=True, keep_blank=True)
-    norm = parse_lines(_raw_lines(spark, sf_dir, True), places=True)
-    return raw.select("e_id", F.col("city").alias("city_raw")).join(
-        norm.select("e_id", "city", "country"), "e_id"
+    return raw.select(
+        "e_id",
+        F.col("city").alias("city_raw"),
+        blank_to_null("city").alias("city"),
+        blank_to_null("country").alias("country"),
     )
 
 
