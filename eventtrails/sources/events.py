@@ -120,15 +120,17 @@ def parse_lines(
 ) -> DataFrame:
     """Parse a frame of raw ``;`` lines (one string column) into events.
 
-    Header lines are recognised by content (first field ``e_id``) and
-    dropped wherever they occur; empty lines are skipped. Extra trailing
+    Header lines are recognised by content (first field ``e_id``, after an
+    optional byte-order mark) and dropped wherever they occur; empty lines
+    are skipped. Extra trailing
     fields are ignored, so a 9-column file reads fine as 7 columns.
     ``mode='failfast'`` aborts on malformed numbers or dates (as the original
     does); ``'permissive'`` turns them into nulls. Checks run on the columns
     a query actually reads: a malformed value in a column pruned from the
     plan does not fail the job.
     """
-    parts = F.split(F.col(column), FIELD_SEP, -1)
+    # a UTF-8 byte-order mark would hide the header marker of a file's first line
+    parts = F.split(F.regexp_replace(F.col(column), "^\ufeff", ""), FIELD_SEP, -1)
     f = lambda i: F.get(F.col("_f"), i)  # noqa: E731 - field accessor
     is_row = (f(0) != F.lit(HEADER_FIRST_FIELD)) & (F.length(f(0)) > 0)
     raw = lines.select(parts.alias("_f")).where(is_row)

@@ -140,3 +140,8 @@ def test_events_table_round_trip_and_pushdown(spark, tmp_path):
     plan = buf.getvalue()
     assert "GreaterThanOrEqual(time_norm,2024-01-10)" in plan and "LessThanOrEqual(time_norm,2024-01-15)" in plan
     assert sorted(q.collect()) == sorted(time_interval(ev, "2024-01-10", "2024-01-15").collect())
+
+
+def test_byte_order_mark_header(spark):
+    got = parse_lines(lines(spark, "\ufeff" + HEADER7, "1;A;[u'1.0 2.0'];;t;2000-01-05;X")).collect()
+    assert [r.e_id for r in got] == [1]
