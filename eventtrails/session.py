@@ -84,4 +84,5 @@ def cut_lineage(df: DataFrame, enabled: bool | None = None) -> DataFrame:
         return df
     path = f"{base.rstrip('/')}/eventtrails-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no footer reads to infer it again
+    return spark.read.schema(df.schema).parquet(path)
