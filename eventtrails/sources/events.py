@@ -6,7 +6,7 @@ than once, e.g. after appends, and is dropped wherever it is). Columns:
 
 ``e_id;geo_name;loc;geonamesid;time;time_norm;actor[;city;country]``
 
-``loc`` is a Python-literal list such as ``[u'51.496 10.1396']``: latitude
+``loc`` is a Python-literal list such as ``[u'48.85 2.35']``: latitude
 then longitude separated by one space. Literals of 5 characters or fewer
 (e.g. ``[u'']``) mean "unlocated".
 

@@ -24,7 +24,7 @@ def points(n, seed):
     pts = [(rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for _ in range(n)]
     # poles, antimeridian and near-duplicates
     pts += [(90.0, 0.0), (89.99, 45.0), (-90.0, 10.0), (-89.95, -170.0), (0.0, 179.9), (0.0, -179.9),
-            (10.0, 180.0), (10.0, -180.0), (51.496, 10.1396), (51.496, 10.1396)]
+            (10.0, 180.0), (10.0, -180.0), (48.85, 2.35), (48.85, 2.35)]
     return pts
 
 

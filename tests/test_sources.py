@@ -26,16 +26,16 @@ def test_parse_basic_and_edges(spark):
         lines(
             spark,
             HEADER7,
-            "1781;Berlin;[u'52.52 13.405'];2950159;1943;1943-11-01;Willis Augustus Lee",
+            "1701;Berlin;[u'52.52 13.405'];2950159;1943;1943-11-01;Some Actor",
             "2;Nowhere;[u''];;sometime;1943-1-5;",
             HEADER7,  # header again, mid-file
-            "3;Short;[u'1';7;x;1800-12-31;Abraham Lincoln",  # loc of exactly 5 characters
-            "3;Dup;[u'0.5 -179.9'];8;y;1800-01-02;Abraham Lincoln",  # repeated e_id
+            "3;Short;[u'1';7;x;1800-12-31;Other Actor",  # loc of exactly 5 characters
+            "3;Dup;[u'0.5 -179.9'];8;y;1800-01-02;Other Actor",  # repeated e_id
         )
     )
     rows = {(r.e_id, r.geo_name): r for r in df.collect()}
     assert len(rows) == 4
-    r = rows[(1781, "Berlin")]
+    r = rows[(1701, "Berlin")]
     assert r.loc == pytest.approx([52.52, 13.405], rel=1e-6)
     assert r.lat == pytest.approx(52.52, rel=1e-6) and r.lon == pytest.approx(13.405, rel=1e-6)
     assert r.geonamesid == 2950159 and r.time_norm == dt.date(1943, 11, 1)
