@@ -35,8 +35,13 @@ def by_actor(df: DataFrame, actor: str) -> DataFrame:
     return df.where(F.col("actor") == F.lit(actor))
 
 
-def root(df: DataFrame, e_id: int) -> DataFrame:
-    """The root event row(s) with id ``e_id`` (ids may repeat: all rows kept)."""
+def root(df: DataFrame, e_id) -> DataFrame:
+    """The root event row(s) with id ``e_id`` (ids may repeat: all rows kept).
+
+    ``e_id`` may also be a list of ids (an ``IN`` filter, pushed to the scan).
+    """
+    if isinstance(e_id, (list, tuple, set)):
+        return df.where(F.col("e_id").isin([int(x) for x in e_id]))
     return df.where(F.col("e_id") == F.lit(int(e_id)))
 
 

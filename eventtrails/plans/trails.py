@@ -31,10 +31,10 @@ from ..session import cut_lineage
 
 
 def _roots(ev: DataFrame, root) -> DataFrame:
-    """Root rows: an ``e_id`` (all rows with it) or a frame of event rows."""
+    """Root rows: an ``e_id`` (all rows with it), a list of ids, or a frame of event rows."""
     if isinstance(root, DataFrame):
         return root.select(*ev.columns)
-    return root_by_id(ev, int(root))
+    return root_by_id(ev, root)
 
 
 def date_window(roots: DataFrame, depth: int, max_days: int | None):

@@ -216,3 +216,12 @@ def test_geo_hop_across_antimeridian_and_pole(spark):
     ev = make_events(spark, rows)
     got = sorted((r.e_id, r.e_id2) for r in hop_geo(ev.where("e_id in (1, 4)"), ev, 1, 50.0).collect())
     assert got == [(1, 2), (4, 5)]
+
+
+def test_roots_as_list_of_ids(spark):
+    rows = random_rows(41, n=40)
+    ev = make_events(spark, rows)
+    ids = [rows[-1][0], rows[-2][0]]
+    a = trail(ev, ids, 2, "geo", 150.0)
+    b = trail(ev, ev.where(F.col("e_id").isin(ids)), 2, "geo", 150.0)
+    assert sorted(a.collect()) == sorted(b.collect())
