@@ -130,7 +130,9 @@ def parse_lines(
     plan does not fail the job.
     """
     # a UTF-8 byte-order mark would hide the header marker of a file's first line
-    parts = F.split(F.regexp_replace(F.col(column), "^\ufeff", ""), FIELD_SEP, -1)
+    line = F.col(column)
+    line = F.when(line.startswith("\ufeff"), F.substring(line, 2, 1 << 30)).otherwise(line)
+    parts = F.split(line, FIELD_SEP, -1)
     f = lambda i: F.get(F.col("_f"), i)  # noqa: E731 - field accessor
     is_row = (f(0) != F.lit(HEADER_FIRST_FIELD)) & (F.length(f(0)) > 0)
     raw = lines.select(parts.alias("_f")).where(is_row)
