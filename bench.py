@@ -10,7 +10,9 @@ are steady-state times, as for a long-running session. Each query is timed
 filters out scheduling noise on a shared machine. ``naive_*`` entries time the textbook Spark form of the same
 operator (theta-join hops, full trail enumeration) for comparison; they are
 not part of ``value``. The naive trail count would enumerate every trail;
-its row count is reported instead of a time.
+its row count is reported instead of a time. ``comparisons`` pairs our time
+with the naive one, including the trail graph at the original depth 6
+(with a 3-day cap so the naive form still finishes).
 """
 
 from __future__ import annotations
@@ -123,6 +125,50 @@ def naive_trail_graph_edges(spark, sf_dir):
     return reduce(lambda a, b: a.unionByName(b), parts).distinct()
 
 
+DEEP_DEPTH, DEEP_DAYS = 6, 3
+
+
+def _deep_root(spark, sf_dir):
+    from eventtrails.operators.filters import by_actor
+
+    ev = located(fixture_events(spark, sf_dir, places=False))
+    return ev, latest_per_actor(by_actor(ev, P.ACTOR))
+
+
+def deep_graph_edges(spark, sf_dir):
+    """Trail graph edges at the original depth 6 (300 km, 3-day cap), by frontier."""
+    from eventtrails.plans.graph import trail_graph
+
+    ev, root = _deep_root(spark, sf_dir)
+    return trail_graph(ev, root, DEEP_DEPTH, P.GRAPH_KM, max_days=DEEP_DAYS)[1]
+
+
+def naive_deep_graph_edges(spark, sf_dir):
+    """The same edges by enumerating every trail, then ``distinct``."""
+    from functools import reduce
+
+    from eventtrails.operators.hops import hop_actor, hop_geo, step_suffix
+
+    ev, cur = _deep_root(spark, sf_dir)
+    ev = ev.select("e_id", "time_norm", "actor", "lat", "lon")
+    cur = cur.select(*ev.columns)
+    parts = []
+    for step in range(1, DEEP_DEPTH + 1):
+        s, n = step_suffix(step), step_suffix(step + 1)
+        if step % 2 == 1:
+            cur = hop_actor(cur, ev, step, DEEP_DAYS)
+            label = F.col("actor" + s)
+        else:
+            cur = hop_geo(cur, ev, step, P.GRAPH_KM, DEEP_DAYS, places=ev.select("lat", "lon"))
+            label = F.lit("Location")
+        parts.append(cur.select(
+            F.col("e_id" + s).cast("string").alias("Source"),
+            F.col("e_id" + n).cast("string").alias("Target"),
+            label.alias("Label"),
+        ))
+    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -144,6 +190,7 @@ def main() -> None:
             best = dt if best is None else min(best, dt)
         times[name] = round(best, 3)
     naive: dict = {}
+    comparisons: dict = {}
     if not only and os.environ.get("BENCH_NAIVE", "1") == "1":
         for name, fn in [
             ("naive_hop_geo", naive_hop_geo),
@@ -157,6 +204,20 @@ def main() -> None:
         # report how many rows that would be (the DP's own total).
         total = qs["most_related"](spark, sf_dir).agg(F.sum("related_events")).first()[0]
         naive["naive_most_related_rows_to_enumerate"] = int(total or 0)
+        # the graph at the original depth: frontier vs enumeration
+        _run(deep_graph_edges(spark, warm if os.path.isdir(warm) else sf_dir))  # untimed warm-up
+        t0 = time.perf_counter()
+        _run(deep_graph_edges(spark, sf_dir))
+        ours = time.perf_counter() - t0
+        t0 = time.perf_counter()
+        _run(naive_deep_graph_edges(spark, sf_dir))
+        comparisons["trail_graph_edges_depth6_cap3"] = {
+            "ours": round(ours, 3), "naive": round(time.perf_counter() - t0, 3)
+        }
+        for q, nq in [("hop_geo", "naive_hop_geo"), ("trail_actor_geo", "naive_trail_actor_geo"),
+                      ("trail_graph_edges", "naive_trail_graph_edges")]:
+            if q in times:
+                comparisons[q] = {"ours": times[q], "naive": naive[nq]}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_queries_total_wall",
@@ -164,6 +225,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "naive": naive,
+        "comparisons": comparisons,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
     }
