@@ -225,3 +225,16 @@ def test_roots_as_list_of_ids(spark):
     a = trail(ev, ids, 2, "geo", 150.0)
     b = trail(ev, ev.where(F.col("e_id").isin(ids)), 2, "geo", 150.0)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_undated_events_are_on_no_trail(spark):
+    rows = [
+        (1, "A", "2000-01-05", 1.0, 1.0),
+        (2, "A", None, 1.0, 1.0),          # no date: never earlier, never later
+        (3, "A", "2000-01-03", 1.0, 1.0),
+        (4, "B", "2000-01-02", 1.0, 1.0),
+    ]
+    ev = make_events(spark, rows)
+    got = {r.e_id: r.trails for r in count_trails(ev, ev.where("e_id in (1, 3)"), 2, 100.0).collect()}
+    assert got == {1: 1, 3: 0}  # 1 -> 3 -> 4; 3 has no dated earlier event of A
+    assert sorted((r.e_id2, r.e_id3) for r in trail(ev, 1, 2, "geo", 100.0).collect()) == [(3, 4)]
