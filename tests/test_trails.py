@@ -238,3 +238,15 @@ def test_undated_events_are_on_no_trail(spark):
     got = {r.e_id: r.trails for r in count_trails(ev, ev.where("e_id in (1, 3)"), 2, 100.0).collect()}
     assert got == {1: 1, 3: 0}  # 1 -> 3 -> 4; 3 has no dated earlier event of A
     assert sorted((r.e_id2, r.e_id3) for r in trail(ev, 1, 2, "geo", 100.0).collect()) == [(3, 4)]
+
+
+def test_trail_counts_per_key(spark):
+    from eventtrails.plans.counts import trail_counts
+
+    rows = random_rows(51, n=40)
+    ev = make_events(spark, rows)
+    per_key = {(r.actor, r.time_norm, r.lat, r.lon): (r.m, r.f) for r in trail_counts(ev, 3, 150.0).collect()}
+    for i, r in enumerate(rows):
+        m, f = per_key[(r[1], r[2], r[3], r[4])]
+        assert f == len(brute_trails(rows, [i], 3, "geo", 150.0))
+    assert sum(m for m, _ in per_key.values()) == len(rows)
