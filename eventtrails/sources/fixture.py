@@ -71,6 +71,13 @@ def fixture_events(spark: SparkSession, sf_dir: str, places: bool = True, raw_bl
     )
     k = F.col("_k")
     located = (k % UNLOCATED_EVERY) != 0
+    # ts is a zone-less timestamp; read as one, its date does not depend on
+    # the session time zone. If a session reads it as a zoned timestamp, take
+    # the date in UTC (the stored value) so no session zone shifts it.
+    if dict(src.dtypes)["ts"] == "timestamp_ntz":
+        day = F.to_date(F.col("ts"))
+    else:
+        day = F.date_from_unix_date(F.floor(F.unix_micros(F.col("ts")) / F.lit(86_400_000_000)).cast("int"))
     lat = F.when(located, _grid_lat(k))
     lon = F.when(located, _grid_lon(k))
     ev = src.select(
@@ -82,8 +89,8 @@ def fixture_events(spark: SparkSession, sf_dir: str, places: bool = True, raw_bl
         lat.alias("lat"),
         lon.alias("lon"),
         F.when(k % NO_GEONAMES_MOD != NO_GEONAMES_REM, k).alias("geonamesid"),
-        F.date_format(F.col("ts"), "yyyy-MM").alias("time"),
-        F.to_date(F.col("ts")).alias("time_norm"),
+        F.date_format(day, "yyyy-MM").alias("time"),
+        day.alias("time_norm"),
         F.concat(F.lit("USER_"), F.col("user_id").cast("string")).alias("actor"),
         (k % CITY_COUNT).alias("_nk"),
         located.alias("_located"),

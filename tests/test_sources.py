@@ -145,3 +145,15 @@ def test_events_table_round_trip_and_pushdown(spark, tmp_path):
 def test_byte_order_mark_header(spark):
     got = parse_lines(lines(spark, "\ufeff" + HEADER7, "1;A;[u'1.0 2.0'];;t;2000-01-05;X")).collect()
     assert [r.e_id for r in got] == [1]
+
+
+def test_fixture_dates_do_not_depend_on_session_zone(spark):
+    from eventtrails.sources.fixture import fixture_events
+
+    from .test_skew import conf
+
+    base = sorted((r.e_id, r.time_norm, r.time) for r in fixture_events(spark, "/root/testdata/sf0.001").collect())
+    with conf(spark, {"spark.sql.session.timeZone": "Pacific/Kiritimati",
+                      "spark.sql.parquet.inferTimestampNTZ.enabled": "false"}):
+        other = sorted((r.e_id, r.time_norm, r.time) for r in fixture_events(spark, "/root/testdata/sf0.001").collect())
+    assert other == base
