@@ -111,6 +111,7 @@ def trail(
     order: bool = False,
     checkpoint_every: int | None = None,
     prune: bool = True,
+    salt: int | None = None,
 ) -> DataFrame:
     """All trails of ``depth`` hops back from ``root`` (an ``e_id`` or root rows).
 
@@ -122,7 +123,9 @@ def trail(
     the trails so far to the session's checkpoint folder after every ``k``
     hops (only the columns still needed), which keeps the lineage of deep
     enumerations short. ``prune`` restricts the events to the date window
-    the roots can reach (:func:`prune_to_window`; one small job).
+    the roots can reach (:func:`prune_to_window`; one small job). ``salt``
+    spreads each actor / city of the equi hops over that many join partitions
+    (see :func:`eventtrails.operators.hops.hop_actor`).
     """
     ev = _hop_events(events, second)
     keep = ["e_id", "time_norm", "actor", "lat", "lon"] + (["city"] if second == "city" else [])
@@ -133,11 +136,11 @@ def trail(
     places = ev.select("lat", "lon") if second == "geo" else None
     for step in range(1, depth + 1):
         if step % 2 == 1:
-            cur = hop_actor(cur, ev, step, max_days)
+            cur = hop_actor(cur, ev, step, max_days, salt=salt)
         elif second == "geo":
             cur = hop_geo(cur, ev, step, max_km, max_days, places=places)
         else:
-            cur = hop_city(cur, ev, step, max_days)
+            cur = hop_city(cur, ev, step, max_days, salt=salt)
         if checkpoint_every and step % checkpoint_every == 0 and step < depth:
             n = step_suffix(step + 1)
             keep_now = trail_columns(step, second, max_days) + [c + n for c in keep if c not in ("e_id", "time_norm", "actor")]

@@ -87,3 +87,25 @@ def test_trail_and_graph_with_hot_keys(spark, skewed):
         for tr in brute_trails(rows, [root_i], d, "geo", 150.0, None):
             want_edges.add((str(rows[tr[-2]][0]), str(rows[tr[-1]][0])))
     assert got_edges == want_edges
+
+
+def test_salted_hops_equal_plain(spark, skewed):
+    from eventtrails.operators.hops import hop_actor
+
+    rows, ev = skewed
+    root_i = max((i for i, r in enumerate(rows) if r[1] == "HOT"), key=lambda i: (rows[i][2], rows[i][0]))
+    with conf(spark, SKEW_CONF):
+        a = trail(ev, rows[root_i][0], 3, "geo", 150.0)
+        b = trail(ev, rows[root_i][0], 3, "geo", 150.0, salt=5)
+        assert sorted(a.collect()) == sorted(b.collect())
+        plain = hop_actor(ev, ev).select("e_id", "e_id2")
+        salted = hop_actor(ev, ev, salt=7).select("e_id", "e_id2")
+        assert sorted(plain.collect()) == sorted(salted.collect())
+
+
+def test_salted_graph_equals_plain(spark, skewed):
+    rows, ev = skewed
+    root = max((r for r in rows if r[1] == "HOT"), key=lambda r: (r[2], r[0]))[0]
+    a = trail_graph(ev, root, 3, 150.0, checkpoint=False)[1]
+    b = trail_graph(ev, root, 3, 150.0, checkpoint=False, salt=4)[1]
+    assert sorted(a.collect()) == sorted(b.collect())
