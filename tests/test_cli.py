@@ -39,3 +39,25 @@ def test_cli_queries(spark, tmp_path):
     back = read_events(spark, out, places=True)
     assert back.count() == fixture_events(spark, SF_SMALL).count()
     assert back.where("city IS NOT NULL").count() == back.where("lat IS NOT NULL").count()
+
+
+def test_cli_trails_and_near(spark, tmp_path):
+    src = str(tmp_path / "events")
+    write_events_text(fixture_events(spark, SF_SMALL, raw_blank=True), src, places=True)
+    out = str(tmp_path / "near")
+    main(["near", "--events", src, "--out", out, "--lat", "40", "--lon", "-104", "--km", "500", "--actor", "USER_7"])
+    assert _read_csv(spark, out).columns == ["e_id", "actor", "time_norm", "gps_diff"]
+    out = str(tmp_path / "trail")
+    main(["trail", "--events", src, "--out", out, "--root", "999", "--depth", "2", "--km", "500", "--max-days", "3"])
+    assert _read_csv(spark, out).columns == [
+        "e_id", "time_norm", "actor", "e_id2", "time_norm2", "actor2", "date_diff",
+        "e_id3", "time_norm3", "actor3", "date_diff2", "gps_diff2",
+    ]
+    out = str(tmp_path / "city")
+    main(["trail", "--events", src, "--out", out, "--root", "999", "--depth", "2", "--second", "city"])
+    assert _read_csv(spark, out).columns[-1] == "city2"
+    out = str(tmp_path / "two")
+    main(["two-hop", "--events", src, "--out", out, "--root", "999"])
+    assert _read_csv(spark, out).columns == [
+        "e_id", "actor", "time_norm", "e_id2", "actor2", "time_norm2", "e_id3", "actor3", "time_norm3"
+    ]
