@@ -112,6 +112,7 @@ def trail(
     checkpoint_every: int | None = None,
     prune: bool = True,
     salt: int | None = None,
+    different_actor: bool = False,
 ) -> DataFrame:
     """All trails of ``depth`` hops back from ``root`` (an ``e_id`` or root rows).
 
@@ -125,7 +126,8 @@ def trail(
     enumerations short. ``prune`` restricts the events to the date window
     the roots can reach (:func:`prune_to_window`; one small job). ``salt``
     spreads each actor / city of the equi hops over that many join partitions
-    (see :func:`eventtrails.operators.hops.hop_actor`).
+    (see :func:`eventtrails.operators.hops.hop_actor`). ``different_actor``
+    requires another actor on each geo hop.
     """
     ev = _hop_events(events, second)
     keep = ["e_id", "time_norm", "actor", "lat", "lon"] + (["city"] if second == "city" else [])
@@ -138,7 +140,7 @@ def trail(
         if step % 2 == 1:
             cur = hop_actor(cur, ev, step, max_days, salt=salt)
         elif second == "geo":
-            cur = hop_geo(cur, ev, step, max_km, max_days, places=places)
+            cur = hop_geo(cur, ev, step, max_km, max_days, different_actor, places=places)
         else:
             cur = hop_city(cur, ev, step, max_days, salt=salt)
         if checkpoint_every and step % checkpoint_every == 0 and step < depth:

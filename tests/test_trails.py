@@ -250,3 +250,14 @@ def test_trail_counts_per_key(spark):
         m, f = per_key[(r[1], r[2], r[3], r[4])]
         assert f == len(brute_trails(rows, [i], 3, "geo", 150.0))
     assert sum(m for m, _ in per_key.values()) == len(rows)
+
+
+def test_trail_different_actor(spark):
+    rows = random_rows(61, n=45)
+    ev = make_events(spark, rows)
+    root_i = max(range(len(rows)), key=lambda i: (rows[i][2], rows[i][0]))
+    got = sorted(tuple(r[c] for c in ("e_id", "e_id2", "e_id3", "e_id4"))
+                 for r in trail(ev, rows[root_i][0], 3, "geo", 150.0, different_actor=True).collect())
+    want = sorted(tuple(rows[i][0] for i in t) for t in brute_trails(rows, [root_i], 3, "geo", 150.0)
+                  if rows[t[1]][1] != rows[t[2]][1])
+    assert got == want
