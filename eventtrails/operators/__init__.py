@@ -10,9 +10,16 @@ from .filters import (
     with_country,
     within_radius,
 )
-from .hops import hop_actor, hop_city, hop_geo, step_suffix, suffix
+from .hops import hop_actor, hop_city, hop_geo, hot_keys, step_suffix, suffix
 from .ranking import latest_per_actor, ordered
-from .spatial import distance_join, neighbour_places, with_cell, with_neighbour_cells
+from .spatial import (
+    distance_join,
+    neighbour_places,
+    neighbour_spreader,
+    neighbour_sums,
+    with_cell,
+    with_neighbour_cells,
+)
 
 __all__ = [
     "between_dates",
@@ -21,10 +28,13 @@ __all__ = [
     "hop_actor",
     "hop_city",
     "hop_geo",
+    "hot_keys",
     "latest_per_actor",
     "latitude_band",
     "located",
     "neighbour_places",
+    "neighbour_spreader",
+    "neighbour_sums",
     "ordered",
     "root",
     "step_suffix",

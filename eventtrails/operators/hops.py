@@ -58,6 +58,21 @@ def _with_day_cap(cond: Column, cur_t: Column, nxt_t: Column, max_days: int | No
     return cond
 
 
+def hot_keys(events: DataFrame, key: str, fraction: float = 0.01) -> list:
+    """Values of ``key`` held by more than ``fraction`` of the rows.
+
+    There can be at most ``1 / fraction`` of them, so the list brought to the
+    driver has a proven size bound. Two jobs: a count and a partial-aggregate
+    count per key (reading only ``key``).
+    """
+    if not 0 < fraction < 1:
+        raise ValueError("fraction must be in (0, 1)")
+    total = events.count()
+    counts = events.where(F.col(key).isNotNull()).groupBy(key).count()
+    hot = counts.where(F.col("count") > F.lit(fraction * total)).select(key).collect()
+    return [r[0] for r in hot]
+
+
 def _equi_hop(
     left: DataFrame,
     events: DataFrame,
@@ -66,6 +81,7 @@ def _equi_hop(
     max_days: int | None,
     how: str,
     salt: int | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     s, n = step_suffix(step), step_suffix(step + 1)
     nxt = suffix(events, step + 1)
@@ -77,12 +93,18 @@ def _equi_hop(
         left = left.withColumn("_bk", F.explode(keys))
         nxt = nxt.withColumn("_bk" + n, _bucket(F.col("time_norm" + n), max_days))
         cond = cond & (F.col("_bk") == F.col("_bk" + n))
-    salted = bool(salt and salt > 1 and how == "inner")
+    salted = bool(salt and salt > 1 and how == "inner" and (hot is None or len(hot) > 0))
     if salted:
         # every left row probes all salts; each event sits in one (by id), so
-        # a hot key is spread over ``salt`` join partitions, exactly once each
-        left = left.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))))
-        nxt = nxt.withColumn("_salt" + n, F.pmod(F.xxhash64(F.col("e_id" + n)), F.lit(int(salt))).cast("int"))
+        # a hot key is spread over ``salt`` join partitions, exactly once each.
+        # With ``hot`` given, only those keys are salted (others use salt 0).
+        all_salts = F.sequence(F.lit(0), F.lit(int(salt) - 1))
+        ev_salt = F.pmod(F.xxhash64(F.col("e_id" + n)), F.lit(int(salt))).cast("int")
+        if hot is not None:
+            all_salts = F.when(F.col(key + s).isin(hot), all_salts).otherwise(F.array(F.lit(0)))
+            ev_salt = F.when(F.col(key + n).isin(hot), ev_salt).otherwise(F.lit(0))
+        left = left.withColumn("_salt", F.explode(all_salts))
+        nxt = nxt.withColumn("_salt" + n, ev_salt)
         cond = cond & (F.col("_salt") == F.col("_salt" + n))
     cond = _with_day_cap(cond, cur_t, nxt_t, max_days)
     out = left.join(nxt, cond, how)
@@ -102,16 +124,17 @@ def hop_actor(
     max_days: int | None = None,
     how: str = "inner",
     salt: int | None = None,
+    hot: list | None = None,
 ):
     """Join each row's step-``step`` event to the same actor's earlier events.
 
-    ``salt=S`` (inner joins) splits every actor over ``S`` join partitions:
+    ``salt=S`` (inner joins) splits an actor over ``S`` join partitions:
     events are assigned a salt by a hash of their id and each left row is
-    replicated to all ``S`` salts. Exact; costs ``S`` copies of the left side,
-    so it suits a small frontier against a hot actor when AQE's skew split is
-    not available.
+    replicated to all ``S`` salts. Exact. ``hot`` (e.g. from
+    :func:`hot_keys`) limits this to the listed actors, so only their left
+    rows are replicated; without it every actor is salted.
     """
-    return _equi_hop(left, events, step, "actor", max_days, how, salt)
+    return _equi_hop(left, events, step, "actor", max_days, how, salt, hot)
 
 
 def hop_city(
@@ -121,10 +144,11 @@ def hop_city(
     max_days: int | None = None,
     how: str = "inner",
     salt: int | None = None,
+    hot: list | None = None,
 ):
     """Join each row's step-``step`` event to earlier events in the same city
-    (``salt`` as in :func:`hop_actor`)."""
-    return _equi_hop(left, events, step, "city", max_days, how, salt)
+    (``salt`` and ``hot`` as in :func:`hop_actor`)."""
+    return _equi_hop(left, events, step, "city", max_days, how, salt, hot)
 
 
 def hop_geo(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.filters import located, root as root_by_id, with_city
-from ..operators.hops import hop_actor, hop_city, hop_geo, step_suffix
+from ..operators.hops import hop_actor, hop_city, hop_geo, hot_keys, step_suffix
 from ..session import cut_lineage
 
 
@@ -113,6 +113,7 @@ def trail(
     prune: bool = True,
     salt: int | None = None,
     different_actor: bool = False,
+    hot_fraction: float | None = None,
 ) -> DataFrame:
     """All trails of ``depth`` hops back from ``root`` (an ``e_id`` or root rows).
 
@@ -126,8 +127,10 @@ def trail(
     enumerations short. ``prune`` restricts the events to the date window
     the roots can reach (:func:`prune_to_window`; one small job). ``salt``
     spreads each actor / city of the equi hops over that many join partitions
-    (see :func:`eventtrails.operators.hops.hop_actor`). ``different_actor``
-    requires another actor on each geo hop.
+    (see :func:`eventtrails.operators.hops.hop_actor`); with
+    ``hot_fraction`` only the actors / cities holding more than that share of
+    the events are salted (:func:`eventtrails.operators.hops.hot_keys`).
+    ``different_actor`` requires another actor on each geo hop.
     """
     ev = _hop_events(events, second)
     keep = ["e_id", "time_norm", "actor", "lat", "lon"] + (["city"] if second == "city" else [])
@@ -136,13 +139,17 @@ def trail(
     if prune:
         ev, cur = prune_to_window(ev, cur, depth, max_days)
     places = ev.select("lat", "lon") if second == "geo" else None
+    hot_actors = hot_cities = None
+    if salt and hot_fraction:
+        hot_actors = hot_keys(ev, "actor", hot_fraction)
+        hot_cities = hot_keys(ev, "city", hot_fraction) if second == "city" else None
     for step in range(1, depth + 1):
         if step % 2 == 1:
-            cur = hop_actor(cur, ev, step, max_days, salt=salt)
+            cur = hop_actor(cur, ev, step, max_days, salt=salt, hot=hot_actors)
         elif second == "geo":
             cur = hop_geo(cur, ev, step, max_km, max_days, different_actor, places=places)
         else:
-            cur = hop_city(cur, ev, step, max_days, salt=salt)
+            cur = hop_city(cur, ev, step, max_days, salt=salt, hot=hot_cities)
         if checkpoint_every and step % checkpoint_every == 0 and step < depth:
             n = step_suffix(step + 1)
             keep_now = trail_columns(step, second, max_days) + [c + n for c in keep if c not in ("e_id", "time_norm", "actor")]

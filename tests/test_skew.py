@@ -109,3 +109,21 @@ def test_salted_graph_equals_plain(spark, skewed):
     a = trail_graph(ev, root, 3, 150.0, checkpoint=False)[1]
     b = trail_graph(ev, root, 3, 150.0, checkpoint=False, salt=4)[1]
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_hot_key_salting(spark, skewed):
+    from eventtrails.operators.hops import hop_actor, hot_keys
+
+    rows, ev = skewed
+    assert hot_keys(ev, "actor", 0.3) == ["HOT"]  # half the rows
+    assert hot_keys(ev, "actor", 0.6) == []
+    plain = sorted(hop_actor(ev, ev).select("e_id", "e_id2").collect())
+    assert sorted(hop_actor(ev, ev, salt=6, hot=["HOT"]).select("e_id", "e_id2").collect()) == plain
+    root = max((r for r in rows if r[1] == "HOT"), key=lambda r: (r[2], r[0]))[0]
+    with conf(spark, SKEW_CONF):
+        a = trail(ev, root, 3, "geo", 150.0)
+        b = trail(ev, root, 3, "geo", 150.0, salt=5, hot_fraction=0.3)
+        assert sorted(a.collect()) == sorted(b.collect())
+        ga = trail_graph(ev, root, 3, 150.0, checkpoint=False)[1]
+        gb = trail_graph(ev, root, 3, 150.0, checkpoint=False, salt=5, hot_fraction=0.3)[1]
+        assert sorted(ga.collect()) == sorted(gb.collect())
