@@ -58,6 +58,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--second", choices=["geo", "city"], default="geo")
         s.add_argument("--km", type=float, default=500.0 if name == "trail" else 300.0)
         s.add_argument("--max-days", type=int)
+        s.add_argument("--salt", type=int, help="split hot actors/cities over this many join partitions")
+        s.add_argument("--hot-fraction", type=float, help="salt only keys above this share of the events")
     s = add("two-hop", help="same actor earlier, then another actor nearby")
     s.add_argument("--root", type=int, required=True)
     s.add_argument("--km", type=float, default=500.0)
@@ -87,12 +89,14 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
     elif q == "actor-countries":
         write_csv(search.actor_countries(ev, args.actor, args.start, args.end), **out)
     elif q == "trail":
-        t = trails.trail(ev, args.root, args.depth, args.second, args.km, args.max_days, order=True)
+        t = trails.trail(ev, args.root, args.depth, args.second, args.km, args.max_days, order=True,
+                         salt=args.salt, hot_fraction=args.hot_fraction)
         write_csv(t, **out)
     elif q == "two-hop":
         write_csv(trails.trail_two_hop(ev, args.root, args.km), **out)
     elif q == "graph":
-        nodes, edges = graph.trail_graph(ev, args.root, args.depth, args.km, args.second, args.max_days)
+        nodes, edges = graph.trail_graph(ev, args.root, args.depth, args.km, args.second, args.max_days,
+                                         salt=args.salt, hot_fraction=args.hot_fraction)
         write_graph(nodes, edges, **out)
     elif q == "most-related":
         write_csv(counts.most_related(ev, args.depth, args.km, args.max_days, cell_split=args.cell_split), **out)
