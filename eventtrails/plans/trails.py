@@ -132,6 +132,8 @@ def trail(
     the events are salted (:func:`eventtrails.operators.hops.hot_keys`).
     ``different_actor`` requires another actor on each geo hop.
     """
+    if depth < 0:
+        raise ValueError("depth must not be negative")
     ev = _hop_events(events, second)
     keep = ["e_id", "time_norm", "actor", "lat", "lon"] + (["city"] if second == "city" else [])
     ev = ev.select(*keep)

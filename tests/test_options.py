@@ -63,3 +63,19 @@ def test_nodes_without_actor_and_timeline_order(spark):
                                                    (2, dt.date(2000, 1, 2))]
     assert tl[0].geo_name == "P3" and all(r.actor == "A" for r in tl)
     assert ev.where(F.col("actor") == "B").count() == 1
+
+
+def test_depth_validation(spark):
+    import pytest
+
+    from eventtrails.plans.graph import trail_graph
+    from eventtrails.plans.trails import trail
+
+    ev = make_events(spark, _rows(n=5))
+    with pytest.raises(ValueError):
+        trail_graph(ev, 1, 0)
+    with pytest.raises(ValueError):
+        trail(ev, 1, -1)
+    with pytest.raises(ValueError):
+        count_trails(ev, depth=0)
+    assert trail(ev, 1, 0).columns == ["e_id", "time_norm", "actor"]
