@@ -24,6 +24,36 @@ RECOMMENDED_CONF = {
 }
 
 
+def scale_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20) -> dict:
+    """Suggested settings for a cluster job over ``input_bytes`` of events.
+
+    Returns a dict to pass to ``SparkSession.builder.config`` (nothing is
+    set here). Input splits and post-shuffle partitions target
+    ``target_partition_bytes`` each, so a task holds one partition plus
+    working memory well inside an executor core's share; AQE coalesces small
+    shuffle outputs and splits skewed ones (a skewed partition is one over 5x
+    the median and over 4x the target size). The initial shuffle partition
+    count starts at the input size over the target and is rounded up to a
+    multiple of the core count of one executor. Broadcasts stay at Spark's
+    default 10 MB, checked from statistics or measured by AQE.
+    """
+    target = int(target_partition_bytes)
+    parts = max(executor_cores, -(-int(input_bytes) // target))
+    parts = -(-parts // executor_cores) * executor_cores
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.autoBroadcastJoinThreshold": str(10 << 20),
+    }
+
+
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,

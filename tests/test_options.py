@@ -79,3 +79,13 @@ def test_depth_validation(spark):
     with pytest.raises(ValueError):
         count_trails(ev, depth=0)
     assert trail(ev, 1, 0).columns == ["e_id", "time_norm", "actor"]
+
+
+def test_scale_conf():
+    from eventtrails.session import scale_conf
+
+    c = scale_conf(100 * 10**12, executor_cores=4)
+    parts = int(c["spark.sql.shuffle.partitions"])
+    assert parts % 4 == 0 and 370_000 < parts < 380_000
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert int(scale_conf(10, executor_cores=8)["spark.sql.shuffle.partitions"]) == 8
