@@ -68,4 +68,5 @@ def cell_side_for_km(km: float) -> float:
 def grid_cell(lat, lon, km: float) -> list[Column]:
     """Integer (cx, cy, cz) cell of a point for a search radius of ``km``."""
     side = cell_side_for_km(km)
-    return [F.floor(c / F.lit(side)).cast("int") for c in unit_vector(lat, lon)]
+    # long: for radii under a metre the cell index exceeds the int range
+    return [F.floor(c / F.lit(side)).cast("long") for c in unit_vector(lat, lon)]

@@ -103,3 +103,11 @@ def test_neighbour_sums_split_equals_pairs(spark, km, split):
             if py_hav(a, b, x, y) < km:
                 want[(a, b, d)] = want.get((a, b, d), 0) + v
     assert sorted((a, b, d, v) for (a, b, d), v in want.items()) == base
+
+
+def test_tiny_radius_cells_do_not_overflow(spark):
+    df = spark.createDataFrame([(1, 10.0, 20.0), (2, 10.0, 20.0), (3, 10.0000001, 20.0)], "i int, lat double, lon double")
+    r = df.select(F.col("i").alias("j"), F.col("lat").alias("la"), F.col("lon").alias("lo"))
+    got = sorted((x.i, x.j) for x in distance_join(df, r, 1e-6, ("lat", "lon"), ("la", "lo"), None).collect())
+    # 1e-6 km = 1 mm: only identical points match (the third is 1.1 cm away)
+    assert got == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 3)]
