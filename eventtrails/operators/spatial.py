@@ -25,6 +25,11 @@ _CELL = ["_cx", "_cy", "_cz"]
 _OFFSETS_SQL = "array(" + ", ".join(f"named_struct('dx', {a}, 'dy', {b}, 'dz', {c})" for a, b, c in _OFFSETS) + ")"
 
 
+def _usable(lat: str, lon: str):
+    """A point that can be within some distance: present and not NaN."""
+    return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
+
+
 def with_cell(df: DataFrame, lat: str, lon: str, km: float) -> DataFrame:
     """Add the integer grid cell ``_cx, _cy, _cz`` of (lat, lon) for radius ``km``."""
     cx, cy, cz = grid_cell(F.col(lat), F.col(lon), km)
@@ -66,8 +71,8 @@ def distance_join(
     condition, e.g. a date order, so it is evaluated in the same operator.
     """
     (llat, llon), (rlat, rlon) = left_point, right_point
-    lsrc = left.where(F.col(llat).isNotNull() & F.col(llon).isNotNull())
-    rsrc = right.where(F.col(rlat).isNotNull() & F.col(rlon).isNotNull())
+    lsrc = left.where(_usable(llat, llon))
+    rsrc = right.where(_usable(rlat, rlon))
     if replicate == "left":
         lc, rc = with_neighbour_cells(lsrc, llat, llon, km), with_cell(rsrc, rlat, rlon, km)
     elif replicate == "right":

@@ -111,3 +111,15 @@ def test_tiny_radius_cells_do_not_overflow(spark):
     got = sorted((x.i, x.j) for x in distance_join(df, r, 1e-6, ("lat", "lon"), ("la", "lo"), None).collect())
     # 1e-6 km = 1 mm: only identical points match (the third is 1.1 cm away)
     assert got == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 3)]
+
+
+def test_nan_point_never_matches(spark):
+    from eventtrails.sources import parse_lines
+
+    lines = spark.createDataFrame([("1;A;[u'nan 2.0'];;t;2000-01-02;X",), ("2;B;[u'1.0 2.0'];;t;2000-01-01;Y",)], "value string")
+    ev = parse_lines(lines)
+    assert ev.where("e_id = 1").first().lat != ev.where("e_id = 1").first().lat  # NaN
+    got = distance_join(ev.select("e_id", "lat", "lon"),
+                        ev.select(F.col("e_id").alias("j"), F.col("lat").alias("la"), F.col("lon").alias("lo")),
+                        500.0, ("lat", "lon"), ("la", "lo"), None)
+    assert sorted((r.e_id, r.j) for r in got.collect()) == [(2, 2)]
