@@ -143,7 +143,8 @@ def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split:
     Exact either way; the split form pays off where many places share a cell
     (dense regions, large radius) and costs more planning where they do not.
     """
-    cen = centres.select("lat", "lon").distinct()
+    cen = centres.select("lat", "lon").where(_usable("lat", "lon")).distinct()
+    places = places.where(_usable("lat", "lon"))
     if not split:
         nb = neighbour_places(cen, places, km).select("lat", "lon", "n_lat", "n_lon")
 
@@ -201,6 +202,7 @@ def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split:
     )
 
     def spread(values: DataFrame, keys: list[str], value: str) -> DataFrame:
+        values = values.where(_usable("lat", "lon"))
         vq = _fine_cells(values, "lat", "lon", side, "_q")
         cell_tot = vq.groupBy("_qcx", "_qcy", "_qcz", *keys).agg(F.sum(value).alias(value))
         whole = whole_cells.join(cell_tot, ["_qcx", "_qcy", "_qcz"]).select("lat", "lon", *keys, value)

@@ -261,3 +261,17 @@ def test_trail_different_actor(spark):
     want = sorted(tuple(rows[i][0] for i in t) for t in brute_trails(rows, [root_i], 3, "geo", 150.0)
                   if rows[t[1]][1] != rows[t[2]][1])
     assert got == want
+
+
+def test_counts_with_nan_place(spark):
+    import math
+
+    rows = [(1, "A", "2000-01-05", 1.0, 1.0), (2, "A", "2000-01-04", math.nan, 1.0),
+            (3, "B", "2000-01-03", 1.0, 1.0), (4, "A", "2000-01-03", 1.0, 1.0)]
+    ev = make_events(spark, rows)
+    for split in (None, 2):
+        got = {r.e_id: r.trails for r in count_trails(ev, ev.where("e_id = 1"), 2, 100.0, cell_split=split).collect()}
+        # 1 -> 2 (NaN place: near nothing) -> none; 1 -> 4 -> none (3 is not earlier than 4)
+        assert got == {1: 0}
+    got = {r.e_id: r.trails for r in count_trails(ev, ev.where("e_id = 1"), 1, 100.0).collect()}
+    assert got == {1: 2}  # the actor hop alone reaches 2 and 4; a NaN place does not matter there
