@@ -17,7 +17,11 @@ from ..functions.geo import EARTH_RADIUS_KM, haversine_km
 
 
 def located(df: DataFrame) -> DataFrame:
-    """Keep events with a location (``lat`` and ``lon`` both present)."""
+    """Keep events with a location (``lat`` and ``lon`` both present).
+
+    A ``NaN`` coordinate counts as located, as a non-empty ``loc`` did in the
+    original, but it is within no distance of anything.
+    """
     return df.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
 
@@ -32,6 +36,7 @@ def with_country(df: DataFrame) -> DataFrame:
 
 
 def by_actor(df: DataFrame, actor: str) -> DataFrame:
+    """Keep one actor's events (an equality pushed to the scan when stored)."""
     return df.where(F.col("actor") == F.lit(actor))
 
 
