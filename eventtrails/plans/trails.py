@@ -58,16 +58,20 @@ def date_window(roots: DataFrame, depth: int, max_days: int | None):
     return lo, hi
 
 
-def prune_to_window(ev: DataFrame, roots: DataFrame, depth: int, max_days: int | None) -> tuple[DataFrame, DataFrame]:
+def prune_to_window(
+    ev: DataFrame, roots: DataFrame, depth: int, max_days: int | None, materialize: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """Restrict the hop side of ``ev`` to the dates trails from ``roots`` can reach.
 
     The bounds are literals, so they reach the Parquet reader as pushed
     filters and a table sorted by date skips every row group outside the
-    window (each hop then reads a slice instead of the whole table). The
-    roots are materialised first (to the checkpoint folder, if configured)
-    so they are not computed twice.
+    window (each hop then reads a slice instead of the whole table). With
+    ``materialize`` the roots are written first (to the checkpoint folder,
+    if configured) so they are not computed twice; roots picked by id are a
+    cheap filtered scan and are not written.
     """
-    roots = cut_lineage(roots)
+    if materialize:
+        roots = cut_lineage(roots)
     w = date_window(roots, depth, max_days)
     if w is None:
         return ev.where(F.lit(False)), roots
@@ -139,7 +143,7 @@ def trail(
     ev = ev.select(*keep)
     cur = _roots(ev, root)
     if prune:
-        ev, cur = prune_to_window(ev, cur, depth, max_days)
+        ev, cur = prune_to_window(ev, cur, depth, max_days, isinstance(root, DataFrame))
     places = ev.select("lat", "lon") if second == "geo" else None
     hot_actors = hot_cities = None
     if salt and hot_fraction:
@@ -179,7 +183,7 @@ def trail_two_hop(
     ev = located(events).select("e_id", "time_norm", "actor", "lat", "lon")
     roots = _roots(ev, root)
     if prune:
-        ev, roots = prune_to_window(ev, roots, 2, None)
+        ev, roots = prune_to_window(ev, roots, 2, None, isinstance(root, DataFrame))
     cur = hop_actor(roots, ev, 1, how="left")
     cur = hop_geo(cur, ev, 2, max_km, different_actor=True, places=ev.select("lat", "lon"))
     out = cur.select(
