@@ -218,6 +218,8 @@ def main() -> None:
                       ("trail_graph_edges", "naive_trail_graph_edges")]:
             if q in times:
                 comparisons[q] = {"ours": times[q], "naive": naive[nq]}
+        for c in comparisons.values():
+            c["naive_over_ours"] = round(c["naive"] / c["ours"], 2) if c["ours"] else None
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
         "metric": "headline_queries_total_wall",
