@@ -67,7 +67,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--depth", type=int, default=6)
     s.add_argument("--km", type=float, default=300.0)
     s.add_argument("--max-days", type=int)
-    s.add_argument("--cell-split", type=int)
+    s.add_argument("--cell-split", type=lambda v: v if v == "auto" else int(v), help="k, or auto")
     s = add("enrich", help="add city and country from a gazetteer (writes the 9-column text format)")
     s.add_argument("--gazetteer", required=True, help="Parquet: place_id, lat, lon, city, country")
     s.add_argument("--km", type=float, default=50.0)

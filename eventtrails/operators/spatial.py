@@ -125,6 +125,24 @@ def _fine_cells(df: DataFrame, lat: str, lon: str, side: float, prefix: str) ->
     )
 
 
+AUTO_SPLIT = 4
+AUTO_MIN_PLACES_PER_CELL = 3.0
+
+
+def choose_split(places: DataFrame, km: float, k: int = AUTO_SPLIT) -> int | None:
+    """``k`` if distinct places share cells ``k`` times finer than ``km`` on
+    average (at least ``AUTO_MIN_PLACES_PER_CELL`` per non-empty cell), else
+    ``None``. One aggregate job over the distinct places."""
+    side = cell_side_for_km(km) / k
+    pl = _fine_cells(places.select("lat", "lon").where(_usable("lat", "lon")).distinct(), "lat", "lon", side, "_q")
+    row = pl.agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("_qcx", "_qcy", "_qcz").alias("cells")
+    ).first()
+    if not row or not row["cells"]:
+        return None
+    return k if row["n"] / row["cells"] >= AUTO_MIN_PLACES_PER_CELL else None
+
+
 def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split: int | None = None):
     """Build, once, a function that sums values over neighbouring places.
 

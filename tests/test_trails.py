@@ -275,3 +275,11 @@ def test_counts_with_nan_place(spark):
         assert got == {1: 0}
     got = {r.e_id: r.trails for r in count_trails(ev, ev.where("e_id = 1"), 1, 100.0).collect()}
     assert got == {1: 2}  # the actor hop alone reaches 2 and 4; a NaN place does not matter there
+
+
+def test_counts_auto_split_equal(spark):
+    rows = random_rows(71, n=40)
+    ev = make_events(spark, rows)
+    a = {r.e_id: r.trails for r in count_trails(ev, ev, 3, 400.0).collect()}
+    b = {r.e_id: r.trails for r in count_trails(ev, ev, 3, 400.0, cell_split="auto").collect()}
+    assert a == b
