@@ -26,15 +26,32 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import secret_report
+
+    return secret_report(_read(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import pii_report
+
+    return pii_report(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_mix_sources": op2_mix_sources,
         "op4_exact_dedup": op4_exact_dedup,
+        "op5_secret_scan": op5_secret_scan,
+        "op10_pii": op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    from .secret_scan import BASE_KINDS, RULES
+
     return {
         "op2_mix_sources": sql.MIX_SOURCES,
         "op4_exact_dedup": sql.EXACT_DEDUP,
+        "op5_secret_scan": sql.secret_scan(RULES, BASE_KINDS),
     }

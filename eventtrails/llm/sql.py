@@ -61,3 +61,39 @@ FROM r
 
 
 MIX_SOURCES = mix_sources()
+
+
+def _positions(source: str, kind: str, order: int, regex: str, group: int, least: int) -> str:
+    """Places of a regex's matches: lengths of the pieces and matches before."""
+    rx = regex.replace("'", "''")
+    return rf"""
+  SELECT rn, {order} AS ord, '{kind}' AS kind,
+         coalesce(list_sum([length(x) FOR x IN ps[1:i]]), 0) + coalesce(list_sum([length(x) FOR x IN ms[1:i-1]]), 0) AS s,
+         length(ms[i]) AS len
+  FROM (
+    SELECT rn, ms, ps, gs, unnest(range(1, len(ms) + 1)) AS i FROM (
+      SELECT rn, regexp_extract_all(t, '{rx}', 0) AS ms, regexp_extract_all(t, '{rx}', {group}) AS gs,
+             string_split_regex(t, '{rx}') AS ps
+      FROM {source} WHERE regexp_matches(t, '{rx}')
+    )
+  ) WHERE length(gs[i]) >= {least}"""
+
+
+def secret_scan(rules, base_kinds, documents: str = "documents") -> str:
+    parts = " UNION ALL ".join(_positions("d", r.kind, n, r.regex, r.group, r.least) for n, r in enumerate(rules))
+    base = ", ".join(f"'{k}'" for k in base_kinds)
+    counts = ",\n       ".join(f"count(kind) FILTER (kind = '{k}') AS n_{k}" for k in base_kinds)
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM {documents}
+), p AS MATERIALIZED ({parts}
+), q AS (
+  SELECT *, kind || ':' || s::BIGINT || ':' || (s + len)::BIGINT AS span FROM p
+)
+SELECT any_value(doc_id) AS doc_id,
+       {counts},
+       sha256(coalesce(string_agg(span, ',' ORDER BY s, ord) FILTER (kind IN ({base})), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY s, ord), '') AS spans
+FROM d LEFT JOIN q USING (rn)
+GROUP BY rn
+"""
