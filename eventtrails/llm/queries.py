@@ -32,6 +32,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(_read(spark, sf_dir, "documents"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    return top_k(_read(spark, sf_dir, "embeddings"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pii_report
 
@@ -43,6 +49,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix_sources": op2_mix_sources,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_secret_scan": op5_secret_scan,
+        "op7_topk": op7_topk,
         "op10_pii": op10_pii,
     }
 
@@ -53,5 +60,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": sql.MIX_SOURCES,
         "op4_exact_dedup": sql.EXACT_DEDUP,
+        "op7_topk": sql.top_k(),
         "op5_secret_scan": sql.secret_scan(RULES, BASE_KINDS),
     }

@@ -97,3 +97,19 @@ SELECT any_value(doc_id) AS doc_id,
 FROM d LEFT JOIN q USING (rn)
 GROUP BY rn
 """
+
+
+def top_k(k: int = 5, every: int = 50, scale: int = 256, embeddings: str = "embeddings") -> str:
+    return rf"""
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor({scale} * x::DOUBLE) FOR x IN embedding] AS v FROM {embeddings}
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, q.v AS qv, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON len(c.v) = len(q.v) AND c.vec_id <> q.vec_id WHERE q.vec_id % {every} = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id, qv ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {k}
+"""
