@@ -38,6 +38,18 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_read(spark, sf_dir, "embeddings"))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sentencepiece_codec import encode_documents
+
+    return encode_documents(_read(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan_licenses
+
+    return scan_licenses(_read(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import pii_report
 
@@ -50,16 +62,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_exact_dedup": op4_exact_dedup,
         "op5_secret_scan": op5_secret_scan,
         "op7_topk": op7_topk,
+        "op8_sentencepiece": op8_sentencepiece,
+        "op9_license_scan": op9_license_scan,
         "op10_pii": op10_pii,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import license_scan as L
     from .secret_scan import BASE_KINDS, RULES
 
     return {
         "op2_mix_sources": sql.MIX_SOURCES,
         "op4_exact_dedup": sql.EXACT_DEDUP,
         "op7_topk": sql.top_k(),
+        "op9_license_scan": sql.license_scan(L.TEXTS + L.NOTICES, L.NOTICES, L.EQUIVALENTS, L.COPYRIGHT_LINE, L.PUNCTUATION),
         "op5_secret_scan": sql.secret_scan(RULES, BASE_KINDS),
     }

@@ -113,3 +113,30 @@ WITH v AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {k}
 """
+
+
+def license_scan(texts, notices, equivalents, copyright_line, punctuation, documents: str = "documents") -> str:
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    def form(t: str) -> str:
+        upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+        e = f"regexp_replace(translate({t}, '{upper}', '{lower}'), {quoted(copyright_line)}, chr(10), 'g')"
+        e = f"' ' || regexp_replace({e}, {quoted(punctuation)}, '  ', 'g') || ' '"
+        for a, b in equivalents:
+            e = f"replace({e}, ' {a.replace(' ', '  ')} ', ' {b.replace(' ', '  ')} ')"
+        return f"trim(regexp_replace({e}, ' +', ' ', 'g'), ' ')"
+
+    def known(rows) -> str:
+        values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in rows)
+        return f"SELECT sha256({form('t')}) AS known, min(l) AS license FROM (VALUES {values}) x(l, t) GROUP BY 1"
+
+    return f"""
+WITH w AS ({known(texts)}), n AS ({known(notices)}),
+d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM {documents}),
+f AS (SELECT rn, doc_id, {form('t')} AS f FROM d),
+l AS (SELECT rn, {form('line')} AS f FROM (SELECT rn, unnest(string_split(t, chr(10))) AS line FROM d)),
+m AS (SELECT rn, string_agg(DISTINCT n.license, ',' ORDER BY n.license) AS found FROM l JOIN n ON sha256(l.f) = n.known GROUP BY rn)
+SELECT f.doc_id, CASE WHEN f <> '' THEN sha256(f) END AS text_digest, w.license, coalesce(m.found, '') AS line_licenses
+FROM f LEFT JOIN w ON f <> '' AND w.known = sha256(f) LEFT JOIN m ON m.rn = f.rn
+"""
