@@ -13,6 +13,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ngram_join import ngram_join
+
+    return ngram_join(_read(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .source_mix import mix_sources
 
@@ -58,6 +64,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ngram_join": op1_ngram_join,
         "op2_mix_sources": op2_mix_sources,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_secret_scan": op5_secret_scan,
