@@ -10,9 +10,9 @@ taken the whole number of times, and a seeded sample is taken once more to make
 up the fraction. The sample is the documents with the smallest seeded hashes
 whose sizes fit; the document at the boundary gives the last words as a
 fractional repetition, so a source's words meet its target to the word.
-The boundary is found by counts: a histogram of hash buckets per source picks
-the bucket, and only that bucket's rows are ordered. No source is sorted or
-gathered whole, whatever its share of the rows.
+The boundary is found by counts: a histogram of the hashes' next digit per source
+picks the digit, level by level, and only the rows of the last bucket are ordered.
+No source is sorted or gathered whole, whatever its share of the rows.
 
 Defined cases: null text has no words and is never taken; a null source is a
 source of its own, last in order; rows that agree in source, id and size share
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 
 from . import shared as S
 
-#: Hash buckets of a source's histogram; a source of 10^10 rows orders 150,000 of them.
-BUCKETS = 1 << 16
+#: A sample's hashes have this many bits and are searched digit by digit; after the
+#: last level a source of 10^10 rows orders some 600 of them.
+HASH_BITS, DIGIT_BITS, LEVELS = 60, 8, 3
 
 
 def word_count(text: Column) -> Column:
@@ -72,7 +73,7 @@ def default_weights(sources: DataFrame) -> DataFrame:
     return sources.withColumn("weight", ((F.row_number().over(order) - 1) % 3 + 1).cast("long"))
 
 
-def _plan(docs: DataFrame, weights, max_epochs, share, seed, id_col, text_col, source_col, buckets):
+def _plan(docs: DataFrame, weights, max_epochs, share, seed, id_col, text_col, source_col, levels):
     """The written sizes, plan per source and boundary rows of a mix.
 
     The plan has a row per source: whole repetitions, and the hash bucket in
@@ -96,22 +97,14 @@ def _plan(docs: DataFrame, weights, max_epochs, share, seed, id_col, text_col, s
         .select("source", "source_size", "target", "whole", "rest"),
         "mix-targets",
     )
-    hist = sized.groupBy("source", _bucket(F.col("u"), buckets).alias("bucket")).agg(F.sum("size").alias("words"))
-    upto = W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    edge = (
-        hist.withColumn("upto", F.sum("words").over(upto))
-        .withColumnRenamed("source", "s")
-        .join(targets.select(F.col("source").alias("t"), "rest"), F.col("s").eqNullSafe(F.col("t")))
-        # the bucket in which the running sum passes what is left to take
-        .filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest")))
-        .select(F.col("s").alias("e"), F.col("bucket").alias("edge"), (F.col("rest") - F.col("upto") + F.col("words")).alias("left"))
-    )
-    plan = targets.join(edge, F.col("source").eqNullSafe(F.col("e")), "left").drop("e").withColumnRenamed("source", "p")
-    plan = S.table(plan, "mix-plan")
+    # digit by digit down to the hash bucket in which the words run out
+    plan = targets.withColumnsRenamed({"source": "p"}).withColumn("edge", F.lit(0).cast("long")).withColumn("left", F.col("rest"))
+    for level in range(levels):
+        plan = S.table(_descend(sized, plan, level), f"mix-plan-{level}")
     # rows that agree in all of source, id and size are one row here, with a count
     same = (
         sized.join(plan, F.col("source").eqNullSafe(F.col("p")))
-        .filter(_bucket(F.col("u"), buckets) == F.col("edge"))
+        .filter(_bucket(F.col("u"), levels) == F.col("edge"))
         .groupBy("source", "u", "id", "size", "left")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -124,18 +117,41 @@ def _plan(docs: DataFrame, weights, max_epochs, share, seed, id_col, text_col, s
     return sized, plan, S.table(part, "mix-boundary")
 
 
-def _bucket(u: Column, buckets: int) -> Column:
-    return F.floor(u / F.lit((1 << 60) // buckets)).cast("int")
+def _bucket(u: Column, levels: int) -> Column:
+    """The first ``levels`` digits of a hash."""
+    return F.shiftright(u, HASH_BITS - DIGIT_BITS * levels)
+
+
+def _descend(sized: DataFrame, plan: DataFrame, level: int) -> DataFrame:
+    """Adds a digit to every source's ``edge``: the one at which ``left`` runs out.
+
+    A source has at most ``2 ** DIGIT_BITS`` counts a level. A source whose words
+    do not run out keeps a null edge: all of its documents are below it.
+    """
+    digits = (
+        sized.join(plan.filter(F.col("edge").isNotNull()), F.col("source").eqNullSafe(F.col("p")))
+        .filter(_bucket(F.col("u"), level) == F.col("edge"))
+        .groupBy("p", "left", _bucket(F.col("u"), level + 1).alias("next"))
+        .agg(F.sum("size").alias("words"))
+    )
+    upto = F.sum("words").over(W.partitionBy("p").orderBy("next").rowsBetween(W.unboundedPreceding, W.currentRow))
+    step = (
+        digits.withColumn("upto", upto)
+        .filter((F.col("upto") > F.col("left")) & (F.col("upto") - F.col("words") <= F.col("left")))
+        .select(F.col("p").alias("s"), "next", (F.col("left") - F.col("upto") + F.col("words")).alias("new_left"))
+    )
+    kept = plan.drop("edge", "left").join(step, F.col("p").eqNullSafe(F.col("s")), "left").drop("s")
+    return kept.withColumnsRenamed({"next": "edge", "new_left": "left"})
 
 
-def _taken(sized: DataFrame, plan: DataFrame, part: DataFrame, buckets: int) -> DataFrame:
+def _taken(sized: DataFrame, plan: DataFrame, part: DataFrame, levels: int) -> DataFrame:
     """Adds ``source_size``, ``target`` and ``taken`` to rows with id, source, size and u.
 
     Both tables are small (a row per source); Spark broadcasts them by their
     measured size, and splits a hot source's rows where it does not.
     """
     key = F.col("source").eqNullSafe(F.col("ps")) & (F.col("u") == F.col("pu")) & F.col("id").eqNullSafe(F.col("pi")) & (F.col("size") == F.col("pz"))
-    below = F.col("edge").isNull() & (F.col("rest") > 0) | (_bucket(F.col("u"), buckets) < F.col("edge"))
+    below = F.col("edge").isNull() | (_bucket(F.col("u"), levels) < F.col("edge"))
     extra = F.coalesce(F.col("part"), F.when(below, F.col("size")), F.lit(0))
     return (
         sized.join(plan, F.col("source").eqNullSafe(F.col("p")))
@@ -153,15 +169,15 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    buckets: int = BUCKETS,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """One row per document: ``(id, source, size, source_size, target, taken)``.
 
     ``weights`` takes a frame ``(source, source_size)`` and adds ``weight``.
     ``taken`` counts the words the mix takes of the document, repeats included.
     """
-    sized, plan, part = _plan(docs, weights, max_epochs, share, seed, id_col, text_col, source_col, buckets)
-    return _taken(sized, plan, part, buckets).select(
+    sized, plan, part = _plan(docs, weights, max_epochs, share, seed, id_col, text_col, source_col, levels)
+    return _taken(sized, plan, part, levels).select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "taken"
     )
 
@@ -175,7 +191,7 @@ def mixed_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    buckets: int = BUCKETS,
+    levels: int = LEVELS,
 ) -> DataFrame:
     """The mix itself: each document as often as the mix takes it, same columns.
 
@@ -183,7 +199,7 @@ def mixed_documents(
     words on, so texts stay whole. Documents that are not taken go. Texts are
     not shuffled: each row is decided by its own hash and its source's plan.
     """
-    _, plan, part = _plan(docs, weights, max_epochs, share, seed, id_col, text_col, source_col, buckets)
+    _, plan, part = _plan(docs, weights, max_epochs, share, seed, id_col, text_col, source_col, levels)
     rows = docs.select(
         F.col(id_col).alias("id"),
         F.col(source_col).cast("string").alias("source"),
@@ -191,5 +207,5 @@ def mixed_documents(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
     ).withColumn("u", seeded_hash(seed, F.col("id"), F.col("size")))
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + F.lit(0.5))).otherwise(0).cast("int")
-    mixed = _taken(rows, plan, part, buckets).withColumn("times", times).filter("times > 0")
+    mixed = _taken(rows, plan, part, levels).withColumn("times", times).filter("times > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
