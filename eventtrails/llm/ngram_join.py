@@ -332,7 +332,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
             return labels
 
 
-def ngram_join(
+def _linked(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -343,18 +343,14 @@ def ngram_join(
     target: float = TARGET_RECALL,
     block: int = BLOCK,
 ) -> DataFrame:
-    """One row per document: ``(id, copy_of, class_id, n_links)``.
-
-    ``copy_of`` is the smallest id with the same set of shingles, ``class_id`` the
-    smallest id of the connected documents, ``n_links`` the number of other
-    documents whose Jaccard similarity reaches the threshold, copies included.
-    """
+    """The join's rows, with the text's hash ``h`` and whether the row ``stays``."""
+    S.ship_code(docs.sparkSession)
     text = S.text_or_empty(text_col).cast("binary")
     rows = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("h"), text.alias("text"))
     signed = S.table(_signatures(rows, words, trees * path), "forest-signed")
     reps = S.table(
         signed.groupBy("digest").agg(
-            F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"))).alias("first"),
+            F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("h"))).alias("first"),
             F.count(F.lit(1)).alias("size"),
             F.first("n").alias("n"),
             F.first("sig").alias("sig"),
@@ -386,9 +382,51 @@ def ngram_join(
     classes = S.table(classes, "forest-linked")
     least = classes.groupBy("root").agg(F.min("first").alias("least"))
     classes = S.table(classes.join(least, "root").drop("root"), "forest-labelled")
-    return signed.select("id", "digest").join(classes, "digest").select(
+    return signed.select("id", "h", "digest").join(classes, "digest").select(
         F.col("id").alias(id_col),
         F.col("first.id").alias("copy_of"),
         F.col("least.id").alias("class_id"),
         (F.coalesce(F.col("links"), F.lit(0)) + F.col("size") - 1).cast("long").alias("n_links"),
+        "h",
+        (F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))).alias("stays"),
     )
+
+
+def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: ``(id, copy_of, class_id, n_links)``.
+
+    ``copy_of`` is the smallest id with the same set of shingles, ``class_id`` the
+    smallest id of the connected documents, ``n_links`` the number of other
+    documents whose Jaccard similarity reaches the threshold, copies included.
+    Options: ``words``, ``threshold``, ``trees``, ``path`` (hashes a tree),
+    ``target`` (recall) and ``block`` (rows of a block).
+    """
+    return _linked(docs, id_col, text_col, **options).select(id_col, "copy_of", "class_id", "n_links")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group of linked documents: the one with
+    the smallest id, then text hash. Documents without words are a group; rows
+    that agree in id and text are one document.
+
+    A broadcast bit filter, bounded in size, tells rows that surely stay; the
+    others are checked against the dropped ids by a join.
+    """
+    gone = _linked(docs, id_col, text_col, **options).filter("not stays").select(F.col(id_col).alias("gone"), F.col("h").alias("gone_h")).distinct()
+    gone = S.table(gone, "forest-gone")
+    h, block, bits = (S.free_name(docs, c) for c in ("text_hash", "filter_block", "filter_bits"))
+    slots = S.filter_slots(gone.count(), 16, FILTER_BYTES * 8)
+
+    def slot(c: str):
+        return F.pmod(F.xxhash64(F.col(c)), F.lit(slots)).cast("long")
+
+    maps = gone.select(S.slot_block(slot("gone_h")).alias(block), S.slot_bit(slot("gone_h")).alias("bit")).distinct()
+    maps = S.table(maps.groupBy(block).agg(F.bitmap_construct_agg("bit").alias(bits)), "forest-gone-filter")
+    rows = docs.withColumn(h, F.unhex(F.md5(S.text_or_empty(text_col).cast("binary"))))
+    rows = rows.join(F.broadcast(maps), S.slot_block(slot(h)) == F.col(block), "left")
+    hit = S.bit_is_set(F.col(bits), S.slot_bit(slot(h)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    surely = rows.filter(~hit).select(*columns)
+    maybe = rows.filter(hit)
+    checked = maybe.join(gone, maybe[id_col].eqNullSafe(gone["gone"]) & (maybe[h] == gone["gone_h"]), "left_anti")
+    return surely.unionByName(checked.select(*columns))

@@ -38,6 +38,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(_read(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+
+    return score_quality(_read(spark, sf_dir, "documents"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .topk import top_k
 
@@ -68,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix_sources": op2_mix_sources,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_secret_scan": op5_secret_scan,
+        "op6_quality": op6_quality,
         "op7_topk": op7_topk,
         "op8_sentencepiece": op8_sentencepiece,
         "op9_license_scan": op9_license_scan,

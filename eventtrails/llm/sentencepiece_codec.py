@@ -297,6 +297,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id"
 
     ``exact`` says that the decoded ids are the text again.
     """
+    S.ship_code(docs.sparkSession)
     vocab = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))
     rows = docs.select(F.col(id_col).alias("id"), S.text_or_empty(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -328,6 +329,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id"
 
 def decode_documents(coded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``(id, text)`` of coded documents; null ids decode to the empty text."""
+    S.ship_code(coded.sparkSession)
     vocab = coded.sparkSession.sparkContext.broadcast(load_vocabulary(model))
     rows = coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
     id_type = rows.schema["id"].dataType.simpleString()

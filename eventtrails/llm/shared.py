@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,27 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Gives Python workers this package, once per application.
+
+    Functions that run in tasks are pickled by reference to their modules, which
+    executors need not have on their path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[2]
+    path = f"{tempfile.mkdtemp(prefix='llm-code-')}/eventtrails_code.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted((top / "eventtrails").rglob("*.py")):
+            z.write(f, f.relative_to(top))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def table(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back.
 

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import shared as S
+
 CANDIDATES_PER_BLOCK = 16384
 QUERIES_PER_BLOCK = 2048
 #: Depth of the first round of sorted access; it doubles every round.
@@ -145,6 +147,7 @@ def top_k(
     Queries are the rows whose id ``every`` divides. Components become
     ``floor(scale * x)``, so scores are exact integers.
     """
+    S.ship_code(vectors.sparkSession)
     rows = (
         vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
         .filter(F.col("id").isNotNull() & _usable(F.col("v")))
