@@ -26,6 +26,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_extract import extract_main_text
+
+    return extract_main_text(_read(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
@@ -72,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
         "op2_mix_sources": op2_mix_sources,
+        "op3_html_extract": op3_html_extract,
         "op4_exact_dedup": op4_exact_dedup,
         "op5_secret_scan": op5_secret_scan,
         "op6_quality": op6_quality,
