@@ -21,6 +21,7 @@ from pyspark.sql import SparkSession
 
 from .plans import counts, graph, places, search, trails
 from .sinks import write_csv, write_events_text, write_graph
+from .session import drop_intermediates
 from .sources import read_events, read_events_table
 
 
@@ -67,7 +68,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--depth", type=int, default=6)
     s.add_argument("--km", type=float, default=300.0)
     s.add_argument("--max-days", type=int)
-    s.add_argument("--cell-split", type=lambda v: v if v == "auto" else int(v), help="k, or auto")
+    s.add_argument("--cell-split", type=int, help="k: sum whole cells k times finer than the radius")
     s = add("enrich", help="add city and country from a gazetteer (writes the 9-column text format)")
     s.add_argument("--gazetteer", required=True, help="Parquet: place_id, lat, lon, city, country")
     s.add_argument("--km", type=float, default=50.0)
@@ -110,5 +111,6 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"eventtrails {args.query}").getOrCreate()
     t0 = time.time()
     run(args, spark)
+    drop_intermediates(spark)
     print(f"{args.query} execution time: {time.time() - t0:.3f} s", file=sys.stderr)
     return 0

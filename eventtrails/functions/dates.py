@@ -19,13 +19,22 @@ def abs_day_gap(a, b) -> Column:
 
 
 def date_lit(value) -> Column:
-    """A DATE literal from ``date``/``datetime``/ISO text (``yyyy-M-d`` allowed)."""
-    if isinstance(value, _dt.datetime):
-        value = value.date()
+    """A DATE literal from ``date``/``datetime``/ISO text (``yyyy-M-d`` allowed).
+
+    Built from its parts, which holds for any year (a Python ``date`` literal
+    does not before the year 1000); Catalyst folds it to a constant that is
+    pushed to the scan like any other.
+    """
     if isinstance(value, _dt.date):
-        return F.lit(value)
-    y, m, d = (int(p) for p in str(value).strip().split("-"))
-    return F.lit(_dt.date(y, m, d))
+        y, m, d = value.year, value.month, value.day
+    else:
+        y, m, d = (int(p) for p in str(value).strip().split("-"))
+    return F.make_date(F.lit(y), F.lit(m), F.lit(d))
+
+
+def day_lit(days: int) -> Column:
+    """A DATE literal from days since 1970-01-01, in any year."""
+    return F.date_from_unix_date(F.lit(int(days)))
 
 
 def _c(c) -> Column:

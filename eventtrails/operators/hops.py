@@ -65,8 +65,8 @@ def hot_keys(events: DataFrame, key: str, fraction: float = 0.01) -> list:
     driver has a proven size bound. Two jobs: a count and a partial-aggregate
     count per key (reading only ``key``).
     """
-    if not 0 < fraction < 1:
-        raise ValueError("fraction must be in (0, 1)")
+    if not 0.001 <= fraction < 1:
+        raise ValueError("fraction must be in [0.001, 1)")
     total = events.count()
     counts = events.where(F.col(key).isNotNull()).groupBy(key).count()
     hot = counts.where(F.col("count") > F.lit(fraction * total)).select(key).collect()
@@ -83,6 +83,8 @@ def _equi_hop(
     salt: int | None = None,
     hot: list | None = None,
 ) -> DataFrame:
+    if salt and how != "inner":
+        raise ValueError("salt needs an inner join: an outer one would emit a row per salt")
     s, n = step_suffix(step), step_suffix(step + 1)
     nxt = suffix(events, step + 1)
     cur_t, nxt_t = F.col("time_norm" + s), F.col("time_norm" + n)

@@ -125,24 +125,6 @@ def _fine_cells(df: DataFrame, lat: str, lon: str, side: float, prefix: str) ->
     )
 
 
-AUTO_SPLIT = 4
-AUTO_MIN_PLACES_PER_CELL = 3.0
-
-
-def choose_split(places: DataFrame, km: float, k: int = AUTO_SPLIT) -> int | None:
-    """``k`` if distinct places share cells ``k`` times finer than ``km`` on
-    average (at least ``AUTO_MIN_PLACES_PER_CELL`` per non-empty cell), else
-    ``None``. One aggregate job over the distinct places."""
-    side = cell_side_for_km(km) / k
-    pl = _fine_cells(places.select("lat", "lon").where(_usable("lat", "lon")).distinct(), "lat", "lon", side, "_q")
-    row = pl.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("_qcx", "_qcy", "_qcz").alias("cells")
-    ).first()
-    if not row or not row["cells"]:
-        return None
-    return k if row["n"] / row["cells"] >= AUTO_MIN_PLACES_PER_CELL else None
-
-
 def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split: int | None = None):
     """Build, once, a function that sums values over neighbouring places.
 
@@ -158,7 +140,7 @@ def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split:
     the radius: a cell lying wholly inside the radius of a centre contributes
     its pre-summed total (one row per cell and key instead of one per place),
     and only places in cells crossing the boundary are tested one by one.
-    Exact either way; the split form pays off where many places share a cell
+    A sum that overflows its type is null. Exact either way; the split form pays off where many places share a cell
     (dense regions, large radius) and costs more planning where they do not.
     """
     cen = centres.select("lat", "lon").where(_usable("lat", "lon")).distinct()
@@ -168,7 +150,7 @@ def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split:
 
         def spread(values: DataFrame, keys: list[str], value: str) -> DataFrame:
             vals = values.withColumnsRenamed({"lat": "n_lat", "lon": "n_lon"})
-            return nb.join(vals, ["n_lat", "n_lon"]).groupBy("lat", "lon", *keys).agg(F.sum(value).alias(value))
+            return nb.join(vals, ["n_lat", "n_lon"]).groupBy("lat", "lon", *keys).agg(F.try_sum(F.col(value)).alias(value))
 
         return spread
     k = int(split)
@@ -222,12 +204,12 @@ def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split:
     def spread(values: DataFrame, keys: list[str], value: str) -> DataFrame:
         values = values.where(_usable("lat", "lon"))
         vq = _fine_cells(values, "lat", "lon", side, "_q")
-        cell_tot = vq.groupBy("_qcx", "_qcy", "_qcz", *keys).agg(F.sum(value).alias(value))
+        cell_tot = vq.groupBy("_qcx", "_qcy", "_qcz", *keys).agg(F.try_sum(F.col(value)).alias(value))
         whole = whole_cells.join(cell_tot, ["_qcx", "_qcy", "_qcz"]).select("lat", "lon", *keys, value)
         part = edge_places.join(
             values.withColumnsRenamed({"lat": "p_lat", "lon": "p_lon"}), ["p_lat", "p_lon"]
         ).select("lat", "lon", *keys, value)
-        return whole.unionByName(part).groupBy("lat", "lon", *keys).agg(F.sum(value).alias(value))
+        return whole.unionByName(part).groupBy("lat", "lon", *keys).agg(F.try_sum(F.col(value)).alias(value))
 
     return spread
 

@@ -133,6 +133,14 @@ def time_interval() -> str:
     )
 
 
+def time_interval_early() -> str:
+    moved = f"CAST(time_norm - INTERVAL {P.EARLY_YEARS} YEAR AS DATE)"
+    return with_ev(
+        f"SELECT e_id, actor, geo_name, {moved} AS time_norm FROM loc "
+        f"WHERE {moved} >= {d(P.EARLY_START)} AND {moved} <= DATE '0524-01-15'"
+    )
+
+
 def time_interval_open() -> str:
     return with_ev(f"SELECT e_id, actor, geo_name, time_norm FROM loc WHERE time_norm >= {d(P.OPEN_START)}")
 
@@ -368,7 +376,12 @@ def city_graph() -> tuple[str, str]:
 # ---- counts and enrichment --------------------------------------------------------------
 
 
-def most_related() -> str:
+def most_related_exact() -> str:
+    """Every event ``EXACT_COPIES`` times: each hop has that many times the ways."""
+    return most_related(f"CAST(c.f * {P.EXACT_COPIES ** P.RELATED_DEPTH} AS VARCHAR)")
+
+
+def most_related(counted: str = "CAST(c.f AS BIGINT)") -> str:
     """Backward path counts with plain joins (no windows): f_k over state rows."""
     ctes = [
         "st AS (SELECT actor, time_norm, lat, lon, count(*) AS m FROM loc GROUP BY ALL)",
@@ -392,7 +405,7 @@ def most_related() -> str:
     ctes.append(latest("loc", "rt"))
     last = f"f{P.RELATED_DEPTH}"
     return with_ev(
-        f"SELECT r.actor, CAST(c.f AS BIGINT) AS related_events FROM rt r JOIN {last} c "
+        f"SELECT r.actor, {counted} AS related_events FROM rt r JOIN {last} c "
         "ON c.actor = r.actor AND c.time_norm = r.time_norm AND c.lat = r.lat AND c.lon = r.lon WHERE c.f > 0",
         ",\n".join(ctes),
     )
@@ -434,6 +447,8 @@ def queries() -> dict[str, str]:
         "event_label": event_label(),
         "time_interval": time_interval(),
         "time_interval_open": time_interval_open(),
+        "time_interval_early": time_interval_early(),
+        "csv_roundtrip": time_interval(),
         "events_near_point": events_near_point(),
         "events_near_point_by_actor": events_near_point_by_actor(),
         "actor_countries": actor_countries(),
@@ -447,14 +462,18 @@ def queries() -> dict[str, str]:
         "hop_geo": hop_geo(),
         "hop_city": hop_city(),
         "trail_actor_geo": trail_actor_geo(),
+        "trail_by_id": trail_actor_geo(),
         "trail_actor_city": trail_actor_city(),
         "trail_max_days": trail_max_days(),
         "trail_two_hop": trail_two_hop(),
         "abs_day_gap": abs_day_gap(),
+        "graph_nodes_written": tg_nodes,
+        "graph_edges_written": tg_edges,
         "trail_graph_nodes": tg_nodes,
         "trail_graph_edges": tg_edges,
         "city_graph_nodes": cg_nodes,
         "city_graph_edges": cg_edges,
         "most_related": most_related(),
+        "most_related_exact": most_related_exact(),
         "enrich_places": enrich_places(),
     }

@@ -7,6 +7,9 @@ radii and day caps select some events and not all.
 
 INTERVAL_START = "2024-01-10"
 INTERVAL_END = "2024-01-15"
+#: The interval of the event view shifted back by EARLY_YEARS.
+EARLY_YEARS = 1500
+EARLY_START, EARLY_END = "0524-01-10", "524-1-15"
 OPEN_START = "2024-01-20"
 
 ACTOR = "USER_7"
@@ -25,6 +28,8 @@ GRAPH_DEPTH, GRAPH_KM = 3, 300.0
 CITY_GRAPH_DEPTH, CITY_GRAPH_DAYS = 3, 3
 
 RELATED_DEPTH, RELATED_KM = 6, 300.0
+#: Copies of each event in the exact counts: 100 ** 6 times the trails.
+EXACT_COPIES = 100
 
 ENRICH_KM = 50.0
 

@@ -51,4 +51,8 @@ def enrich_places(events: DataFrame, gazetteer: DataFrame, max_km: float = 50.0)
     """
     base = events.drop("city", "country")
     best = nearest_places(base, gazetteer, max_km).select("lat", "lon", "city", "country")
-    return base.join(best, ["lat", "lon"], "left").select(*base.columns, "city", "country")
+    # unlocated events share a null key: they need no join and skip it
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    named = base.where(placed).join(best, ["lat", "lon"], "left").select(*base.columns, "city", "country")
+    none = F.lit(None).cast("string")
+    return named.unionByName(base.where(~placed).select("*", none.alias("city"), none.alias("country")))

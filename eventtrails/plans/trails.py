@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import day_lit
 from ..operators.filters import located, root as root_by_id, with_city
 from ..operators.hops import hop_actor, hop_city, hop_geo, hot_keys, step_suffix
 from ..session import cut_lineage
@@ -38,7 +39,8 @@ def _roots(ev: DataFrame, root) -> DataFrame:
 
 
 def date_window(roots: DataFrame, depth: int, max_days: int | None):
-    """Dates any trail event from ``roots`` can have: ``(lo, hi)``, inclusive.
+    """Dates any trail event from ``roots`` can have: ``(lo, hi)``, inclusive,
+    in days since 1970-01-01 (which have no smallest year).
 
     Every hop goes strictly back in time, and with a strict day cap a hop
     goes back at most ``max_days - 1`` days, so after ``depth`` hops an event
@@ -46,39 +48,39 @@ def date_window(roots: DataFrame, depth: int, max_days: int | None):
     ``None`` without a cap). Returns ``None`` when there are no roots. One
     small job: an aggregate of the roots' dates.
     """
-    import datetime as _dt
-
-    lo_hi = roots.agg(F.min("time_norm").alias("lo"), F.max("time_norm").alias("hi")).first()
+    day = F.unix_date("time_norm")
+    lo_hi = roots.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
     if lo_hi is None or lo_hi["hi"] is None:
         return None
-    hi = lo_hi["hi"] - _dt.timedelta(days=1)
     lo = None
     if max_days and max_days > 0:
-        lo = lo_hi["lo"] - _dt.timedelta(days=depth * (int(max_days) - 1))
-    return lo, hi
+        lo = lo_hi["lo"] - depth * (int(max_days) - 1)
+        if lo < FIRST_DAY:  # no event lies before the first date: no bound
+            lo = None
+    return lo, lo_hi["hi"] - 1
+
+
+#: 0001-01-01 in days since 1970-01-01.
+FIRST_DAY = -719_162
 
 
-def prune_to_window(
-    ev: DataFrame, roots: DataFrame, depth: int, max_days: int | None, materialize: bool = True
-) -> tuple[DataFrame, DataFrame]:
+def prune_to_window(ev: DataFrame, roots: DataFrame, depth: int, max_days: int | None) -> tuple[DataFrame, DataFrame]:
     """Restrict the hop side of ``ev`` to the dates trails from ``roots`` can reach.
 
     The bounds are literals, so they reach the Parquet reader as pushed
     filters and a table sorted by date skips every row group outside the
-    window (each hop then reads a slice instead of the whole table). With
-    ``materialize`` the roots are written first (to the checkpoint folder,
-    if configured) so they are not computed twice; roots picked by id are a
-    cheap filtered scan and are not written.
+    window (each hop then reads a slice instead of the whole table). The roots
+    are written first: they are computed once, and the first hop is planned
+    with their measured size (a few rows are broadcast; the events stay put).
     """
-    if materialize:
-        roots = cut_lineage(roots)
+    roots = cut_lineage(roots)
     w = date_window(roots, depth, max_days)
     if w is None:
         return ev.where(F.lit(False)), roots
     lo, hi = w
-    cond = F.col("time_norm") <= F.lit(hi)
+    cond = F.col("time_norm") <= day_lit(hi)
     if lo is not None:
-        cond = cond & (F.col("time_norm") >= F.lit(lo))
+        cond = cond & (F.col("time_norm") >= day_lit(lo))
     return ev.where(cond), roots
 
 
@@ -113,7 +115,7 @@ def trail(
     max_days: int | None = None,
     digits: int | None = None,
     order: bool = False,
-    checkpoint_every: int | None = None,
+    checkpoint_every: int = 1,
     prune: bool = True,
     salt: int | None = None,
     different_actor: bool = False,
@@ -125,10 +127,11 @@ def trail(
     a city. ``max_days`` (strict, per hop) bounds each hop's gap and is the
     practical guard against blow-up; a value ``<= 0`` means no cap.
     ``digits`` rounds the ``gps_diff`` columns. ``order`` sorts by the last
-    step's date, as the original output was. ``checkpoint_every=k`` writes
-    the trails so far to the session's checkpoint folder after every ``k``
-    hops (only the columns still needed), which keeps the lineage of deep
-    enumerations short. ``prune`` restricts the events to the date window
+    step's date, as the original output was. After every ``checkpoint_every``
+    hops (default: each) the trails so far are written to the shared folder
+    (only the columns still needed): the next hop is planned with their
+    measured size, so the events are not shuffled for a small frontier, and a
+    lost executor costs no earlier hop. ``prune`` restricts the events to the date window
     the roots can reach (:func:`prune_to_window`; one small job). ``salt``
     spreads each actor / city of the equi hops over that many join partitions
     (see :func:`eventtrails.operators.hops.hop_actor`); with
@@ -143,7 +146,7 @@ def trail(
     ev = ev.select(*keep)
     cur = _roots(ev, root)
     if prune:
-        ev, cur = prune_to_window(ev, cur, depth, max_days, isinstance(root, DataFrame))
+        ev, cur = prune_to_window(ev, cur, depth, max_days)
     places = ev.select("lat", "lon") if second == "geo" else None
     hot_actors = hot_cities = None
     if salt and hot_fraction:
@@ -183,8 +186,8 @@ def trail_two_hop(
     ev = located(events).select("e_id", "time_norm", "actor", "lat", "lon")
     roots = _roots(ev, root)
     if prune:
-        ev, roots = prune_to_window(ev, roots, 2, None, isinstance(root, DataFrame))
-    cur = hop_actor(roots, ev, 1, how="left")
+        ev, roots = prune_to_window(ev, roots, 2, None)
+    cur = cut_lineage(hop_actor(roots, ev, 1, how="left"))
     cur = hop_geo(cur, ev, 2, max_km, different_actor=True, places=ev.select("lat", "lon"))
     out = cur.select(
         "e_id", "actor", "time_norm", "e_id2", "actor2", "time_norm2", "e_id3", "actor3", "time_norm3"

@@ -19,11 +19,13 @@ from . import params as P
 from .functions.dates import abs_day_gap
 from .functions.geo import haversine_km
 from .functions.labels import event_label
-from .operators.filters import by_actor, located, with_city
+from .operators.filters import by_actor, located, root, with_city
 from .operators.hops import hop_actor, hop_city, hop_geo
 from .operators.ranking import latest_per_actor
 from .plans import counts, graph, places, search, trails
-from .sources.events import blank_to_null, header_line, parse_lines, to_lines
+from .session import shared_path
+from .sinks import write_csv, write_events_text, write_graph
+from .sources.events import blank_to_null, read_events
 from .sources.fixture import fixture_events, fixture_gazetteer
 
 SCALAR = ["e_id", "geo_name", "lat", "lon", "geonamesid", "time", "time_norm", "actor"]
@@ -42,6 +44,11 @@ def _latest_of(ev: DataFrame, actor: str) -> DataFrame:
     return latest_per_actor(by_actor(ev, actor))
 
 
+def _root_id(ev: DataFrame) -> int:
+    """The id of the latest event of ``params.ACTOR`` (one row)."""
+    return _latest_of(ev, P.ACTOR).first()["e_id"]
+
+
 def _round(c: str) -> F.Column:
     return F.round(F.col(c), P.DIGITS).alias(c)
 
@@ -49,22 +56,23 @@ def _round(c: str) -> F.Column:
 # ---- sources -------------------------------------------------------------
 
 
-def _raw_lines(spark, sf_dir, places_: bool) -> DataFrame:
-    ev = fixture_events(spark, sf_dir, places=places_, raw_blank=True)
-    header = spark.createDataFrame([(header_line(places_),)], "value string")
-    return header.unionByName(to_lines(ev, places=places_))
+def _text_files(spark, sf_dir, places_: bool) -> str:
+    """The event view as ``;`` text files in the shared folder."""
+    path = shared_path(spark, "text")
+    write_events_text(fixture_events(spark, sf_dir, places=places_, raw_blank=True), path, places=places_)
+    return path
 
 
 def q_scan_events(spark, sf_dir):
-    return _scalar(parse_lines(_raw_lines(spark, sf_dir, False)))
+    return _scalar(read_events(spark, _text_files(spark, sf_dir, False)))
 
 
 def q_scan_events_places(spark, sf_dir):
-    return _scalar(parse_lines(_raw_lines(spark, sf_dir, True), places=True), ["city", "country"])
+    return _scalar(read_events(spark, _text_files(spark, sf_dir, True), places=True), ["city", "country"])
 
 
 def q_parse_loc(spark, sf_dir):
-    ev = parse_lines(_raw_lines(spark, sf_dir, False))
+    ev = read_events(spark, _text_files(spark, sf_dir, False))
     return ev.select(
         "e_id",
         F.size("loc").alias("n_parts"),
@@ -74,7 +82,7 @@ def q_parse_loc(spark, sf_dir):
 
 
 def q_blank_to_null(spark, sf_dir):
-    raw = parse_lines(_raw_lines(spark, sf_dir, True), places=True, keep_blank=True)
+    raw = read_events(spark, _text_files(spark, sf_dir, True), places=True, keep_blank=True)
     return raw.select(
         "e_id",
         F.col("city").alias("city_raw"),
@@ -124,6 +132,20 @@ def q_time_interval_open(spark, sf_dir):
     return search.time_interval(_ev(spark, sf_dir, False), P.OPEN_START, None)
 
 
+def q_time_interval_early(spark, sf_dir):
+    """The interval in the year 524: dates of any year are compared and pushed down."""
+    ev = _ev(spark, sf_dir, False).withColumn("time_norm", F.add_months("time_norm", -12 * P.EARLY_YEARS))
+    return search.time_interval(ev, P.EARLY_START, P.EARLY_END)
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    """A result written as ``;`` CSV and read back."""
+    found = search.time_interval(_ev(spark, sf_dir, False), P.INTERVAL_START, P.INTERVAL_END, order=False)
+    path = shared_path(spark, "csv")
+    write_csv(found, path)
+    return spark.read.csv(path, schema=found.schema, sep=";", header=True, dateFormat="yyyy-MM-dd")
+
+
 def q_events_near_point(spark, sf_dir):
     return search.events_near(
         _ev(spark, sf_dir, False), P.POINT_LAT, P.POINT_LON, P.POINT_KM, start=P.POINT_START, digits=P.DIGITS
@@ -155,10 +177,9 @@ def q_latest_per_actor(spark, sf_dir):
 
 
 def q_root_event(spark, sf_dir):
-    """All rows carrying the id of an actor's latest event (ids may repeat)."""
+    """All rows with the id of the actor's latest event (ids may repeat)."""
     ev = located(_ev(spark, sf_dir, False))
-    ids = latest_per_actor(ev).select("e_id")
-    return _scalar(ev.join(ids, "e_id", "left_semi"))
+    return _scalar(root(ev, _root_id(ev)))
 
 
 # ---- hops ------------------------------------------------------------------------
@@ -208,6 +229,12 @@ def q_trail_actor_geo(spark, sf_dir):
     )
 
 
+def q_trail_by_id(spark, sf_dir):
+    """The trail of ``trail_actor_geo``, from the root's id."""
+    ev = located(_ev(spark, sf_dir, False))
+    return trails.trail(ev, _root_id(ev), P.GEO_TRAIL_DEPTH, "geo", P.GEO_TRAIL_KM, P.GEO_TRAIL_DAYS, digits=P.DIGITS)
+
+
 def q_trail_actor_city(spark, sf_dir):
     ev = with_city(_ev(spark, sf_dir))
     return trails.trail(ev, _latest_of(ev, P.ACTOR), P.CITY_TRAIL_DEPTH, "city", max_days=P.CITY_TRAIL_DAYS)
@@ -244,6 +271,22 @@ def _city_graph(spark, sf_dir):
     return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.CITY_GRAPH_DEPTH, second="city", max_days=P.CITY_GRAPH_DAYS)
 
 
+def _written_graph(spark, sf_dir) -> str:
+    path = shared_path(spark, "graph")
+    write_graph(*_geo_graph(spark, sf_dir), path)
+    return path
+
+
+def q_graph_nodes_written(spark, sf_dir):
+    """The node table as exported and read back."""
+    return spark.read.csv(f"{_written_graph(spark, sf_dir)}/nodes", schema="Id string, Label string, lat string, lon string", sep=";", header=True)
+
+
+def q_graph_edges_written(spark, sf_dir):
+    """The edge table as exported and read back."""
+    return spark.read.csv(f"{_written_graph(spark, sf_dir)}/edges", schema="Source string, Target string, Label string", sep=";", header=True)
+
+
 def q_trail_graph_nodes(spark, sf_dir):
     return _geo_graph(spark, sf_dir)[0]
 
@@ -264,7 +307,16 @@ def q_city_graph_edges(spark, sf_dir):
 
 
 def q_most_related(spark, sf_dir):
-    return counts.most_related(_ev(spark, sf_dir, False), P.RELATED_DEPTH, P.RELATED_KM)
+    out = counts.most_related(_ev(spark, sf_dir, False), P.RELATED_DEPTH, P.RELATED_KM)
+    return out.withColumn("related_events", F.col("related_events").cast("bigint"))
+
+
+def q_most_related_exact(spark, sf_dir):
+    """Counts that 64 bits do not hold: every event row occurs ``EXACT_COPIES`` times."""
+    copies = F.sequence(F.lit(1), F.lit(P.EXACT_COPIES))
+    many = _ev(spark, sf_dir, False).withColumn("copy", F.explode(copies)).drop("copy")
+    out = counts.most_related(many, P.RELATED_DEPTH, P.RELATED_KM)
+    return out.select("actor", F.col("related_events").cast("string").alias("related_events"))
 
 
 def q_enrich_places(spark, sf_dir):
@@ -286,6 +338,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "event_label": q_event_label,
         "time_interval": q_time_interval,
         "time_interval_open": q_time_interval_open,
+        "time_interval_early": q_time_interval_early,
+        "csv_roundtrip": q_csv_roundtrip,
         "events_near_point": q_events_near_point,
         "events_near_point_by_actor": q_events_near_point_by_actor,
         "actor_countries": q_actor_countries,
@@ -299,14 +353,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hop_geo": q_hop_geo,
         "hop_city": q_hop_city,
         "trail_actor_geo": q_trail_actor_geo,
+        "trail_by_id": q_trail_by_id,
         "trail_actor_city": q_trail_actor_city,
         "trail_max_days": q_trail_max_days,
         "trail_two_hop": q_trail_two_hop,
         "abs_day_gap": q_abs_day_gap,
+        "graph_nodes_written": q_graph_nodes_written,
+        "graph_edges_written": q_graph_edges_written,
         "trail_graph_nodes": q_trail_graph_nodes,
         "trail_graph_edges": q_trail_graph_edges,
         "city_graph_nodes": q_city_graph_nodes,
         "city_graph_edges": q_city_graph_edges,
         "most_related": q_most_related,
+        "most_related_exact": q_most_related_exact,
         "enrich_places": q_enrich_places,
     }

@@ -75,44 +75,60 @@ def local_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint_dir(spark) is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventtrails-ckpt-"))
+    shared_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The configured (shared) checkpoint folder, or ``None``."""
-    d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    return None
-
-
-def cut_lineage(df: DataFrame, enabled: bool | None = None) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and
-    continue from the written table, cutting the lineage.
-
-    ``enabled=None`` does so only if a checkpoint folder is configured;
-    without one the frame is returned unchanged (still correct, only with a
-    longer lineage to recompute after a lost executor). The written table
-    lives on the cluster's shared storage, so it survives executor loss, and
-    it is written by one job (an eager ``Dataset.checkpoint`` computes the
-    frame twice: once to count it and once to save it). Tables are left for
-    the owner of the folder to clean up, as Spark's checkpoints are.
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables: ``spark.checkpoint.dir``.
+
+    Executors and driver must share it, so only a local session without the
+    setting gets a temporary one; elsewhere a missing setting is an error.
+    """
+    d = checkpoint_dir(spark)
+    if d is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by driver and executors")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventtrails-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
+    return d.rstrip("/")
+
+
+_written: dict[str, list[str]] = {}
+
+
+def shared_path(spark: SparkSession, label: str = "table") -> str:
+    """A new path in the shared folder, removed by :func:`drop_intermediates`."""
+    path = f"{shared_dir(spark)}/eventtrails-{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and continue from it.
+
+    The written table survives executor loss, its measured size plans the next
+    join, and it is written by one job (an eager ``Dataset.checkpoint`` computes
+    the frame twice: once to count it and once to save it).
     """
     spark = df.sparkSession
-    if enabled is False:
-        return df
-    base = checkpoint_dir(spark)
-    if base is None:
-        if enabled:
-            raise RuntimeError("no checkpoint folder configured (spark.checkpoint.dir)")
-        return df
-    path = f"{base.rstrip('/')}/eventtrails-{uuid.uuid4().hex}"
+    path = shared_path(spark)
     df.write.parquet(path)
     # the schema is known: no footer reads to infer it again
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the tables this application has written to the shared folder.
+
+    Call it once results that read them have been written or collected.
+    """
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)

@@ -52,40 +52,38 @@ BASE_COLUMNS = ["e_id", "geo_name", "loc", "lat", "lon", "geonamesid", "time", "
 PLACE_COLUMNS = BASE_COLUMNS + ["city", "country"]
 
 
-def _strict(parsed: Column, raw: Column, what: str, mode: str, guard: Column | None = None) -> Column:
-    """Fail the job on a malformed non-empty value (``mode='failfast'``).
+def _strict(parsed: Column, raw: Column, what: str, mode: str, required: bool = True) -> Column:
+    """Fail the job on a malformed value, or an empty or missing required one
+    (``mode='failfast'``); null in its place with ``'permissive'``.
 
     Independent of the session's ANSI setting: ``try_*`` parses to null and
     ``raise_error`` turns that into a task failure with the offending text.
-    ``guard`` limits the check to data rows: Catalyst may merge the header
-    filter with later predicates and evaluate them in any order, so the
-    check itself must not fire on a header line.
     """
     if mode == "permissive":
         return parsed
     if mode != "failfast":
         raise ValueError(f"mode must be 'failfast' or 'permissive', not {mode!r}")
-    bad = raw.isNotNull() & (F.length(raw) > 0) & parsed.isNull()
-    if guard is not None:
-        bad = guard & bad
-    return F.when(bad, F.raise_error(F.concat(F.lit(f"malformed {what}: "), raw))).otherwise(parsed)
+    bad = parsed.isNull()
+    if not required:
+        bad = bad & raw.isNotNull() & (F.length(raw) > 0)
+    message = F.concat(F.lit(f"malformed {what}: "), F.coalesce(raw, F.lit("missing")))
+    return F.when(bad, F.raise_error(message)).otherwise(parsed)
 
 
-def parse_loc(raw, mode: str = "failfast", guard: Column | None = None) -> Column:
+def parse_loc(raw, mode: str = "failfast") -> Column:
     """``[u'lat lon']`` to ``array<float>``; short literals to an empty array.
 
     Drops the 3-character prefix and 2-character suffix, splits on single
-    spaces, casts each part to float.
+    spaces, casts each part to float. A missing literal counts as unlocated.
     """
     raw = F.col(raw) if isinstance(raw, str) else raw
     inner = raw.substr(F.lit(len(LOC_PREFIX) + 1), F.length(raw) - F.lit(len(LOC_PREFIX) + len(LOC_SUFFIX)))
     parts = F.split(inner, " ", -1)
     if mode == "failfast":
-        ok = F.lit(True) if guard is None else guard
         as_float = F.transform(
             parts,
             lambda p: F.when(
-                ok & p.try_cast("float").isNull(), F.raise_error(F.concat(F.lit("malformed loc: "), raw))
+                p.try_cast("float").isNull(), F.raise_error(F.concat(F.lit("malformed loc: "), raw))
             ).otherwise(p.try_cast("float")),
         )
     else:
@@ -121,36 +119,42 @@ def parse_lines(
     """Parse a frame of raw ``;`` lines (one string column) into events.
 
     Header lines are recognised by content (first field ``e_id``, after an
-    optional byte-order mark) and dropped wherever they occur; empty lines
-    are skipped. Extra trailing
-    fields are ignored, so a 9-column file reads fine as 7 columns.
-    ``mode='failfast'`` aborts on malformed numbers or dates (as the original
-    does); ``'permissive'`` turns them into nulls. Checks run on the columns
-    a query actually reads: a malformed value in a column pruned from the
-    plan does not fail the job.
+    optional byte-order mark) and dropped wherever they occur; only lines
+    without any character are skipped. Extra trailing fields are ignored, so a
+    9-column file reads fine as 7 columns. ``mode='failfast'`` aborts on
+    malformed numbers or dates, on an empty or missing id or date and on a line
+    with too few fields (as the original does); ``'permissive'`` keeps such rows
+    with nulls. Checks run on the columns a query actually reads: a malformed
+    value in a column pruned from the plan does not fail the job.
     """
     # a UTF-8 byte-order mark would hide the header marker of a file's first line
     line = F.col(column)
-    line = F.when(line.startswith("\ufeff"), F.substring(line, 2, 1 << 30)).otherwise(line)
-    parts = F.split(line, FIELD_SEP, -1)
+    line = F.when(line.startswith("\ufeff"), line.substr(F.lit(2), F.length(line))).otherwise(line)
+    header = (line == HEADER_FIRST_FIELD) | line.startswith(HEADER_FIRST_FIELD + FIELD_SEP)
+    rows = lines.where((F.length(line) > 0) & ~header)
+    # the generator keeps the split in an operator of its own: each line is split
+    # once, and later filters and projections read the fields instead of repeating it
+    raw = rows.select(F.explode(F.array(F.split(line, FIELD_SEP, -1))).alias("_f"))
     f = lambda i: F.get(F.col("_f"), i)  # noqa: E731 - field accessor
-    is_row = (f(0) != F.lit(HEADER_FIRST_FIELD)) & (F.length(f(0)) > 0)
-    raw = lines.select(parts.alias("_f")).where(is_row)
+    whole = F.size("_f") >= (9 if places else 7)
+
+    def field(i: int) -> Column:
+        """A text field; the line must have them all."""
+        return f(i) if mode == "permissive" else F.when(whole, f(i)).otherwise(F.raise_error(F.concat(F.lit("short line: "), F.array_join("_f", FIELD_SEP))))
+
     cols = [
-        _strict(f(0).try_cast("int"), f(0), "e_id", mode, is_row).alias("e_id"),
-        f(1).alias("geo_name"),
-        parse_loc(f(2), mode, is_row).alias("loc"),
-        _strict(f(3).try_cast("int"), f(3), "geonamesid", mode, is_row).alias("geonamesid"),
-        f(4).alias("time"),
-        _strict(
-            F.try_to_timestamp(f(5), F.lit(DATE_PATTERN)).cast("date"), f(5), "time_norm", mode, is_row
-        ).alias("time_norm"),
-        f(6).alias("actor"),
+        _strict(f(0).try_cast("int"), f(0), "e_id", mode).alias("e_id"),
+        field(1).alias("geo_name"),
+        parse_loc(f(2), mode).alias("loc"),
+        _strict(f(3).try_cast("int"), f(3), "geonamesid", mode, required=False).alias("geonamesid"),
+        field(4).alias("time"),
+        _strict(F.try_to_timestamp(f(5), F.lit(DATE_PATTERN)).cast("date"), f(5), "time_norm", mode).alias("time_norm"),
+        field(6).alias("actor"),
     ]
     if places:
         cols += [
-            blank_to_null(f(7), keep_blank).alias("city"),
-            blank_to_null(f(8), keep_blank).alias("country"),
+            blank_to_null(field(7), keep_blank).alias("city"),
+            blank_to_null(field(8), keep_blank).alias("country"),
         ]
     out = with_point(raw.select(*cols))
     return out.select(*(PLACE_COLUMNS if places else BASE_COLUMNS))
@@ -177,23 +181,32 @@ def loc_literal(lat="lat", lon="lon") -> Column:
     ).otherwise(F.lit(LOC_PREFIX + LOC_SUFFIX))
 
 
+def _field(value: Column, null: str = "") -> Column:
+    """A text field of a line; null as ``null``. A separator or line break inside
+    a value would move the fields after it, so it fails the job."""
+    bad = value.rlike(f"[{FIELD_SEP}\r\n]")
+    checked = F.when(bad, F.raise_error(F.concat(F.lit("separator or line break in a field: "), value))).otherwise(value)
+    return F.coalesce(checked, F.lit(null))
+
+
 def to_lines(df: DataFrame, places: bool = False, blank: str = " ") -> DataFrame:
     """Format events as raw ``;`` lines (column ``value``), no header.
 
-    Null city/country are written as ``blank`` (a single space, as the
-    enricher does); null ``geonamesid`` as the empty field.
+    Every field keeps its position: nulls are written as empty fields, null
+    city/country as ``blank`` (a single space, as the enricher does). Rows with
+    a null id or date are written too; only a permissive read takes them back.
     """
     fields = [
-        F.col("e_id").cast("string"),
-        F.coalesce(F.col("geo_name"), F.lit("")),
+        _field(F.col("e_id").cast("string")),
+        _field(F.col("geo_name")),
         loc_literal(),
-        F.coalesce(F.col("geonamesid").cast("string"), F.lit("")),
-        F.coalesce(F.col("time"), F.lit("")),
-        F.date_format("time_norm", "yyyy-MM-dd"),
-        F.coalesce(F.col("actor"), F.lit("")),
+        _field(F.col("geonamesid").cast("string")),
+        _field(F.col("time")),
+        _field(F.date_format("time_norm", "yyyy-MM-dd")),
+        _field(F.col("actor")),
     ]
     if places:
-        fields += [F.coalesce(F.col("city"), F.lit(blank)), F.coalesce(F.col("country"), F.lit(blank))]
+        fields += [_field(F.col("city"), blank), _field(F.col("country"), blank)]
     return df.select(F.concat_ws(FIELD_SEP, *fields).alias("value"))
 
 

@@ -123,13 +123,3 @@ def test_nan_point_never_matches(spark):
                         ev.select(F.col("e_id").alias("j"), F.col("lat").alias("la"), F.col("lon").alias("lo")),
                         500.0, ("lat", "lon"), ("la", "lo"), None)
     assert sorted((r.e_id, r.j) for r in got.collect()) == [(2, 2)]
-
-
-def test_choose_split(spark):
-    from eventtrails.operators.spatial import choose_split
-
-    rnd = random.Random(3)
-    dense = spark.createDataFrame([(40 + rnd.uniform(-1, 1), 10 + rnd.uniform(-1, 1)) for _ in range(400)], "lat double, lon double")
-    sparse = spark.createDataFrame([(float(a), float(b)) for a in range(0, 40, 5) for b in range(0, 40, 5)], "lat double, lon double")
-    assert choose_split(dense, 300.0) == 4
-    assert choose_split(sparse, 300.0) is None

@@ -78,7 +78,7 @@ def test_trail_and_graph_with_hot_keys(spark, skewed):
     with conf(spark, SKEW_CONF):
         t = trail(ev, rows[root_i][0], 3, "geo", 150.0, 3)
         got = sorted(tuple(r[c] for c in ("e_id", "e_id2", "e_id3", "e_id4")) for r in t.collect())
-        nodes, edges = trail_graph(ev, rows[root_i][0], 3, 150.0, checkpoint=False)
+        nodes, edges = trail_graph(ev, rows[root_i][0], 3, 150.0)
         got_edges = {(r.Source, r.Target) for r in edges.collect()}
     want = sorted(tuple(rows[i][0] for i in tr) for tr in brute_trails(rows, [root_i], 3, "geo", 150.0, 3))
     assert got == want
@@ -106,8 +106,8 @@ def test_salted_hops_equal_plain(spark, skewed):
 def test_salted_graph_equals_plain(spark, skewed):
     rows, ev = skewed
     root = max((r for r in rows if r[1] == "HOT"), key=lambda r: (r[2], r[0]))[0]
-    a = trail_graph(ev, root, 3, 150.0, checkpoint=False)[1]
-    b = trail_graph(ev, root, 3, 150.0, checkpoint=False, salt=4)[1]
+    a = trail_graph(ev, root, 3, 150.0)[1]
+    b = trail_graph(ev, root, 3, 150.0, salt=4)[1]
     assert sorted(a.collect()) == sorted(b.collect())
 
 
@@ -124,6 +124,6 @@ def test_hot_key_salting(spark, skewed):
         a = trail(ev, root, 3, "geo", 150.0)
         b = trail(ev, root, 3, "geo", 150.0, salt=5, hot_fraction=0.3)
         assert sorted(a.collect()) == sorted(b.collect())
-        ga = trail_graph(ev, root, 3, 150.0, checkpoint=False)[1]
-        gb = trail_graph(ev, root, 3, 150.0, checkpoint=False, salt=5, hot_fraction=0.3)[1]
+        ga = trail_graph(ev, root, 3, 150.0)[1]
+        gb = trail_graph(ev, root, 3, 150.0, salt=5, hot_fraction=0.3)[1]
         assert sorted(ga.collect()) == sorted(gb.collect())

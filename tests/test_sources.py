@@ -73,6 +73,36 @@ def test_malformed_fails_or_nulls(spark):
         parse_lines(bad_date).collect()
 
 
+@pytest.mark.parametrize("line", [";P;[u'1 2'];;t;2000-01-01;A", "1;P;[u'1 2'];;t;;A", "6;P", "6;P;[u'1 2'];;t;2000-01-01", ";;;;;;"])
+def test_no_row_is_dropped_or_blanked(spark, line):
+    """An empty id or date and a short line fail; a permissive read keeps the row."""
+    with pytest.raises(PySparkException):
+        parse_lines(lines(spark, line)).collect()
+    got = parse_lines(lines(spark, line, "", "\ufeffe_id;x", "e_id"), mode="permissive").collect()
+    assert len(got) == 1 and (got[0].e_id is None or got[0].time_norm is None or got[0].actor is None)
+
+
+def test_lines_are_split_once(spark):
+    plan = parse_lines(lines(spark, HEADER7))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(value") <= 1 and plan.count("split(CASE") <= 1
+
+
+def test_text_fields_keep_their_places(spark, tmp_path):
+    schema = "e_id int, geo_name string, lat float, lon float, geonamesid int, time string, time_norm date, actor string, city string, country string"
+    D = __import__("datetime").date
+    rows = [(None, "P", 1.0, 2.0, 5, "t", D(2000, 1, 1), "A", "C", "D"), (2, None, None, None, None, None, None, "B", None, None)]
+    path = str(tmp_path / "t")
+    write_events_text(spark.createDataFrame(rows, schema), path, places=True)
+    back = read_events(spark, path, places=True, mode="permissive").drop("loc").collect()
+    got = sorted((tuple(r) for r in back), key=str)
+    assert got == sorted([(None, "P", 1.0, 2.0, 5, "t", D(2000, 1, 1), "A", "C", "D"), (2, "", None, None, None, "", None, "B", None, None)], key=str)
+    for bad in ("a;b", "a\nb", "a\rb"):
+        for column in ("geo_name", "actor", "time", "city"):
+            row = spark.createDataFrame(rows[:1], schema).withColumn(column, F.lit(bad))
+            with pytest.raises(PySparkException):
+                write_events_text(row, str(tmp_path / "x"), places=True, mode="overwrite")
+
+
 def test_text_and_csv_round_trip(spark, tmp_path):
     src = lines(
         spark,

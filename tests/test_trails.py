@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
+import os
 import random
 from collections import Counter
 
@@ -153,7 +155,7 @@ def test_graph_equals_distinct_over_trails(spark, second, km, max_days, depth):
     ev = make_events(spark, rows, places=True)
     root_i = max(range(len(rows)), key=lambda i: (rows[i][2], rows[i][0]))
     root_id = rows[root_i][0]
-    nodes, edges = trail_graph(ev, root_id, depth, km or 0.0, second, max_days, checkpoint=False)
+    nodes, edges = trail_graph(ev, root_id, depth, km or 0.0, second, max_days)
     got_edges = {(r.Source, r.Target, r.Label) for r in edges.collect()}
     want_edges, want_nodes = set(), set()
     for d in range(1, depth + 1):
@@ -277,9 +279,85 @@ def test_counts_with_nan_place(spark):
     assert got == {1: 2}  # the actor hop alone reaches 2 and 4; a NaN place does not matter there
 
 
-def test_counts_auto_split_equal(spark):
-    rows = random_rows(71, n=40)
-    ev = make_events(spark, rows)
-    a = {r.e_id: r.trails for r in count_trails(ev, ev, 3, 400.0).collect()}
-    b = {r.e_id: r.trails for r in count_trails(ev, ev, 3, 400.0, cell_split="auto").collect()}
-    assert a == b
+@pytest.mark.parametrize("year", [1943, 1150, 2])
+def test_reference_parameters_in_any_year(spark, year):
+    """Depth 6 and 73,000 days: the window leaves the calendar, the trails stay."""
+    rows = [(i, "AB"[i % 2], f"{year:04d}-{1 + i // 20:02d}-{1 + i % 20:02d}", 10.0 + (i % 3), 10.0) for i in range(11)]
+    ev = make_events(spark, [(a, b, dt.date(*map(int, c.split("-"))), d, e) for a, b, c, d, e in rows])
+    for root_id in (10, 9):
+        a = sorted(map(tuple, trail(ev, root_id, 6, "geo", 500.0, 365 * 200).collect()))
+        b = sorted(map(tuple, trail(ev, root_id, 6, "geo", 500.0, 365 * 200, prune=False).collect()))
+        assert a == b and a
+    c = trail(ev.withColumn("city", F.lit("C")), 10, 2, "city", max_days=365 * 200)
+    assert c.count() > 0
+
+
+def test_early_date_bounds_are_pushed(spark, tmp_path):
+    from eventtrails.plans.search import time_interval
+    from eventtrails.sinks import write_events_table
+    from eventtrails.sources import read_events_table
+
+    ev = make_events(spark, [(1, "A", dt.date(664, 1, 1), 1.0, 1.0), (2, "A", dt.date(663, 12, 31), 1.0, 1.0)])
+    write_events_table(ev, str(tmp_path / "t"))
+    got = time_interval(read_events_table(spark, str(tmp_path / "t")), "0664-01-01", order=False)
+    assert [r.e_id for r in got.collect()] == [1]
+    assert "GreaterThanOrEqual(time_norm,0664-01-01)" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_beyond_64_bits_are_exact_or_fail(spark):
+    """24,000 rows of one actor at one place, 400 a day: C(59, depth) * 400 ** depth."""
+    from .test_skew import conf
+
+    from math import comb
+
+    days = spark.range(60).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(400))))
+    ev = days.select(
+        (F.col("id") * 400 + F.col("n")).cast("int").alias("e_id"), F.lit("P").alias("geo_name"), F.array(F.lit(1.0).cast("float"), F.lit(1.0).cast("float")).alias("loc"),
+        F.lit(1.0).cast("float").alias("lat"), F.lit(1.0).cast("float").alias("lon"), F.lit(None).cast("int").alias("geonamesid"), F.lit("t").alias("time"),
+        F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("time_norm"), F.lit("A").alias("actor"),
+    )
+    for ansi in ("true", "false"):
+        with conf(spark, {"spark.sql.ansi.enabled": ansi}):
+            assert [int(r.related_events) for r in most_related(ev, 6, 100.0).collect()] == [comb(59, 6) * 400**6]
+            with pytest.raises(Exception, match="overflow"):
+                most_related(ev, 14, 100.0).collect()
+            with pytest.raises(Exception, match="overflow"):
+                most_related(ev, 8, 100.0, exact=False).collect()
+
+
+def test_id_root_is_broadcast_and_events_stay(spark, tmp_path):
+    """A one-row root joins by broadcast even at a tiny limit: no event-side shuffle."""
+    from .test_skew import conf
+
+    from eventtrails.sinks import write_events_table
+    from eventtrails.sources import read_events_table
+
+    rows = random_rows(5, n=60)
+    write_events_table(make_events(spark, rows), str(tmp_path / "t"))
+    ev = read_events_table(spark, str(tmp_path / "t"))
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "20k", "spark.sql.adaptive.enabled": "false"}):
+        plan = trail(ev, rows[0][0], 1, "geo", 500.0)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_salt_needs_an_inner_join(spark):
+    from eventtrails.operators.hops import hop_actor
+
+    ev = make_events(spark, random_rows(3, n=5)).select("e_id", "time_norm", "actor", "lat", "lon")
+    with pytest.raises(ValueError, match="inner"):
+        hop_actor(ev, ev, how="left", salt=3)
+
+
+def test_intermediate_tables_are_dropped(spark):
+    from eventtrails.plans.graph import trail_graph
+    from eventtrails.session import drop_intermediates, shared_dir
+
+    drop_intermediates(spark)
+    here = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(here))  # the folder may hold other applications' tables
+    rows = random_rows(4, n=40)
+    nodes, _ = trail_graph(make_events(spark, rows), rows[0][0], 3, 150.0)
+    nodes.count()
+    assert set(os.listdir(here)) > before
+    drop_intermediates(spark)
+    assert set(os.listdir(here)) == before
