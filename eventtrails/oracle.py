@@ -184,6 +184,10 @@ def latest_per_actor() -> str:
     return with_ev(f"SELECT {SCALAR} FROM lt", latest("loc", "lt"))
 
 
+def root_by_id() -> str:
+    return with_ev(f"SELECT {SCALAR} FROM loc WHERE e_id IN (SELECT e_id FROM lt)", latest("loc", "lt", P.ACTOR))
+
+
 def root_event() -> str:
     return with_ev(f"SELECT {SCALAR} FROM loc WHERE e_id IN (SELECT e_id FROM lt)", latest("loc", "lt"))
 
@@ -456,6 +460,7 @@ def queries() -> dict[str, str]:
         "result_nodes": result_nodes(),
         "latest_per_actor": latest_per_actor(),
         "root_event": root_event(),
+        "root_by_id": root_by_id(),
         "hop_actor": hop_actor(),
         "hop_actor_outer": hop_actor_outer(),
         "day_gap": day_gap(),

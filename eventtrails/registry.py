@@ -177,7 +177,14 @@ def q_latest_per_actor(spark, sf_dir):
 
 
 def q_root_event(spark, sf_dir):
-    """All rows with the id of the actor's latest event (ids may repeat)."""
+    """All rows carrying the id of an actor's latest event (ids may repeat)."""
+    ev = located(_ev(spark, sf_dir, False))
+    ids = latest_per_actor(ev).select("e_id")
+    return _scalar(ev.join(ids, "e_id", "left_semi"))
+
+
+def q_root_by_id(spark, sf_dir):
+    """All rows with the id of the latest event of ``params.ACTOR``."""
     ev = located(_ev(spark, sf_dir, False))
     return _scalar(root(ev, _root_id(ev)))
 
@@ -347,6 +354,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "result_nodes": q_result_nodes,
         "latest_per_actor": q_latest_per_actor,
         "root_event": q_root_event,
+        "root_by_id": q_root_by_id,
         "hop_actor": q_hop_actor,
         "hop_actor_outer": q_hop_actor_outer,
         "day_gap": q_day_gap,

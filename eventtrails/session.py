@@ -24,7 +24,9 @@ RECOMMENDED_CONF = {
 }
 
 
-def scale_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20) -> dict:
+def scale_conf(
+    input_bytes: int, executor_cores: int = 4, target_partition_bytes: int = 256 << 20, shuffle_bytes: int | None = None
+) -> dict:
     """Suggested settings for a cluster job over ``input_bytes`` of events.
 
     Returns a dict to pass to ``SparkSession.builder.config`` (nothing is
@@ -33,12 +35,16 @@ def scale_conf(input_bytes: int, executor_cores: int = 4, target_partition_bytes
     working memory well inside an executor core's share; AQE coalesces small
     shuffle outputs and splits skewed ones (a skewed partition is one over 5x
     the median and over 4x the target size). The initial shuffle partition
-    count starts at the input size over the target and is rounded up to a
-    multiple of the core count of one executor. Broadcasts stay at Spark's
+    count is ``shuffle_bytes`` (the largest single shuffle; by default a
+    sixteenth of the input, since shuffles here carry key tables, frontiers and
+    narrow columns) over the target, rounded up to a multiple of the core count
+    of one executor: sizing it by the input would make map-output tables of
+    billions of blocks. Broadcasts stay at Spark's
     default 10 MB, checked from statistics or measured by AQE.
     """
     target = int(target_partition_bytes)
-    parts = max(executor_cores, -(-int(input_bytes) // target))
+    moved = int(input_bytes) // 16 if shuffle_bytes is None else int(shuffle_bytes)
+    parts = max(executor_cores, -(-moved // target))
     parts = -(-parts // executor_cores) * executor_cores
     return {
         "spark.sql.adaptive.enabled": "true",

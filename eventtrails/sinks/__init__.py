@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..sources.events import TABLE_COLUMNS, header_line, to_lines
 
@@ -55,24 +56,43 @@ def write_events_table(
     path: str,
     mode: str = "errorifexists",
     partitions: int | None = None,
+    layout: str = "date",
+    rows_per_file: int = 2_000_000,
 ) -> None:
     """Write events once as a typed Parquet table (the scalable input form).
 
-    Rows are range-partitioned by ``(time_norm, e_id)`` (sampled bounds, so
-    a busy day is split across tasks by id) and sorted within each task, so
-    every file covers a narrow date range and row-group statistics on
-    ``time_norm`` let date filters skip most of the table; ``lat``/``lon``
-    are stored as scalar columns for the latitude band of radius searches.
+    Rows are range-partitioned by the keys of the ``layout`` (sampled bounds;
+    the id comes last, so a busy key is split across tasks) and sorted within
+    each task, so every file covers a narrow range of them and statistics let
+    filters skip the other files and row groups:
+
+    * ``date`` (time_norm, e_id): date ranges and trail windows;
+    * ``actor`` (actor, time_norm, e_id): one actor's timeline and actor hops;
+    * ``cell`` (5-degree latitude band, longitude band, time_norm, e_id): radius
+      searches, whose latitude band is pushed down.
+
+    The number of files follows the number of rows (one count), not the cores.
+    ``lat``/``lon`` are stored as scalar columns.
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {sorted(LAYOUTS)}")
     cols = [c for c in TABLE_COLUMNS + ["city", "country"] if c in df.columns]
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    (
-        df.select(*cols)
-        .repartitionByRange(n, "time_norm", "e_id")
-        .sortWithinPartitions("time_norm", "e_id")
-        .write.mode(mode)
-        .parquet(path)
-    )
+    out = df.select(*cols)
+    n = partitions or max(1, -(-out.count() // rows_per_file))
+    keys = LAYOUTS[layout]()
+    out.repartitionByRange(n, *keys).sortWithinPartitions(*keys).write.mode(mode).parquet(path)
+
+
+def _bands() -> list:
+    return [F.floor(F.col(c) / 5) for c in ("lat", "lon")]
+
+
+#: Sort keys of the table layouts.
+LAYOUTS = {
+    "date": lambda: [F.col("time_norm"), F.col("e_id")],
+    "actor": lambda: [F.col("actor"), F.col("time_norm"), F.col("e_id")],
+    "cell": lambda: [*_bands(), F.col("time_norm"), F.col("e_id")],
+}
 
 
 __all__ = ["write_csv", "write_events_table", "write_events_text", "write_graph"]

@@ -187,3 +187,29 @@ def test_fixture_dates_do_not_depend_on_session_zone(spark):
                       "spark.sql.parquet.inferTimestampNTZ.enabled": "false"}):
         other = sorted((r.e_id, r.time_norm, r.time) for r in fixture_events(spark, "/root/testdata/sf0.001").collect())
     assert other == base
+
+
+def test_table_layouts_narrow_file_ranges(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from eventtrails.sinks import write_events_table
+
+    ev = spark.range(4000).selectExpr(
+        "cast(id as int) e_id", "'P' geo_name", "cast(id % 40 as float) lat", "cast(id % 60 as float) lon", "cast(null as int) geonamesid",
+        "'t' time", "date_add(date'2000-01-01', cast(id % 365 as int)) time_norm", "concat('A', lpad(cast(id % 97 as string), 2, '0')) actor",
+    )
+    for layout, column in (("date", "time_norm"), ("actor", "actor"), ("cell", "lat")):
+        path = str(tmp_path / layout)
+        write_events_table(ev, path, layout=layout, rows_per_file=500)
+        ranges = []
+        for f in glob.glob(path + "/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            k = [c for c in range(meta.num_columns) if meta.row_group(0).column(c).path_in_schema == column][0]
+            stats = meta.row_group(0).column(k).statistics
+            ranges.append((stats.min, stats.max))
+        everything = (min(a for a, _ in ranges), max(b for _, b in ranges))
+        assert 4 <= len(ranges) <= 8 and all((a, b) != everything for a, b in ranges)
+    with pytest.raises(ValueError):
+        write_events_table(ev, str(tmp_path / "x"), layout="other")
