@@ -86,6 +86,8 @@ def test_scale_conf():
 
     c = scale_conf(100 * 10**12, executor_cores=4)
     parts = int(c["spark.sql.shuffle.partitions"])
-    assert parts % 4 == 0 and 370_000 < parts < 380_000
+    assert parts % 4 == 0 and 23_000 < parts < 24_000
+    moved = scale_conf(100 * 10**12, executor_cores=4, shuffle_bytes=10**12)
+    assert 3_700 < int(moved["spark.sql.shuffle.partitions"]) < 3_800
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert int(scale_conf(10, executor_cores=8)["spark.sql.shuffle.partitions"]) == 8
