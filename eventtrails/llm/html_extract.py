@@ -364,11 +364,13 @@ def training_pages(sample: list[str], layouts: int = LAYOUTS, seed: int = 7) ->
 
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> Network:
-    """Trains on at most ``sample`` pages, those with the smallest hashes."""
+    """Trains on at most ``sample`` different pages, those with the smallest hashes."""
     h = S.text_or_empty(html_col)
     rows = pages.select(h.alias("html")).filter(F.length("html").between(1, 200_000)).withColumn("u", F.xxhash64("html"))
-    # ordered by hash and cut in every task before anything is gathered
-    chosen = [r["html"] for r in rows.orderBy("u", "html").limit(sample).collect()]
+    # some four times as many by hash, so that copies can be merged and still leave enough
+    share = min(1.0, 4 * sample / max(1, pages.count()))
+    near = F.col("u").cast("double") < (share - 0.5) * 2.0**64 if share < 1 else F.lit(True)
+    chosen = [r["html"] for r in rows.filter(near).distinct().orderBy("u", "html").limit(sample).collect()]
     return train(training_pages(chosen))
 
 

@@ -265,7 +265,7 @@ def _bytes(texts: pd.Series) -> Iterator[bytes]:
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> QualityModel | None:
     """Fits both models on a corpus; None if it has no words."""
     S.ship_code(docs.sparkSession)
-    texts = docs.select(S.text_or_empty(text_col).alias("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("u"))
+    texts = docs.select(S.text_or_empty(text_col).alias("text"))
 
     def cast_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = _Words()
@@ -273,7 +273,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Qualit
             seen = [pattern(votes(look(t, words))) for t in _bytes(batch["text"])]
             yield pd.Series(seen, dtype="int64").value_counts().rename_axis("pattern").reset_index(name="n")
 
-    counted = texts.select("text").mapInPandas(cast_votes, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    counted = texts.mapInPandas(cast_votes, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     rows = counted.collect()  # at most 3 ** len(LABELLERS) rows
     total = sum(r["n"] for r in rows)
     if not total:
@@ -291,8 +291,9 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Qualit
             yield pd.DataFrame(out, columns=["pattern", "x"])
 
     share = min(1.0, sample / total)
-    near = F.col("u").cast("double") < (share - 0.5) * 2.0**64 if share < 1 else F.lit(True)
-    chosen = texts.filter(near).select("text").limit(2 * sample).mapInPandas(describe, "pattern long, x binary").toPandas()
+    near = F.xxhash64("text").cast("double") < (share - 0.5) * 2.0**64 if share < 1 else F.lit(True)
+    # copies of a text count once; they could fill the sample
+    chosen = texts.filter(near).distinct().limit(2 * sample).mapInPandas(describe, "pattern long, x binary").toPandas()
     if not len(chosen):
         return None
     x = np.stack([np.frombuffer(b, dtype=np.float32) for b in chosen["x"]])
