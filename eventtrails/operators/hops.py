@@ -161,6 +161,7 @@ def hop_geo(
     max_days: int | None = None,
     different_actor: bool = False,
     places: DataFrame | None = None,
+    salt: int | None = None,
 ) -> DataFrame:
     """Join each row's step-``step`` event to earlier events within ``max_km``.
 
@@ -168,7 +169,8 @@ def hop_geo(
     places of ``events`` (``places`` may pass them in precomputed); rows are
     then expanded to the events at the neighbouring places by an equi-join
     on the place. ``different_actor`` requires another actor on the next
-    event. Rows whose current event is unlocated find no neighbour, so an
+    event. ``salt=S`` splits a busy place over ``S`` join partitions, as in
+    :func:`hop_actor`. Rows whose current event is unlocated find no neighbour, so an
     outer first hop followed by a geo hop yields the inner result.
     """
     s, n = step_suffix(step), step_suffix(step + 1)
@@ -197,9 +199,14 @@ def hop_geo(
         nxt = nxt.withColumn("_bk" + n, _bucket(F.col("time_norm" + n), max_days))
         cond = cond & (F.col("_bk") == F.col("_bk" + n))
     cond = _with_day_cap(cond, cur_t, nxt_t, max_days)
+    salted = bool(salt and salt > 1)
+    if salted:
+        with_nb = with_nb.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salt) - 1))))
+        nxt = nxt.withColumn("_salt" + n, F.pmod(F.xxhash64(F.col("e_id" + n)), F.lit(int(salt))).cast("int"))
+        cond = cond & (F.col("_salt") == F.col("_salt" + n))
     if different_actor:
         cond = cond & (F.col("actor" + n) != F.col("actor" + s))
-    out = with_nb.join(nxt, cond, "inner").drop("_nlat", "_nlon")
+    out = with_nb.join(nxt, cond, "inner").drop("_nlat", "_nlon", "_salt", "_salt" + n)
     if keys is not None:
         out = out.drop("_bk", "_bk" + n)
     if max_days and max_days > 0:

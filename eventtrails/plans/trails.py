@@ -133,7 +133,7 @@ def trail(
     measured size, so the events are not shuffled for a small frontier, and a
     lost executor costs no earlier hop. ``prune`` restricts the events to the date window
     the roots can reach (:func:`prune_to_window`; one small job). ``salt``
-    spreads each actor / city of the equi hops over that many join partitions
+    spreads each actor, city or place over that many join partitions
     (see :func:`eventtrails.operators.hops.hop_actor`); with
     ``hot_fraction`` only the actors / cities holding more than that share of
     the events are salted (:func:`eventtrails.operators.hops.hot_keys`).
@@ -156,7 +156,7 @@ def trail(
         if step % 2 == 1:
             cur = hop_actor(cur, ev, step, max_days, salt=salt, hot=hot_actors)
         elif second == "geo":
-            cur = hop_geo(cur, ev, step, max_km, max_days, different_actor, places=places)
+            cur = hop_geo(cur, ev, step, max_km, max_days, different_actor, places, None if hot_fraction else salt)
         else:
             cur = hop_city(cur, ev, step, max_days, salt=salt, hot=hot_cities)
         if checkpoint_every and step % checkpoint_every == 0 and step < depth:
