@@ -51,7 +51,7 @@ BLOCK = 512
 #: Pairs compared in one vectorised step of a task.
 STEP = 1 << 15
 FILTER_BYTES = 64 << 20
-_WORD_CACHE = 1 << 20
+_WORD_CACHE = 1 << 18
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

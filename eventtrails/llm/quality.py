@@ -65,7 +65,7 @@ class _Words(dict):
     stop = frozenset(w.encode() for w in FUNCTION_WORDS)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
+        if len(self) >= 1 << 18:
             self.clear()
         plain = word.strip(b".,;:!?\"'()").lower()
         bare = not any(c >= 0x80 or chr(c).isalnum() for c in word)
