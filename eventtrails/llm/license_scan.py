@@ -39,8 +39,11 @@ def canonical(text: Column) -> Column:
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical form; null where that is empty."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form.cast("binary"), 256))
+    return _digest_of(canonical(text))
+
+
+def _digest_of(form: Column) -> Column:
+    return F.sha2(F.nullif(form, F.lit("")).cast("binary"), 256)
 
 
 def known_digests(spark: SparkSession, texts: list[tuple[str, str]]) -> DataFrame:
@@ -75,7 +78,10 @@ def scan_licenses(
     distinct licences of lines that are notices, comma-joined in order of name.
     """
     text = S.text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), digest(text).alias("text_digest"), _notice_lines(text, notices).alias("lines"))
+    # the form in an operator of its own, so that it is worked out once a row
+    form = F.explode(F.array(canonical(text))).alias("form")
+    rows = docs.select(F.col(id_col).alias("id"), form, _notice_lines(text, notices).alias("lines"))
+    rows = rows.select("id", _digest_of(F.col("form")).alias("text_digest"), "lines")
     # the digests of the rules' own texts: a fixed few, whatever the documents
     whole = known_digests(docs.sparkSession, texts)
     known = known_digests(docs.sparkSession, notices).collect()
