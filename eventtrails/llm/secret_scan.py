@@ -112,7 +112,9 @@ def _slot(text: Column, slots: int) -> Column:
 
 def postings(texts: DataFrame, trigrams: list[str], slots: int) -> DataFrame:
     """The inverted index ``(trigram, block, bits)`` over the slots of ``text``."""
-    low = F.lower(F.col("text"))
+    # lower-cased once a row: the conditions below would each do it again
+    low = F.col("low")
+    texts = texts.select("text", F.explode(F.array(F.lower("text"))).alias("low"))
     masks = []
     for k in range(0, len(trigrams), 60):
         bits = [F.when(F.contains(low, F.lit(t)), F.lit(1 << j)).otherwise(F.lit(0)).cast("long") for j, t in enumerate(trigrams[k : k + 60])]
