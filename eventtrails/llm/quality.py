@@ -8,9 +8,10 @@ The posterior of a document's pattern is its weak label. A linear scorer over
 hashed features (byte-class 4-grams, words, votes) is trained on the weak labels of
 a bounded sample and scores every document; no human label is read.
 
-Bounds. ``SAMPLE`` documents are expected in the training sample, chosen by hash,
-and never more than twice as many; patterns and weights are small constants.
-Texts are read twice and never shuffled.
+Bounds. The training sample is the ``SAMPLE`` distinct texts of smallest hash, or
+all where there are fewer, however many copies they have; patterns and weights are
+small constants. Texts are read four times (votes, hashes, sample, scores); only
+hashes and the sample are shuffled.
 
 Defined cases: null and empty texts have no words, get no votes and are rejected
 with the score 0; equal texts get equal scores; null ids are kept; an empty table
@@ -244,8 +245,10 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, steps: int = 300, rate: float = 0.1
 
 
 class QualityModel(NamedTuple):
+    """Both models; without weights the weak label is the score."""
+
     labels: LabelModel
-    weights: np.ndarray
+    weights: np.ndarray | None
     bias: float
 
     def score(self, text: bytes, words: _Words) -> tuple[float, float]:
@@ -254,8 +257,11 @@ class QualityModel(NamedTuple):
         if not len(d.words):
             return 0.0, 0.0
         v = votes(d)
+        weak = float(self.labels.posterior(np.array([pattern(v)]))[0])
+        if self.weights is None:
+            return weak, weak
         z = float(features(d, v) @ self.weights) + self.bias
-        return float(self.labels.posterior(np.array([pattern(v)]))[0]), float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        return weak, float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def _bytes(texts: pd.Series) -> Iterator[bytes]:
@@ -263,7 +269,7 @@ def _bytes(texts: pd.Series) -> Iterator[bytes]:
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> QualityModel | None:
-    """Fits both models on a corpus; None if it has no words."""
+    """Fits both models on a corpus; None if it has no rows."""
     S.ship_code(docs.sparkSession)
     texts = docs.select(S.text_or_empty(text_col).alias("text"))
 
@@ -275,8 +281,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Qualit
 
     counted = texts.mapInPandas(cast_votes, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     rows = counted.collect()  # at most 3 ** len(LABELLERS) rows
-    total = sum(r["n"] for r in rows)
-    if not total:
+    if not rows:
         return None
     labels = fit_label_model(np.array([r["pattern"] for r in rows]), np.array([r["n"] for r in rows]))
 
@@ -290,12 +295,11 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Qualit
                 out.append((pattern(v), features(d, v).tobytes()))
             yield pd.DataFrame(out, columns=["pattern", "x"])
 
-    share = min(1.0, sample / total)
-    near = F.xxhash64("text").cast("double") < (share - 0.5) * 2.0**64 if share < 1 else F.lit(True)
     # copies of a text count once; they could fill the sample
-    chosen = texts.filter(near).distinct().limit(2 * sample).mapInPandas(describe, "pattern long, x binary").toPandas()
+    least = S.least_hashes(texts, "text", sample)
+    chosen = texts.filter(F.xxhash64("text") <= least[-1]).distinct().mapInPandas(describe, "pattern long, x binary").toPandas() if least else []
     if not len(chosen):
-        return None
+        return QualityModel(labels, None, 0.0)
     x = np.stack([np.frombuffer(b, dtype=np.float32) for b in chosen["x"]])
     y = labels.posterior(chosen["pattern"].to_numpy()).astype(np.float32)
     return QualityModel(labels, *fit_scorer(x, y))

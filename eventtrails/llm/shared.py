@@ -83,6 +83,13 @@ def text_or_empty(text: str | Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def least_hashes(df: DataFrame, col: str, n: int) -> list[int]:
+    """The ``n`` smallest distinct ``xxhash64`` of a column, ascending: a sample
+    of its distinct values. Only hashes are shuffled, copies merged before."""
+    rows = df.select(F.xxhash64(col).alias("u")).distinct().orderBy("u").limit(n).collect()
+    return [r["u"] for r in rows]
+
+
 def collapse_ws(text: Column) -> Column:
     """The text with every run of white space as one space."""
     return F.regexp_replace(text, WS, " ")

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from eventtrails.llm import quality as Q
+from eventtrails.llm import shared as S
 
 SF = "/root/testdata/sf0.01"
 
@@ -48,3 +49,23 @@ def test_empty_and_wordless_tables(docs_of):
     empty = docs_of([(1, "a")]).limit(0)
     assert Q.score_quality(empty).count() == 0 and Q.keep_quality(empty).count() == 0
     assert [r.keep for r in Q.score_quality(docs_of([(1, None), (2, "")])).collect()] == [False, False]
+
+
+def test_copies_do_not_shrink_the_sample(docs_of, spark):
+    texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(300).collect()]
+    docs = docs_of(list(enumerate(texts)))
+    copies = spark.range(40_000).selectExpr("id + 1000 AS doc_id").crossJoin(docs.filter("doc_id = 0").drop("doc_id"))
+    assert Q.keep_quality(copies).count() == 40_000
+    assert S.least_hashes(docs.unionByName(copies), "text", Q.SAMPLE) == S.least_hashes(docs, "text", Q.SAMPLE)
+
+
+def test_small_samples_are_the_smallest_distinct_hashes(docs_of):
+    docs = docs_of([(i, f"text {i % 50}") for i in range(500)])
+    least = S.least_hashes(docs, "text", 1000)
+    assert len(least) == 50 and least == sorted(set(least)) and S.least_hashes(docs, "text", 7) == least[:7]
+
+
+def test_without_a_sample_the_weak_label_scores(docs_of, spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(100).collect()]
+    got = Q.score_quality(docs_of(rows), sample=0).collect()
+    assert all(r.score == r.weak_label for r in got) and any(r.keep for r in got)
