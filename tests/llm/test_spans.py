@@ -140,6 +140,13 @@ def test_pii_finds_unseen_identifiers_in_learnt_contexts(docs_of):
     assert not any("found" in got[i] for i in range(100, 120))
 
 
+def test_ip_parts_of_any_length(docs_of):
+    rows = [(1, "9" * 45 + ".1.2.3"), (2, "1.2.3." + "0" * 60 + "7"), (3, "at 1." + "9" * 4000 + ".2.3 and 10.0.0.1"), (4, "0.0.00.256")]
+    got = {r.doc_id: (r.n_ip, r.spans) for r in P.pii_report(docs_of(rows)).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: sum(f[3] == "ip" for f in pii(t)) if k != 3 else 1 for k, t in rows}
+    assert got[1][0] == 0 and got[2] == (1, "ip:0:67")
+
+
 def test_empty_tables_and_native_plans(docs_of):
     empty = docs_of([(1, "a")]).limit(0)
     assert X.secret_report(empty).count() == 0 and P.pii_report(empty).count() == 0
