@@ -12,15 +12,30 @@ from pyspark.sql import functions as F
 
 SPAN = "struct<start:int,end:int,text:string,group:string,left:string>"
 NO_SPANS = f"array<{SPAN}>"
-#: Code points before a match in which its left context is looked for.
-LEFT_WINDOW = 64
+#: A longer word stands in left contexts as its digest, which keeps them short
+#: where one word holds many matches.
+LONG_WORD = 256
+
+
+def _last_two_words(text: Column) -> Column:
+    """The last two words of a text (the last may be unfinished), with the white
+    space after them; read from the end, so in linear time."""
+    tail = F.reverse(F.regexp_extract(F.reverse(text), r"^([\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){0,2}+)", 1))
+
+    def short(w: Column) -> Column:
+        word = F.regexp_extract(w, r"^[^\x20\x09-\x0D]++", 0)
+        digest = F.concat(F.md5(F.lower(word).cast("binary")), F.substr(w, F.length(word) + 1))
+        return F.when(F.length(word) > LONG_WORD, digest).otherwise(w)
+
+    words = F.regexp_extract_all(tail, F.lit(r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"), F.lit(0))
+    return F.array_join(F.transform(words, short), "")
 
 
 def match_spans(text: Column, regex: str, group: int = 0, left: bool = False) -> Column:
     """Leftmost non-overlapping matches as ``array<SPAN>``.
 
-    ``group`` is the capture group whose text comes along; ``left`` adds the
-    ``LEFT_WINDOW`` code points before the match (since the previous match).
+    ``group`` is the capture group whose text comes along; ``left`` adds the two
+    words of the text before the match, whatever they matched themselves.
     """
     rx = F.lit(regex)
     whole = F.regexp_extract_all(text, rx, F.lit(0))
@@ -31,7 +46,10 @@ def match_spans(text: Column, regex: str, group: int = 0, left: bool = False) ->
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + F.length(x["p"])
         end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        before = F.right(x["p"], F.lit(LEFT_WINDOW)) if left else F.lit(None).cast("string")
+        before = F.lit(None).cast("string")
+        if left:
+            last = F.get(acc["out"], F.size(acc["out"]) - 1)
+            before = _last_two_words(F.concat(F.coalesce(last["left"], F.lit("")), F.coalesce(last["text"], F.lit("")), x["p"]))
         span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("text"), x["g"].alias("group"), before.alias("left"))
         out = F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span).cast(NO_SPANS)))
         return F.struct(end.alias("pos"), out.alias("out"))

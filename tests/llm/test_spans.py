@@ -8,10 +8,12 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from eventtrails.llm import pii as P
 from eventtrails.llm import secret_scan as X
 from eventtrails.llm import sql
+from eventtrails.llm.spans import LONG_WORD
 
 PIECES = [
     " ", " ", "\n", "\t", "é", "😀", "日", ".", ",", "-", "--", "_", "@", "+", "(", ")", ":", "=", '"', "'", "a", "ab", "x1", "42", "007", "255", "256",
@@ -147,6 +149,27 @@ def test_ip_parts_of_any_length(docs_of):
     assert got[1][0] == 0 and got[2] == (1, "ip:0:67")
 
 
+def test_left_context_is_of_the_text_not_of_the_piece(docs_of):
+    word = {1: "x1", 2: "b" * 70, 3: "B" * 300}
+    rows = [(100 * k + i, f"agent {w} wrote user{i}.x{i}@mail.example.com") for k, w in word.items() for i in range(20)]
+    rows += [(1000 + k, f"9 agent {w} wrote user77(at)mail today") for k, w in word.items()]
+    rows += [(100 * k + 500 + i, f"to {w} user{i}.y{i}@mail.example.com") for k, w in word.items() for i in range(20)]
+    rows += [(2000 + k, f"to {w} user78(at)mail today") for k, w in word.items()]
+    got = {r.doc_id: r.spans for r in P.pii_report(docs_of(rows)).collect()}
+    for k, w in word.items():
+        assert got[1000 + k] == f"found:{len(w) + 15}:{len(w) + 29}" and got[2000 + k] == f"found:{len(w) + 4}:{len(w) + 18}"
+
+
+def test_left_contexts_match_plain_python(docs_of):
+    rows = [(1, "order 17 id AB-123456 x1 y2  z3"), (2, "a1"), (3, " é b2\n\tc3 d"), (4, "10.0.0.1," * 3000), (5, "x " * 20_000 + "a1")]
+    spans = docs_of(rows).select("doc_id", P.match_spans(F.col("text"), P.TOKEN, left=True).alias("x")).collect()
+    for r in spans:
+        t = dict(rows)[r.doc_id]
+        assert [x.left for x in r.x] == [re.search(r"(?:\S+\s+)?(?:\S+\s*)?$", t[: x.start][-200:])[0].lstrip() for x in r.x]
+    lists = docs_of(rows).filter("doc_id = 4").select(P.base_spans(F.col("text"), "ip").alias("x")).first().x
+    assert len(lists) == 3000 and max(len(x.left) for x in lists) <= LONG_WORD
+
+
 def test_empty_tables_and_native_plans(docs_of):
     empty = docs_of([(1, "a")]).limit(0)
     assert X.secret_report(empty).count() == 0 and P.pii_report(empty).count() == 0
