@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 # Public licence texts by their SPDX identifiers (copyright lines
 # left out, as normalising removes them) and one-line notices that name a licence.
 
@@ -110,6 +113,25 @@ OTHER DEALINGS IN THE SOFTWARE.
 For more information, please refer to <https://unlicense.org>
 """
 
+# Where the parts after the terms start: what to do with the licence, its exhibits.
+_AFTER_TERMS = re.compile(r"\n[^\n]*END OF TERMS AND CONDITIONS|\nADDENDUM: How to use|\nEXHIBIT A -Mozilla|\nExhibit A - Source Code")
+_END_LINE = re.compile(r"[^\n]*END OF TERMS AND CONDITIONS[^\n]*\n")
+
+
+def _variants(text: str) -> list[str]:
+    """A long licence whole and without what follows its terms; each in lines as
+    published and with every paragraph on one line (the canonical form drops
+    lines that start like a copyright, so wrapping matters)."""
+    forms = [text]
+    if after := _AFTER_TERMS.search(text):
+        forms.append(text[: after.start()])
+    if end := _END_LINE.search(text):
+        forms.append(text[: end.end()])
+    return forms + [re.sub(r"(?<=\S)[\x20\t]*\n(?=[\x20\t]*\S)", " ", f) for f in forms]
+
+
+_LONG = [(f.stem, t) for f in sorted((Path(__file__).parent / "licenses").glob("*.txt")) for t in _variants(f.read_text())]
+
 TEXTS: list[tuple[str, str]] = [
     ("MIT", "MIT License\n\n" + _MIT_GRANT),
     ("MIT", _MIT_GRANT),
@@ -122,6 +144,7 @@ TEXTS: list[tuple[str, str]] = [
     ("Zlib", "zlib License\n\n" + _ZLIB),
     ("Zlib", _ZLIB),
     ("Unlicense", _UNLICENSE),
+    *_LONG,
 ]
 
 NOTICES: list[tuple[str, str]] = [

@@ -41,3 +41,15 @@ def test_matches_sql(docs_of):
 
 def test_empty_table(docs_of):
     assert L.scan_licenses(docs_of([(1, "a")]).limit(0)).count() == 0
+
+
+def test_long_licences_as_whole_documents(docs_of):
+    texts = {n: t for n, t in reversed(L.TEXTS)}
+    names = ["Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "CC0-1.0"]
+    rows = [(k, texts[n].upper().replace("\n", "\r\n")) for k, n in enumerate(names)]
+    apache = texts["Apache-2.0"]
+    rows += [(10, apache[: apache.index("END OF TERMS")]), (11, apache[: apache.index("END OF TERMS") + 27]), (12, apache[: len(apache) // 2])]
+    rows += [(13, "\n\n".join(" ".join(p.split()) for p in apache.split("\n\n")))]
+    got = {r.doc_id: r.license for r in L.scan_licenses(docs_of(rows)).collect()}
+    assert [got[k] for k in range(len(names))] == names
+    assert [got[k] for k in (10, 11, 12, 13)] == ["Apache-2.0", "Apache-2.0", None, "Apache-2.0"]
