@@ -6,8 +6,9 @@ length); two LSTMs read the sequence in both directions, so each block is judged
 with the whole page before and after it. Blocks labelled content, joined by line
 breaks, are the main text.
 
-Training. The network is trained in numpy on the driver, on a sample of at most
-``SAMPLE`` of the given pages, chosen by hash. Blocks under telling elements
+Training. The network is trained in numpy on the driver, on the ``SAMPLE`` distinct
+pages of smallest hash among those of at most ``TRAIN_CHARS`` characters, a bound on
+the driver's memory; longer pages are labelled like all others. Blocks under telling elements
 (``article``, ``main``; ``nav``, ``footer``, adverts...) are labelled by them, others
 not at all. Every sampled page is also laid out anew several times, its content
 under other containers and amid menus, sidebars, notices, forms and reader comments
@@ -39,6 +40,7 @@ from . import shared as S
 from .html_blocks import Block, blocks
 
 SAMPLE = 128
+TRAIN_CHARS = 200_000
 LAYOUTS = 6
 EPOCHS = 5
 PATH_SLOTS, WORD_SLOTS, SHARES = 512, 256, 10
@@ -106,7 +108,7 @@ def vectors(page: list[Block], slots: _Slots) -> np.ndarray:
             1 / (1 + k),
             1 / (n - k),
             b.path == previous,
-            sum(map(str.isdigit, t[:200])) / min(size, 200),
+            sum(map(str.isdigit, t)) / size,
             min(len(b.path) / 10, 2),
         )
         previous = b.path
@@ -365,12 +367,11 @@ def training_pages(sample: list[str], layouts: int = LAYOUTS, seed: int = 7) ->
 
 def fit(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> Network:
     """Trains on at most ``sample`` different pages, those with the smallest hashes."""
-    h = S.text_or_empty(html_col)
-    rows = pages.select(h.alias("html")).filter(F.length("html").between(1, 200_000)).withColumn("u", F.xxhash64("html"))
-    # some four times as many by hash, so that copies can be merged and still leave enough
-    share = min(1.0, 4 * sample / max(1, pages.count()))
-    near = F.col("u").cast("double") < (share - 0.5) * 2.0**64 if share < 1 else F.lit(True)
-    chosen = [r["html"] for r in rows.filter(near).distinct().orderBy("u", "html").limit(sample).collect()]
+    rows = pages.select(S.text_or_empty(html_col).alias("html")).filter(F.length("html").between(1, TRAIN_CHARS))
+    # copies of a page count once; they could fill or shrink the sample
+    least = S.least_hashes(rows, "html", sample)
+    u = F.xxhash64("html")
+    chosen = [r["html"] for r in rows.filter(u <= least[-1]).distinct().orderBy(u, "html").collect()] if least else []
     return train(training_pages(chosen))
 
 

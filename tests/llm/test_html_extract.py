@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventtrails.llm import html_extract as X
 from eventtrails.llm.html_blocks import blocks
@@ -93,3 +94,19 @@ def test_pages_frame(spark, sample):
     assert by[100].text == by[101].text == "" and by[None].text == by[0].text == article(sample[0])
     assert by[102].n_chars > 200_000
     assert X.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_copies_do_not_shrink_the_sample(spark, sample, monkeypatch):
+    taught = []
+    monkeypatch.setattr(X, "training_pages", lambda pages: taught.append(pages))
+    monkeypatch.setattr(X, "train", lambda pages: None)
+    pages = spark.createDataFrame([(h,) for h in sample[:100]], "html string")
+    X.fit(pages)
+    X.fit(pages.unionByName(spark.range(20_000).select(F.lit("<p>copy").alias("html"))))
+    assert len(taught[0]) == len(set(sample[:100])) and sorted(taught[1]) == sorted([*taught[0], "<p>copy"])
+
+
+def test_digits_of_a_whole_block_count():
+    text = "word " * 100
+    plain, digits = (X.vectors(blocks(f"<p>{text}{end}"), X._Slots())[0, -2] for end in ("x" * 500, "7" * 500))
+    assert plain == 0 and digits == pytest.approx(0.5)
