@@ -3,7 +3,9 @@
 A block is the text between two block-level tags; inline tags do not end it. The
 path of a block is its open elements, each with the words of its class, id and
 role. Contents of scripts, styles and other elements that are not rendered as text
-never become blocks.
+never become blocks. Formulas are inline text. What is inside drawings, choice lists
+and templates has their names in its path (``APART``), by which readers tell it; such
+an element without a closing tag is left out of paths, so that it swallows nothing.
 """
 
 from __future__ import annotations
@@ -15,10 +17,13 @@ from typing import NamedTuple
 # How element names behave.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr".split()
+    "small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle mpadded msub msup msubsup munder mover munderover "
+    "mtable mtr mtd semantics annotation".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe object svg math select noframes".split())
+RAW = frozenset("script style noscript textarea title iframe noframes".split())
+APART = frozenset("<svg> <select> <template>".split())
 #: An opening tag of the key closes an open element of the values, up to its container.
 CLOSES = {
     "li": ("li",),
@@ -94,6 +99,14 @@ def blocks(page: str) -> list[Block]:
             if gone == name:
                 break
 
+    last_close: dict[str, int] = {}
+
+    def closed_after(name: str, at: int) -> bool:
+        if name not in last_close:
+            last_close[name] = max((m.start() for m in re.finditer(rf"</{name}\b", page, re.I)), default=-1)
+        return last_close[name] >= at
+
+    apart_seen = False
     at = 0
     while True:
         tag = _TAG.search(page, at)
@@ -114,6 +127,8 @@ def blocks(page: str) -> list[Block]:
                 if any(n == name for n, _ in stack):
                     pop_to(name)
             continue
+        if name in RAW and attributes.rstrip().endswith("/") and any(n == "svg" for n, _ in stack):
+            continue
         if name in RAW:
             flush()
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
@@ -127,6 +142,14 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         links = 0
+        if apart_seen and name in CLOSE_P and name != "hr":
+            # block elements end a drawing or a choice list that is still open
+            for k in range(len(stack) - 1, -1, -1):
+                if stack[k][0] in ("foreignobject", "template"):
+                    break
+                if stack[k][0] in ("svg", "select"):
+                    del stack[k:]
+                    break
         if name in CLOSE_P and any(n == "p" for n, _ in stack):
             pop_to("p")
         if name in CLOSES:
@@ -136,7 +159,11 @@ def blocks(page: str) -> list[Block]:
                     break
                 if stack[k][0] in CONTAINERS and not (name in ("tr", "td", "th") and stack[k][0] == "tr"):
                     break
-        if name not in VOID and not attributes.endswith("/"):
+        if f"<{name}>" in APART:
+            if not closed_after(name, at):
+                continue
+            apart_seen = True
+        if name not in VOID and not attributes.rstrip().endswith("/"):
             stack.append((name, (f"<{name}>", *_marks(attributes))))
     flush()
     return out

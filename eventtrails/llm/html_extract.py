@@ -18,7 +18,8 @@ Scale. Pages are independent: one pass, no shuffle. A task labels a slice of pag
 at a time, pages of like length together; the model is a small constant.
 
 Defined cases: null and empty html give an empty text, as do pages without content
-blocks; nothing of a block is dropped or capped; equal pages give equal texts; null
+blocks; nothing of a block is dropped or capped; blocks in drawings, choice lists and
+templates are never content; equal pages give equal texts; null
 ids and urls are kept; without any pages the network trains on its own layouts'
 placeholder words; extra columns are not read.
 """
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared as S
-from .html_blocks import Block, blocks
+from .html_blocks import APART, Block, blocks
 
 SAMPLE = 128
 TRAIN_CHARS = 200_000
@@ -63,6 +64,8 @@ _WORD = re.compile(r"\w+")
 
 def teacher(path: tuple[str, ...]) -> int:
     """1 content, 0 other, -1 unknown: the innermost telling word of the path."""
+    if not APART.isdisjoint(path):
+        return 0
     for mark in reversed(path):
         if mark in OTHER_MARKS:
             # the heading of an article is often in its own header
@@ -393,7 +396,8 @@ def extract(net: Network, pages: list[str], slots: _Slots, threshold: float = 0.
         at = 0
         for k in part:
             n = len(parsed[k])
-            texts[k] = "\n".join(b.text for b, yes in zip(parsed[k], content[at : at + n], strict=True) if yes)
+            found = zip(parsed[k], content[at : at + n], strict=True)
+            texts[k] = "\n".join(b.text for b, yes in found if yes and APART.isdisjoint(b.path))
             at += n
     return texts
 

@@ -110,3 +110,20 @@ def test_digits_of_a_whole_block_count():
     text = "word " * 100
     plain, digits = (X.vectors(blocks(f"<p>{text}{end}"), X._Slots())[0, -2] for end in ("x" * 500, "7" * 500))
     assert plain == 0 and digits == pytest.approx(0.5)
+
+
+def test_elements_without_text_swallow_nothing(sample):
+    def of(page):
+        return [b.text for b in blocks(page) if X.APART.isdisjoint(b.path)]
+
+    assert of('<p>a<svg width="1"/><p>b<p>c<svg><text>no</text></svg>d') == ["a", "b", "c", "d"]
+    assert of("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b<math/> c</p><p>d") == ["a x=1 b c", "d"]
+    assert of("<object data=x><p>instead</p></object><p>b") == ["instead", "b"]
+    for name in ("svg", "math", "object", "select", "template"):
+        assert of(f"<p>a</p><{name}><p>b</p><p>c</p>") == ["a", "b", "c"]
+    assert of("<svg><g><p>a</p><p>b</p><svg><text>no</text></svg><p>c") == ["a", "b", "c"]
+    assert of("<select><option>no<option>no</select><template><div>no</div><p>no</template><p>b") == ["b"]
+    assert of("<svg><title/><style/><text>no</text></svg><p>a<script>no</script>b") == ["a", "b"]
+    net = X.train(X.training_pages(sample[:60]))
+    page = sample[70].replace("<article>", "<article><svg /><select><option>no such words</select>", 1).replace("</body>", "<svg><text>no</text></svg></body>")
+    assert X.extract(net, [page], X._Slots()) == [article(sample[70])]
