@@ -74,6 +74,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(_read(spark, sf_dir, "documents"))
 
 
+def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import edited_report
+
+    return edited_report(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_join": op1_ngram_join,
@@ -86,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_license_scan": op9_license_scan,
         "op10_pii": op10_pii,
+        "op13_fingerprint": op13_fingerprint,
     }
 
 
