@@ -8,9 +8,10 @@ densification), so two texts whose filled bins agree copy alike. Of each bin the
 one in ``2**BITS``, are corrected for in :func:`likeness`.
 
 :func:`edited_report` compares each text with a copy of it whose last quarter is
-replaced by the start of the next document, and with that next document. Only ids,
-digests and fingerprints are sorted; a text is shuffled once by its key, and the
-part of it that replaces another's end once more.
+replaced by the start of the next document, and with that next document. Only ids
+and digests are sorted; a text is shuffled once by its key, and the part of it that
+replaces another's end once more, with its fingerprint (working that out again there
+costs less than moving it a second time).
 
 Defined cases: null text is empty. Words are runs of other than ASCII white space,
 case kept; one to four words are one shingle; without words the fingerprint is the
@@ -143,19 +144,12 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     texts = docs.select(F.col(id_col).alias("id"), S.text_or_empty(text_col).alias("text"))
     texts = texts.select("id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), "text")
-    prints = texts.select("id", "digest", F.length("text").cast("long").alias("n_chars"), fingerprint("text").alias("fingerprint"))
-    keys = [F.col("id").asc_nulls_last(), F.col("digest").asc()]
-    links = following(S.table(prints.distinct(), "fingerprint-prints"), keys, ["id", "digest", "fingerprint"], "next")
+    keys = S.table(texts.select("id", "digest", F.length("text").cast("long").alias("n_chars")).distinct(), "fingerprint-keys")
+    order = [F.col("id").asc_nulls_last(), F.col("digest").asc()]
+    links = following(keys, order, ["id", "digest"], "next")
+    n_new = F.floor(F.col("n_chars") / 4).cast("int").alias("n_new")
     links = S.table(
-        links.select(
-            F.struct("id", "digest").alias("of"),
-            "n_chars",
-            F.floor(F.col("n_chars") / 4).cast("int").alias("n_new"),
-            "fingerprint",
-            likeness(F.col("fingerprint"), F.col("next.fingerprint")).alias("near_next"),
-            F.col("next.id").alias("id"),
-            F.col("next.digest").alias("digest"),
-        ),
+        links.select(F.struct("id", "digest").alias("of"), n_new, F.col("next.id").alias("id"), F.col("next.digest").alias("digest")),
         "fingerprint-links",
     )
 
@@ -167,23 +161,24 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     given = met(texts, links).select(
         F.col("of.id").alias("id"),
         F.col("of.digest").alias("digest"),
-        *("n_chars", "n_new", "fingerprint", "near_next"),
+        "n_new",
         F.substring("text", F.lit(1), F.col("n_new")).alias("start"),
+        F.unhex(fingerprint("text")).alias("next_print"),
     )
     given = given.dropDuplicates(["id", "digest"])
-    kept = F.substring("text", F.lit(1), (F.col("n_chars") - F.col("n_new")).cast("int"))
+    kept = F.substring("text", F.lit(1), F.length("text") - F.col("n_new"))
     edited = met(texts, given).withColumn("edited", F.concat(kept, F.col("start")))
     edited = edited.select(
         "id",
-        "n_chars",
+        F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "fingerprint",
+        fingerprint("text").alias("fingerprint"),
         fingerprint("edited").alias("edited_fingerprint"),
-        "near_next",
+        F.lower(F.hex("next_print")).alias("next_fingerprint"),
     )
     return edited.select(
         F.col("id").alias(id_col),
         *("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint"),
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        "near_next",
+        likeness("fingerprint", "next_fingerprint").alias("near_next"),
     )

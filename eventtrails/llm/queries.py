@@ -74,6 +74,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_report(_read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_repair import repair_report
+
+    return repair_report(_read(spark, sf_dir, "conversations"))
+
+
 def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprint import edited_report
 
@@ -92,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_license_scan": op9_license_scan,
         "op10_pii": op10_pii,
+        "op11_conversation_repair": op11_conversation_repair,
         "op13_fingerprint": op13_fingerprint,
     }
 
