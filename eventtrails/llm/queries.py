@@ -111,6 +111,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_mix_sources": sql.MIX_SOURCES,
         "op4_exact_dedup": sql.EXACT_DEDUP,
         "op7_topk": sql.top_k(),
+        "op11_conversation_repair": sql.conversation_repair(),
         "op9_license_scan": sql.license_scan(L.TEXTS + L.NOTICES, L.NOTICES, L.EQUIVALENTS, L.COPYRIGHT_LINE, L.PUNCTUATION),
         "op5_secret_scan": sql.secret_scan(RULES, BASE_KINDS),
     }

@@ -140,3 +140,86 @@ m AS (SELECT rn, string_agg(DISTINCT n.license, ',' ORDER BY n.license) AS found
 SELECT f.doc_id, CASE WHEN f <> '' THEN sha256(f) END AS text_digest, w.license, coalesce(m.found, '') AS line_licenses
 FROM f LEFT JOIN w ON f <> '' AND w.known = sha256(f) LEFT JOIN m ON m.rn = f.rn
 """
+
+
+def conversation_repair(conversations: str = "conversations") -> str:
+    """CRC-32 bit by bit, then a forward program over (cost, letters) of four states."""
+    none = "{'c': 1000000000::BIGINT, 's': '', 'o': []::VARCHAR[]}"
+
+    def made(x: str, cost: str, letter: str, line: str | None) -> str:
+        lines = f"list_append({x}.o, {line})" if line else f"{x}.o"
+        return f"{{'c': {x}.c + {cost}, 's': {x}.s || '{letter}', 'o': {lines}}}"
+
+    def least(*x: str) -> str:
+        return f"list_sort([{', '.join(x)}])[1]"
+
+    def dropped(x: str) -> str:
+        return made(x, "2", "D", None)
+
+    def kept(x: str, who: str) -> str:
+        return f"CASE WHEN fault IN ('', 'truncated') AND who = '{who}' THEN {made(x, 'extra', 'K', line)} ELSE {none} END"
+
+    def changed(x: str, role: str) -> str:
+        return f"CASE WHEN fault IN ('', 'truncated') THEN {made(x, 'extra + 1', 'R', f'{chr(39)}{role}:{chr(39)} || t')} ELSE {none} END"
+
+    def added(x: str, role: str) -> str:
+        return made(x, "5", "I", f"'{role}:'")
+
+    line = "role || ':' || t"
+    as_u = [f(x, w) for x in ("x0", "xs", "xa") for f, w in ((kept, "u"), (changed, "user"))]
+    return rf"""
+WITH RECURSIVE tab AS (
+  SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM tab WHERE k < 8
+), raw AS (
+  SELECT row_number() OVER () AS rn, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS cn, conv_id, turn,
+         coalesce(role, ' ') AS role, coalesce(text, ' ') AS t,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM {conversations}
+), crc AS (
+  SELECT rn, key, 0 AS p, 4294967295::BIGINT AS c FROM raw
+  UNION ALL
+  SELECT rn, key, p + 1, xor(crc.c >> 8, tab.c) FROM crc JOIN tab ON tab.k = 8 AND tab.i = xor(crc.c, ascii(key[p + 1])::BIGINT) & 255
+  WHERE p < length(key)
+), what AS (
+  SELECT raw.*, xor(crc.c, 4294967295) % 20 AS what FROM raw JOIN crc USING (rn) WHERE p = length(raw.key)
+), damaged AS (
+  SELECT rn, cn, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN what = 1 THEN '' WHEN what = 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS t,
+         unnest(range(CASE WHEN what = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM what WHERE what <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY cn ORDER BY turn NULLS FIRST, role, sha256(t), rn, copy) AS pos,
+         row_number() OVER (PARTITION BY cn, role, t ORDER BY turn NULLS FIRST, rn, copy) AS nth,
+         right(regexp_replace(t, '[\x20\x09-\x0D]+$', ''), 1) AS last
+  FROM damaged
+), f AS (
+  SELECT *, role[1] AS who, coalesce(lag(role[1]) OVER (PARTITION BY cn ORDER BY pos) || role[1] NOT IN ('su', 'ua', 'au'), false) AS odd,
+         CASE WHEN last = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN last IN ('.', '!', '?') THEN '' ELSE 'truncated' END AS fault
+  FROM placed
+), counts AS (
+  SELECT cn, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (odd) AS illegal
+  FROM f GROUP BY cn
+), dp AS (
+  SELECT cn, 0::BIGINT AS pos, z AS x0, {none} AS xs, {added('z', 'user')} AS xu, {{'c': z.c + 10, 's': 'II', 'o': ['user:', 'assistant:']}} AS xa
+  FROM (SELECT cn, {{'c': 0::BIGINT, 's': '', 'o': []::VARCHAR[]}} AS z FROM counts)
+  UNION ALL
+  SELECT cn, pos, y0, ys, zu, {least('ya', added('zu', 'assistant'))} FROM (
+    SELECT *, {least('yu', added('y0', 'user'), added('ys', 'user'), added('ya', 'user'))} AS zu FROM (
+      SELECT f.cn, f.pos, {dropped('x0')} AS y0, {least(dropped('xs'), kept('x0', 's'))} AS ys,
+             {least(dropped('xu'), *as_u, changed('xs', 'user'))} AS yu,
+             {least(dropped('xa'), kept('xu', 'a'), changed('xu', 'assistant'))} AS ya
+      FROM dp JOIN (SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM f) f ON f.cn = dp.cn AND f.pos = dp.pos + 1
+    )
+  )
+), best AS (
+  SELECT cn, {least('x0', 'xa')} AS b FROM dp JOIN counts USING (cn) WHERE pos = n
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.c, 0)::BIGINT AS cost,
+       coalesce(b.s, '') AS audit, sha256(coalesce(array_to_string(b.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT cn, conv_id FROM raw) LEFT JOIN counts USING (cn) LEFT JOIN best USING (cn)
+"""
