@@ -80,6 +80,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(_read(spark, sf_dir, "conversations"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .collocations import collocations
+
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 def op13_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprint import edited_report
 
@@ -99,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": op9_license_scan,
         "op10_pii": op10_pii,
         "op11_conversation_repair": op11_conversation_repair,
+        "op12_collocations": op12_collocations,
         "op13_fingerprint": op13_fingerprint,
     }
 
@@ -112,6 +119,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_exact_dedup": sql.EXACT_DEDUP,
         "op7_topk": sql.top_k(),
         "op11_conversation_repair": sql.conversation_repair(),
+        "op12_collocations": sql.collocations(),
         "op9_license_scan": sql.license_scan(L.TEXTS + L.NOTICES, L.NOTICES, L.EQUIVALENTS, L.COPYRIGHT_LINE, L.PUNCTUATION),
         "op5_secret_scan": sql.secret_scan(RULES, BASE_KINDS),
     }

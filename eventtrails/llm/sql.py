@@ -223,3 +223,39 @@ SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS
        coalesce(b.s, '') AS audit, sha256(coalesce(array_to_string(b.o, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT cn, conv_id FROM raw) LEFT JOIN counts USING (cn) LEFT JOIN best USING (cn)
 """
+
+
+def collocations(least: int = 100, top: int = 2000, longest: int = 5, documents: str = "documents") -> str:
+    """All phrases of up to five words, counted one length at a time."""
+    lengths = range(1, longest + 1)
+    grams = " UNION ALL ".join(f"SELECT lang, ws[i:i+{d - 1}] AS p FROM spots WHERE i + {d - 1} <= len(ws)" for d in lengths)
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM {documents}
+), ws AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), spots AS (
+  SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM ws
+), c AS MATERIALIZED (
+  SELECT lang, p, count(*) AS f FROM ({grams}) GROUP BY lang, p HAVING count(*) >= {least}
+), n AS (
+  SELECT lang, sum(len(ws))::HUGEINT AS n FROM ws GROUP BY lang
+), longer AS (
+  SELECT lang, p, max(f) AS f FROM (
+    SELECT lang, f, unnest([p[1:len(p)-1], p[2:len(p)]]) AS p FROM c WHERE len(p) > 2
+  ) GROUP BY lang, p
+), kept AS (
+  SELECT c.lang, c.p, c.f AS a, unnest(range(1, len(c.p))) AS k
+  FROM c LEFT JOIN longer g ON g.lang = c.lang AND g.p = c.p WHERE len(c.p) > 1 AND (g.f IS NULL OR g.f < c.f)
+), cut AS (
+  SELECT kept.*, l.f AS l, r.f AS r, n.n, (1000 * a::HUGEINT * n.n) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+  FROM kept JOIN n USING (lang) JOIN c l ON l.lang = kept.lang AND l.p = kept.p[1:k] JOIN c r ON r.lang = kept.lang AND r.p = kept.p[k+1:len(kept.p)]
+), low AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank FROM low
+)
+SELECT lang, rank, array_to_string(p, ' ') AS phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= {top}
+"""
