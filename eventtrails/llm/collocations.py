@@ -199,7 +199,8 @@ def _subtree(depth: int, least: int):
         group = group.sort_values(_PARTS, kind="stable")
         words, n = group[_PARTS].to_numpy(), group["n"].to_numpy()
         upto = np.concatenate([[0], np.cumsum(n)])
-        new, out = np.zeros(len(n), bool), []
+        lang = group["lang"].to_numpy()
+        new, langs, phrases, totals = np.zeros(len(n), bool), [], [], []
         new[:1] = True
         for d in range(1, LONGEST + 1):
             new[1:] |= words[1:, d - 1] != words[:-1, d - 1]
@@ -207,11 +208,11 @@ def _subtree(depth: int, least: int):
                 continue
             first = np.flatnonzero(new)
             total = upto[np.append(first[1:], len(n))] - upto[first]
-            node = first[(total >= least) & (words[first, d - 1] != 0)]
-            nodes = pd.DataFrame({"lang": group["lang"].to_numpy()[node], "phrase": [list(x) for x in words[node, :d]]})
-            nodes["f"] = total[(total >= least) & (words[first, d - 1] != 0)]
-            out.append(nodes)
-        return pd.concat(out)
+            often = (total >= least) & (words[first, d - 1] != 0)
+            langs.extend(lang[first[often]])
+            phrases.extend(words[first[often], :d])
+            totals.extend(total[often])
+        return pd.DataFrame({"lang": pd.Series(langs, dtype=object), "phrase": pd.Series(phrases, dtype=object), "f": np.array(totals, np.int64)})
 
     return build
 
