@@ -367,8 +367,8 @@ def graph_sql(base: str, roots_cte: str, depth: int, second: str, km: float | No
     return nodes, edges
 
 
-def trail_graph() -> tuple[str, str]:
-    return graph_sql("loc", latest("loc", "rt", P.ACTOR), P.GRAPH_DEPTH, "geo", P.GRAPH_KM, None)
+def trail_graph(depth: int = P.GRAPH_DEPTH) -> tuple[str, str]:
+    return graph_sql("loc", latest("loc", "rt", P.ACTOR), depth, "geo", P.GRAPH_KM, None)
 
 
 def city_graph() -> tuple[str, str]:
@@ -476,6 +476,7 @@ def queries() -> dict[str, str]:
         "graph_edges_written": tg_edges,
         "trail_graph_nodes": tg_nodes,
         "trail_graph_edges": tg_edges,
+        "trail_graph_edges_deep": trail_graph(P.DEEP_GRAPH_DEPTH)[1],
         "city_graph_nodes": cg_nodes,
         "city_graph_edges": cg_edges,
         "most_related": most_related(),

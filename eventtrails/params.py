@@ -25,6 +25,8 @@ CAP_TRAIL_DEPTH, CAP_TRAIL_KM, CAP_TRAIL_DAYS = 2, 300.0, 3
 TWO_HOP_KM = 500.0
 
 GRAPH_DEPTH, GRAPH_KM = 3, 300.0
+#: The depth of the original graph, over the whole history.
+DEEP_GRAPH_DEPTH = 6
 CITY_GRAPH_DEPTH, CITY_GRAPH_DAYS = 3, 3
 
 RELATED_DEPTH, RELATED_KM = 6, 300.0

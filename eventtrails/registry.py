@@ -302,6 +302,12 @@ def q_trail_graph_edges(spark, sf_dir):
     return _geo_graph(spark, sf_dir)[1]
 
 
+def q_trail_graph_edges_deep(spark, sf_dir):
+    """The edges at the original depth, without a day cap."""
+    ev = located(_ev(spark, sf_dir, False))
+    return graph.trail_graph(ev, _latest_of(ev, P.ACTOR), P.DEEP_GRAPH_DEPTH, P.GRAPH_KM)[1]
+
+
 def q_city_graph_nodes(spark, sf_dir):
     return _city_graph(spark, sf_dir)[0]
 
@@ -370,6 +376,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "graph_edges_written": q_graph_edges_written,
         "trail_graph_nodes": q_trail_graph_nodes,
         "trail_graph_edges": q_trail_graph_edges,
+        "trail_graph_edges_deep": q_trail_graph_edges_deep,
         "city_graph_nodes": q_city_graph_nodes,
         "city_graph_edges": q_city_graph_edges,
         "most_related": q_most_related,

@@ -361,3 +361,60 @@ def test_intermediate_tables_are_dropped(spark):
     assert set(os.listdir(here)) > before
     drop_intermediates(spark)
     assert set(os.listdir(here)) == before
+
+
+def _brute_graph(rows, roots, depth, km, max_days=None):
+    edges, nodes = set(), set()
+    for d in range(1, depth + 1):
+        for t in brute_trails(rows, roots, d, "geo", km, max_days):
+            a, b = rows[t[-2]], rows[t[-1]]
+            edges.add((str(a[0]), str(b[0]), a[1] if d % 2 == 1 else "Location"))
+            nodes.add((str(b[0]), f"{b[1]} - P{b[0]} - {b[2]}"))
+            if d == 1:
+                nodes.add((str(a[0]), a[1]))
+    return edges, nodes
+
+
+@pytest.mark.parametrize("depth", [4, 6])
+def test_deep_graph_expands_an_event_twice_at_most(spark, monkeypatch, depth):
+    from collections import Counter
+
+    from eventtrails.plans import graph
+
+    rows = random_rows(5, n=36)
+    # several roots, one of them on another's trails; an id twice; an actor named as the label
+    rows += [(*rows[3][:2], rows[9][2], *rows[7][3:]), (990, "Location", rows[1][2], *rows[1][3:]), (991, "Location", rows[2][2], *rows[2][3:])]
+    ev = make_events(spark, rows, places=True)
+    order = sorted(range(len(rows)), key=lambda i: rows[i][2])
+    roots = [order[-1], order[-2], order[len(order) // 2]]
+    ids = [rows[i][0] for i in roots]
+    assert len([r for r in rows if r[0] in ids]) == 3
+    expanded = Counter()
+    for name in ("hop_actor", "hop_geo"):
+        real = getattr(graph, name)
+
+        def seen(left, *args, _real=real, _name=name, **kw):
+            expanded.update((_name, tuple(r)) for r in left.collect())
+            return _real(left, *args, **kw)
+
+        monkeypatch.setattr(graph, name, seen)
+    frame = ev.where(F.col("e_id").isin(ids))
+    nodes, edges = trail_graph(ev, frame, depth, 150.0)
+    want_edges, want_nodes = _brute_graph(rows, roots, depth, 150.0)
+    got = [tuple(r) for r in edges.collect()]
+    assert set(got) == want_edges and len(got) == len(want_edges)
+    assert {(r.Id, r.Label) for r in nodes.collect()} == want_nodes
+    root_rows = {tuple(r) for r in frame.select(*graph._FRONTIER).collect()}
+    assert all(n <= (2 if row in root_rows else 1) for (_, row), n in expanded.items())
+
+
+def test_graph_ends_where_no_event_is_new(spark, monkeypatch):
+    from eventtrails.plans import graph
+
+    calls = []
+    real = graph.hop_geo
+    monkeypatch.setattr(graph, "hop_geo", lambda *a, **k: calls.append(1) or real(*a, **k))
+    rows = [(1, "A", "2000-01-05", 0.0, 0.0), (2, "A", "2000-01-04", 0.0, 0.0), (3, "B", "2000-01-03", 0.0, 0.0)]
+    _, edges = trail_graph(make_events(spark, rows), 1, 40, 10.0)
+    assert {tuple(r) for r in edges.collect()} == {("1", "2", "A"), ("2", "3", "Location")}
+    assert len(calls) == 1
