@@ -2,7 +2,9 @@
 
 Spark's regex functions return matched strings without offsets. The pieces
 between matches (``split``) and the matches (``regexp_extract_all``) alternate,
-so running lengths give every match its place, in code points.
+so running lengths give every match its place, in code points. Pieces are gone
+through in chunks, so that no array grows with the matches of a text: the time is in
+proportion to the text (but for one small step a chunk).
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from pyspark.sql import functions as F
 
 SPAN = "struct<start:int,end:int,text:string,group:string,left:string>"
 NO_SPANS = f"array<{SPAN}>"
+#: Pieces that one fold goes through: its array grows to this length at most.
+CHUNK = 256
 #: A longer word stands in left contexts as its digest, which keeps them short
 #: where one word holds many matches.
 LONG_WORD = 256
@@ -46,16 +50,40 @@ def match_spans(text: Column, regex: str, group: int = 0, left: bool = False) ->
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + F.length(x["p"])
         end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        before = F.lit(None).cast("string")
+        before, after = F.lit(None).cast("string"), acc["left"]
         if left:
-            last = F.get(acc["out"], F.size(acc["out"]) - 1)
-            before = _last_two_words(F.concat(F.coalesce(last["left"], F.lit("")), F.coalesce(last["text"], F.lit("")), x["p"]))
+            before = _last_two_words(F.concat(acc["left"], x["p"]))
+            after = F.concat(before, F.coalesce(x["m"], F.lit("")))
         span = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("text"), x["g"].alias("group"), before.alias("left"))
         out = F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span).cast(NO_SPANS)))
-        return F.struct(end.alias("pos"), out.alias("out"))
+        return F.struct(end.alias("pos"), after.alias("left"), out.alias("out"))
+
+    def skip(acc: Column, chunk: Column) -> Column:
+        """Where the next chunk starts, and the words before it."""
+        size = F.aggregate(chunk, F.lit(0), lambda n, x: n + F.length(x["p"]) + F.coalesce(F.length(x["m"]), F.lit(0)))
+        words = acc["left"]
+        if left:
+            text = F.array_join(F.transform(chunk, lambda x: F.concat(x["p"], F.coalesce(x["m"], F.lit("")))), "")
+            words = _last_two_words(F.concat(words, text))
+        at = F.struct((acc["pos"] + size).alias("pos"), words.alias("left"))
+        return F.struct(at["pos"].alias("pos"), at["left"].alias("left"), F.concat(acc["at"], F.array(at)).alias("at"))
 
     none = F.array().cast(NO_SPANS)
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("pos"), none.alias("out")), step, lambda acc: acc["out"])
+    first = F.struct(F.lit(0).alias("pos"), F.lit("").alias("left"))
+
+    def in_chunks(chunks: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("pos"), F.lit("").alias("left"), F.array(first).alias("at"))
+        starts = F.aggregate(F.slice(chunks, F.lit(1), F.size(chunks) - 1), begin, skip, lambda acc: acc["at"])
+
+        def fold(chunk: Column, at: Column) -> Column:
+            return F.aggregate(chunk, F.struct(at["pos"].alias("pos"), at["left"].alias("left"), none.alias("out")), step, lambda acc: acc["out"])
+
+        return F.flatten(F.zip_with(chunks, starts, fold))
+
+    def cut(pieces: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(pieces), F.lit(CHUNK)), lambda i: F.slice(pieces, i, F.lit(CHUNK)))
+
+    found = F.get(F.transform(F.transform(F.array(zipped), cut), in_chunks), F.lit(0))
     return F.when(text.rlike(regex), found).otherwise(none)
 
 

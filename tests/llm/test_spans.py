@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from eventtrails.llm import pii as P
 from eventtrails.llm import secret_scan as X
 from eventtrails.llm import sql
-from eventtrails.llm.spans import LONG_WORD
+from eventtrails.llm.spans import LONG_WORD, match_spans
 
 PIECES = [
     " ", " ", "\n", "\t", "é", "😀", "日", ".", ",", "-", "--", "_", "@", "+", "(", ")", ":", "=", '"', "'", "a", "ab", "x1", "42", "007", "255", "256",
@@ -138,7 +138,7 @@ def test_pii_finds_unseen_identifiers_in_learnt_contexts(docs_of):
     rows += [(500, "Write to my e-mail user77(at)mail today."), (501, "Write to my e-mail user77(at)mail today."), (502, "They sent a12345 back.")]
     got = {r.doc_id: r.spans for r in P.pii_report(docs_of(rows)).collect()}
     assert got[500] == got[501] == "found:19:33"
-    assert got[502] == "" and got[0].startswith("email:27:")
+    assert got[502] == "" and got[0].startswith("email:26:")
     assert not any("found" in got[i] for i in range(100, 120))
 
 
@@ -176,3 +176,32 @@ def test_empty_tables_and_native_plans(docs_of):
     for report in (X.secret_report, P.pii_report):
         plan = report(docs_of([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_spans_over_many_chunks_equal_re(spark):
+    rng = random.Random(8)
+    words = ["a1", "b@c.d", "e", "f", "10.0.0.1,10.0.0.2", "g" * 9]
+    text = "".join(rng.choice(words) + rng.choice([" ", " ", "\n", "  "]) for _ in range(3000))
+    df = spark.createDataFrame([(text,)], "t string")
+    regex = r"[a-z]*[0-9@][^ \n]*"
+    got = df.select(match_spans(F.col("t"), regex, left=True).alias("s")).first().s
+    want = list(re.finditer(regex, text))
+    assert [(x.start, x.end, x.text) for x in got] == [(m.start(), m.end(), m.group()) for m in want]
+    for x, m in zip(got, want):
+        assert x.left.split() == text[: m.start()].split()[-2:]
+
+
+def test_spans_take_time_in_proportion(spark):
+    import time
+
+    def seconds(n):
+        text = " ".join(f"{k:07d}x" for k in range(n))
+        df = spark.createDataFrame([(text,)], "t string").repartition(1).cache()
+        df.count()
+        t = time.time()
+        assert df.select(F.size(match_spans(F.col("t"), r"[0-9]+x", left=True)).alias("n")).first().n == n
+        return time.time() - t
+
+    seconds(20_000)  # compiled
+    small, large = seconds(100_000), seconds(200_000)
+    assert large < 3 * small + 2 and large < 60
