@@ -5,8 +5,10 @@ and every other identifier-like token (a word with a digit or ``@``) occurs in a
 lexical pattern, its two preceding words. Patterns and instances form a graph,
 scored in rounds: a pattern's confidence is the share of its instances' scores,
 an unseen instance's score is the chance that one of its reliable patterns is
-right (noisy or). After the rounds, unseen tokens with a high score in a pattern
-of high confidence are added as spans of kind ``found``.
+right (noisy or). Rounds go on until one brings no new reliable pattern; scores only
+rise, so patterns are never lost. Then unseen tokens are added, as spans of kind
+``found``, where they stand in a reliable pattern (which gives a token at least the
+pattern's confidence as its score).
 
 All steps are DataFrame functions. Texts are read once; the written table of
 occurrences is what the rounds join and aggregate, by pattern and by instance.
@@ -14,7 +16,7 @@ Occurrences of copies of a text are merged before they are shuffled or counted.
 
 Defined cases: null text is empty; empty texts have no spans; equal rows give
 equal rows; null ids are kept; an empty table gives an empty result; extra
-columns are not read. A token over ``MAX_TOKEN`` characters is no identifier.
+columns are not read. Tokens of any length are identifiers; they are joined by digest.
 """
 
 from __future__ import annotations
@@ -40,9 +42,7 @@ FOUND = "found"
 
 #: A word with a digit or an at sign.
 TOKEN = r"(?:\G|(?<![^\x20\x09-\x0D]))[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-MIN_TOKEN, MAX_TOKEN = 5, 64
 
-ROUNDS = 3
 MIN_SUPPORT = 3
 MIN_CONFIDENCE = 0.7
 
@@ -82,10 +82,15 @@ def _pattern(left: Column) -> Column:
     return F.lower(F.regexp_extract(left, r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$", 1))
 
 
+def _key(token: Column) -> Column:
+    """What stands for an instance, case aside: short however long the token is."""
+    return F.unhex(F.md5(F.lower(token).cast("binary")))
+
+
 def _occurrences(scanned: DataFrame) -> DataFrame:
     """``(h, start, end, instance, pattern, seed)``: one row per place and text."""
     seeds = scanned.select("h", F.explode(F.concat(*[F.col(k) for k in KINDS])).alias("x")).select(
-        "h", "x.start", "x.end", F.lower("x.text").alias("instance"), _pattern(F.col("x.left")).alias("pattern"), F.lit(True).alias("seed")
+        "h", "x.start", "x.end", _key(F.col("x.text")).alias("instance"), _pattern(F.col("x.left")).alias("pattern"), F.lit(True).alias("seed")
     )
 
     def free(t: Column) -> Column:
@@ -100,26 +105,25 @@ def _occurrences(scanned: DataFrame) -> DataFrame:
             "h",
             "x.start",
             (F.col("x.start") + F.length(token)).alias("end"),
-            F.lower(token).alias("instance"),
+            _key(token).alias("instance"),
             _pattern(F.col("x.left")).alias("pattern"),
             F.lit(False).alias("seed"),
         )
-        .filter(F.length("instance").between(MIN_TOKEN, MAX_TOKEN))
     )
     return seeds.unionByName(others).filter("pattern <> ''").distinct()
 
 
-def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+def bootstrap(occurrences: DataFrame, min_support: int = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Scores the pattern-instance graph; returns the reliable patterns.
 
     The result is ``(pattern, confidence)``. Each round is two aggregates and
-    two joins over the edges, written so that a lost executor costs no rounds.
+    two joins over the edges, written so that a lost executor costs no rounds. A
+    round has a new pattern or is the last one, so there are at most as many as
+    links between the seeds and the farthest pattern.
     """
     edges = S.table(occurrences.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
-    scores = None
-    for k in range(rounds):
-        scored = edges if scores is None else edges.join(scores, "instance", "left")
-        score = F.when(F.col("seed"), 1.0).otherwise(F.lit(0.0) if scores is None else F.coalesce("score", F.lit(0.0)))
+    score, scored, known, k = F.when(F.col("seed"), 1.0).otherwise(0.0), edges, 0, 0
+    while True:
         # patterns without any seed or scored instance cannot become reliable
         patterns = (
             scored.withColumn("s", score)
@@ -130,11 +134,15 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, min_support: int = M
             .select("pattern", "confidence")
         )
         patterns = S.table(patterns, f"pii-patterns-{k}")
-        if k + 1 < rounds:
-            unseen = edges.filter(~F.col("seed")).join(patterns, "pattern")
-            wrong = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-3))))
-            scores = S.table(unseen.groupBy("instance").agg((1 - F.exp(wrong)).alias("score")), f"pii-scores-{k}")
-    return patterns
+        found = patterns.count()
+        if found == known:
+            return patterns
+        known, k = found, k + 1
+        unseen = edges.filter(~F.col("seed")).join(patterns, "pattern")
+        wrong = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-3))))
+        scores = S.table(unseen.groupBy("instance").agg((1 - F.exp(wrong)).alias("score")), f"pii-scores-{k}")
+        scored = edges.join(scores, "instance", "left")
+        score = F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))
 
 
 def scan_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
