@@ -13,10 +13,13 @@ to a handful of cells, i.e. to the theta join, and stays exact.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import cell_side_for_km, chord_for_km, grid_cell, haversine_km, unit_vector
+from ..session import cut_lineage
 
 _OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 _CELL = ["_cx", "_cy", "_cz"]
@@ -110,106 +113,122 @@ def neighbour_places(
     return distance_join(c, p, km, ("lat", "lon"), ("n_lat", "n_lon"), "dist_km", replicate)
 
 
+#: Pairs of places that a pair of cells at the rim may give before it is divided.
+LEAF_PAIRS = 256
+#: Levels of cells; the finest are under a metre for radii up to 1,000 km.
+MAX_LEVEL = 21
+_AXES = ("x", "y", "z")
+
+
+def _side_of(km: float, level: int) -> float:
+    return cell_side_for_km(km) / 2.0**level
+
+
+def _cells(df: DataFrame, lat: str, lon: str, side: float, prefix: str) -> DataFrame:
+    """Add the cell ``<prefix>x, <prefix>y, <prefix>z`` of (lat, lon).
+
+    Halving ``side`` is exact in binary, so a cell's parts have twice its numbers,
+    or one more, on each axis.
+    """
+    point = unit_vector(F.col(lat), F.col(lon))
+    return df.withColumns({prefix + a: F.floor(v / F.lit(side)).cast("long") for a, v in zip(_AXES, point)})
 
-def _fine_cells(df: DataFrame, lat: str, lon: str, side: float, prefix: str) -> DataFrame:
-    x, y, z = unit_vector(F.col(lat), F.col(lon))
-    return df.withColumns(
-        {
-            prefix + "x": x,
-            prefix + "y": y,
-            prefix + "z": z,
-            prefix + "cx": F.floor(x / F.lit(side)).cast("long"),
-            prefix + "cy": F.floor(y / F.lit(side)).cast("long"),
-            prefix + "cz": F.floor(z / F.lit(side)).cast("long"),
-        }
-    )
 
+def _judged(pairs: DataFrame, km: float, level: int, leaf_pairs: int) -> DataFrame:
+    """Cell pairs that can hold places within ``km``, with their ``kind``: 0 wholly
+    within, 1 to be tested place by place, 2 to be divided."""
+    side, chord = F.lit(_side_of(km, level)), chord_for_km(km)
+    near2, far2 = F.lit(0.0), F.lit(0.0)
+    for a in _AXES:
+        gap = (F.col("b" + a) - F.col("a" + a)).cast("double")
+        near = F.greatest(F.abs(gap) - 1.0, F.lit(0.0)) * side
+        far = (F.abs(gap) + 1.0) * side
+        near2, far2 = near2 + near * near, far2 + far * far
+    few = (F.col("na") * F.col("nb") <= F.lit(leaf_pairs)) if level < MAX_LEVEL else F.lit(True)
+    # margins over the rounding of unit vectors and distances
+    inner, outer = max(0.0, chord * (1 - 1e-9) - 1e-15) ** 2, (chord * (1 + 1e-9) + 1e-15) ** 2
+    kind = F.when(far2 < F.lit(inner), 0).when(few, 1).otherwise(2)
+    return pairs.where(near2 < F.lit(outer)).withColumn("kind", kind)
+
+
+def _cell_pairs(cen: DataFrame, places: DataFrame, km: float, leaf_pairs: int):
+    """Written cell pairs by level: ``[(level, table, kinds)]`` (see :func:`neighbour_spreader`)."""
+
+    def counted(df: DataFrame, level: int, prefix: str) -> DataFrame:
+        cells = [prefix + a for a in _AXES]
+        return _cells(df, "lat", "lon", _side_of(km, level), prefix).groupBy(*cells).agg(F.count(F.lit(1)).alias("n" + prefix))
+
+    a_cells, b_cells = ["a" + a for a in _AXES], ["b" + a for a in _AXES]
+    around = counted(cen, 0, "a").withColumn("_off", F.explode(F.expr(_OFFSETS_SQL)))
+    around = around.withColumns({"b" + a: F.col("a" + a) + F.col(f"_off.d{a}") for a in _AXES}).drop("_off")
+    pairs = around.join(counted(places, 0, "b"), b_cells)
+    out = []
+    for level in range(MAX_LEVEL + 1):
+        table = cut_lineage(_judged(pairs, km, level, leaf_pairs).select(*a_cells, *b_cells, "kind"))
+        kinds = {r["kind"] for r in table.select("kind").distinct().collect()}  # three at most
+        out.append((level, table, kinds))
+        if 2 not in kinds:
+            break
+        pairs = table.where("kind = 2").select(*[F.col(c).alias("up" + c) for c in a_cells + b_cells])
+        for side, cells, what in ((cen, a_cells, "a"), (places, b_cells, "b")):
+            parts = counted(side, level + 1, what)
+            parts = parts.withColumns({"up" + c: F.floor(F.col(c) / 2).cast("long") for c in cells})
+            pairs = pairs.join(parts, ["up" + c for c in cells])
+    return out
 
-def neighbour_spreader(centres: DataFrame, places: DataFrame, km: float, split: int | None = None):
+
+def neighbour_spreader(
+    centres: DataFrame, places: DataFrame, km: float, split: int | None = None, leaf_pairs: int = LEAF_PAIRS
+):
     """Build, once, a function that sums values over neighbouring places.
 
     ``centres`` and ``places``: ``lat, lon`` (duplicates allowed). The
     returned ``spread(values, keys, value)`` takes ``lat, lon, *keys, value``
     rows at places and returns ``lat, lon, *keys, value``: per centre, the sum
-    over rows at places strictly within ``km``. Only the value joins run per
-    call; the place pairing is planned once and reused (e.g. by every geo
-    step of the trail counts).
-
-    ``split=None`` pairs every centre with every neighbouring place (grid
-    join on distinct places). ``split=k`` uses cells ``k`` times finer than
-    the radius: a cell lying wholly inside the radius of a centre contributes
-    its pre-summed total (one row per cell and key instead of one per place),
-    and only places in cells crossing the boundary are tested one by one.
-    A sum that overflows its type is null. Exact either way; the split form pays off where many places share a cell
-    (dense regions, large radius) and costs more planning where they do not.
+    over rows at places strictly within ``km``.
+
+    Cells form a hierarchy, each level half the side of the one above. A pair of
+    cells (of centres, of places) that lies wholly within the radius passes the place
+    cell's total on to the centre cell; one wholly outside goes; one at the rim is
+    divided into its parts, until it stands for ``leaf_pairs`` pairs of places at
+    most, which are tested one by one. So where places are sparse this is the join of
+    neighbouring places, and where they are dense, coarse cells carry the inside of a
+    radius and only its rim is looked at closely; there is one way for both. The pairs
+    are found once, level by level, over distinct places, and written; values join
+    them, pre-summed by cell. Exact: a cell is inside or outside by a margin over
+    rounding. A sum that overflows its type is null. ``split`` has no effect any more.
     """
-    cen = centres.select("lat", "lon").where(_usable("lat", "lon")).distinct()
-    places = places.where(_usable("lat", "lon"))
-    if not split:
-        nb = neighbour_places(cen, places, km).select("lat", "lon", "n_lat", "n_lon")
-
-        def spread(values: DataFrame, keys: list[str], value: str) -> DataFrame:
-            vals = values.withColumnsRenamed({"lat": "n_lat", "lon": "n_lon"})
-            return nb.join(vals, ["n_lat", "n_lon"]).groupBy("lat", "lon", *keys).agg(F.try_sum(F.col(value)).alias(value))
-
-        return spread
-    k = int(split)
-    chord = chord_for_km(km)
-    side = cell_side_for_km(km) / k
-    # chord / side < k, so a point within the chord is at most k cells away
-    reach = k
-    cell_places = _fine_cells(places.select("lat", "lon").distinct(), "lat", "lon", side, "_q").select(
-        F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"), "_qcx", "_qcy", "_qcz"
-    )
-    cells = cell_places.select("_qcx", "_qcy", "_qcz").distinct()
-    cenc = _fine_cells(cen, "lat", "lon", side, "_c")
-    rng = f"sequence(-{reach}, {reach})"
-    ccell = (
-        cenc.select("_ccx", "_ccy", "_ccz")
-        .distinct()
-        .withColumn("_dx", F.explode(F.expr(rng)))
-        .withColumn("_dy", F.explode(F.expr(rng)))
-        .withColumn("_dz", F.explode(F.expr(rng)))
-        .select(
-            "_ccx", "_ccy", "_ccz",
-            (F.col("_ccx") + F.col("_dx")).alias("_qcx"),
-            (F.col("_ccy") + F.col("_dy")).alias("_qcy"),
-            (F.col("_ccz") + F.col("_dz")).alias("_qcz"),
-        )
-        .join(cells, ["_qcx", "_qcy", "_qcz"])
-    )
-    pairs = cenc.join(ccell, ["_ccx", "_ccy", "_ccz"])
-    # Nearest and farthest squared distance from the centre to the cell cube.
-    near2, far2 = F.lit(0.0), F.lit(0.0)
-    for a in ("x", "y", "z"):
-        v = F.col("_c" + a)
-        lo = F.col("_qc" + a).cast("double") * F.lit(side)
-        hi = lo + F.lit(side)
-        near = F.greatest(lo - v, F.lit(0.0), v - hi)
-        near2 = near2 + near * near
-        far = F.greatest(v - lo, hi - v)
-        far2 = far2 + far * far
-    inner = (chord * (1 - 1e-9)) ** 2
-    outer = (chord * (1 + 1e-9)) ** 2
-    pairs = pairs.where(near2 < F.lit(outer)).withColumn("_inside", far2 < F.lit(inner))
-    whole_cells = pairs.where(F.col("_inside")).select("lat", "lon", "_qcx", "_qcy", "_qcz")
-    edge_places = (
-        pairs.where(~F.col("_inside"))
-        .select("lat", "lon", "_qcx", "_qcy", "_qcz")
-        .join(cell_places, ["_qcx", "_qcy", "_qcz"])
-        .where(haversine_km("lat", "lon", "p_lat", "p_lon") < F.lit(float(km)))
-        .select("lat", "lon", "p_lat", "p_lon")
-    )
+    cen = cut_lineage(centres.select("lat", "lon").where(_usable("lat", "lon")).distinct())
+    places = cen if places is centres else cut_lineage(places.select("lat", "lon").where(_usable("lat", "lon")).distinct())
+    a_cells, b_cells = ["a" + a for a in _AXES], ["b" + a for a in _AXES]
+    levels = _cell_pairs(cen, places, km, leaf_pairs)
+    within, near = [], []
+    for level, table, kinds in levels:
+        side = _side_of(km, level)
+        if 0 in kinds:
+            within.append((side, table.where("kind = 0").select(*a_cells, *b_cells)))
+        if 1 in kinds:
+            rim = table.where("kind = 1").select(*a_cells, *b_cells)
+            rim = rim.join(_cells(cen, "lat", "lon", side, "a"), a_cells)
+            there = places.select(F.col("lat").alias("n_lat"), F.col("lon").alias("n_lon"))
+            rim = rim.join(_cells(there, "n_lat", "n_lon", side, "b"), b_cells)
+            near.append(rim.where(haversine_km("lat", "lon", "n_lat", "n_lon") < F.lit(float(km))).select("lat", "lon", "n_lat", "n_lon"))
+    pairs = cut_lineage(reduce(DataFrame.unionByName, near)) if near else None
 
     def spread(values: DataFrame, keys: list[str], value: str) -> DataFrame:
         values = values.where(_usable("lat", "lon"))
-        vq = _fine_cells(values, "lat", "lon", side, "_q")
-        cell_tot = vq.groupBy("_qcx", "_qcy", "_qcz", *keys).agg(F.try_sum(F.col(value)).alias(value))
-        whole = whole_cells.join(cell_tot, ["_qcx", "_qcy", "_qcz"]).select("lat", "lon", *keys, value)
-        part = edge_places.join(
-            values.withColumnsRenamed({"lat": "p_lat", "lon": "p_lon"}), ["p_lat", "p_lon"]
-        ).select("lat", "lon", *keys, value)
-        return whole.unionByName(part).groupBy("lat", "lon", *keys).agg(F.try_sum(F.col(value)).alias(value))
+        total = F.try_sum(F.col(value)).alias(value)
+        parts = []
+        if pairs is not None:
+            parts.append(pairs.join(values.withColumnsRenamed({"lat": "n_lat", "lon": "n_lon"}), ["n_lat", "n_lon"]))
+        for side, inside in within:
+            sums = _cells(values, "lat", "lon", side, "b").groupBy(*b_cells, *keys).agg(total)
+            sums = inside.join(sums, b_cells).groupBy(*a_cells, *keys).agg(total)
+            parts.append(_cells(cen, "lat", "lon", side, "a").join(sums, a_cells))
+        if not parts:
+            return values.select("lat", "lon", *keys, value).limit(0)
+        rows = reduce(DataFrame.unionByName, [p.select("lat", "lon", *keys, value) for p in parts])
+        return rows.groupBy("lat", "lon", *keys).agg(total)
 
     return spread
 
@@ -224,4 +243,4 @@ def neighbour_sums(
 ) -> DataFrame:
     """Per centre place, the sum of ``value`` over rows of ``values`` at places
     strictly within ``km``, per ``keys`` (see :func:`neighbour_spreader`)."""
-    return neighbour_spreader(centres, values.select("lat", "lon"), km, split)(values, keys, value)
+    return neighbour_spreader(centres, values.select("lat", "lon"), km)(values, keys, value)

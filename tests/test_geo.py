@@ -123,3 +123,43 @@ def test_nan_point_never_matches(spark):
                         ev.select(F.col("e_id").alias("j"), F.col("lat").alias("la"), F.col("lon").alias("lo")),
                         500.0, ("lat", "lon"), ("la", "lo"), None)
     assert sorted((r.e_id, r.j) for r in got.collect()) == [(2, 2)]
+
+
+@pytest.mark.parametrize("km,box,leaf_pairs", [(150.0, 4.0, 1), (150.0, 4.0, 20), (0.05, 0.002, 4), (900.0, 60.0, 64), (25_000.0, 170.0, 4)])
+def test_cell_levels_equal_brute_force(spark, km, box, leaf_pairs):
+    import random
+    import struct
+
+    from eventtrails.operators.spatial import neighbour_spreader
+
+    rng = random.Random(int(km) + leaf_pairs)
+    f32 = lambda x: struct.unpack("f", struct.pack("f", x))[0]
+    points = sorted({(f32(47 + box / 3 * rng.random() - box / 6), f32(8 + box * rng.random() - box / 2)) for _ in range(160)})
+    points += [(90.0, 0.0), (-90.0, 10.0), (47.0, f32(179.99)), (47.0, f32(-179.99))]
+    values = [(*p, d, rng.randrange(1, 9)) for p in points for d in (1, 2) if rng.random() < 0.8]
+    vdf = spark.createDataFrame(values, "lat float, lon float, d int, v long")
+    cen = spark.createDataFrame([*points, points[0], (float("nan"), 1.0), (None, 1.0)], "lat float, lon float")
+    got = {(r.lat, r.lon, r.d): r.v for r in neighbour_spreader(cen, cen, km, leaf_pairs=leaf_pairs)(vdf, ["d"], "v").collect()}
+    want = {}
+    for lat, lon in points:
+        for a, b, d, v in values:
+            x = math.sin(math.radians(a - lat) / 2) ** 2
+            x += math.sin(math.radians(b - lon) / 2) ** 2 * math.cos(math.radians(lat)) * math.cos(math.radians(a))
+            if 2 * 6371.0 * math.atan2(math.sqrt(x), math.sqrt(max(0.0, 1 - x))) < km:
+                want[lat, lon, d] = want.get((lat, lon, d), 0) + v
+    assert got == want
+
+
+def test_dense_places_pass_whole_cells(spark):
+    from eventtrails.operators import spatial
+
+    places = spark.range(1500).select((F.lit(45.0) + F.rand(1)).cast("float").alias("lat"), (F.lit(7.0) + F.rand(2)).cast("float").alias("lon"))
+    levels = spatial._cell_pairs(places.distinct().cache(), places.distinct(), 60.0, 32)
+    inside = [t.where("kind = 0").count() for _, t, _ in levels]
+    # no cell is inside at first; then coarse cells are, and finer ones nearer to the rim
+    assert inside[0] == 0 and sum(n > 0 for n in inside) >= 2
+    spread = spatial.neighbour_spreader(places.cache(), places, 60.0, leaf_pairs=32)
+    ones = places.distinct().withColumns({"d": F.lit(1), "v": F.lit(1)})
+    got = {(r.lat, r.lon): r.v for r in spread(ones, ["d"], "v").collect()}
+    pairs = neighbour_places(places, places, 60.0).groupBy("lat", "lon").count()
+    assert got == {(r.lat, r.lon): r["count"] for r in pairs.collect()}
