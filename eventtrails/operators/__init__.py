@@ -10,7 +10,7 @@ from .filters import (
     with_country,
     within_radius,
 )
-from .hops import hop_actor, hop_city, hop_geo, hot_keys, step_suffix, suffix
+from .hops import hop_actor, hop_actor_outer, hop_city, hop_geo, hot_keys, step_suffix, suffix
 from .ranking import latest_per_actor, ordered
 from .spatial import (
     distance_join,
@@ -26,6 +26,7 @@ __all__ = [
     "by_actor",
     "distance_join",
     "hop_actor",
+    "hop_actor_outer",
     "hop_city",
     "hop_geo",
     "hot_keys",

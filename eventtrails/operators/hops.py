@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .spatial import neighbour_places
 
 def step_suffix(n: int) -> str:
@@ -84,7 +85,7 @@ def _equi_hop(
     hot: list | None = None,
 ) -> DataFrame:
     if salt and how != "inner":
-        raise ValueError("salt needs an inner join: an outer one would emit a row per salt")
+        raise ValueError("salt needs an inner join: an outer one would emit a row per salt (see hop_actor_outer)")
     s, n = step_suffix(step), step_suffix(step + 1)
     nxt = suffix(events, step + 1)
     cur_t, nxt_t = F.col("time_norm" + s), F.col("time_norm" + n)
@@ -139,6 +140,32 @@ def hop_actor(
     return _equi_hop(left, events, step, "actor", max_days, how, salt, hot)
 
 
+def hop_actor_outer(
+    left: DataFrame,
+    events: DataFrame,
+    step: int = 1,
+    max_days: int | None = None,
+    salt: int | None = None,
+    hot: list | None = None,
+) -> DataFrame:
+    """:func:`hop_actor` that keeps rows without an earlier event, split like the
+    inner one.
+
+    The same rows as ``hop_actor(how="left")``, but an actor is divided by date
+    buckets (``max_days``) and salts, which an outer join cannot do: the inner hop is
+    written with a number for each left row, and the rows whose number has no pair
+    are added with nulls. Only numbers are shuffled for that. Numbers belong to a
+    written table, so a lost executor does not change them.
+    """
+    row = "_row"
+    while row in left.columns or row in events.columns:
+        row = "_" + row
+    rows = cut_lineage(left.withColumn(row, F.monotonically_increasing_id()))
+    pairs = cut_lineage(_equi_hop(rows, events, step, "actor", max_days, "inner", salt, hot))
+    alone = rows.join(pairs.select(row).distinct(), row, "left_anti")
+    return pairs.unionByName(alone, allowMissingColumns=True).drop(row)
+
+
 def hop_city(
     left: DataFrame,
     events: DataFrame,

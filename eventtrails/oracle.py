@@ -211,6 +211,14 @@ def hop_actor_outer() -> str:
     )
 
 
+def hop_actor_outer_split() -> str:
+    g = days("r.time_norm", "e.time_norm")
+    return with_ev(
+        f"SELECT r.e_id, r.time_norm, r.actor, e.e_id AS e_id2, e.time_norm AS time_norm2, {g} AS date_diff "
+        f"FROM loc r LEFT JOIN loc e ON e.actor = r.actor AND e.time_norm < r.time_norm AND {g} < {P.OUTER_DAYS}",
+    )
+
+
 def day_gap() -> str:
     g = days("r.time_norm", "e.time_norm")
     return with_ev(
@@ -463,6 +471,7 @@ def queries() -> dict[str, str]:
         "root_by_id": root_by_id(),
         "hop_actor": hop_actor(),
         "hop_actor_outer": hop_actor_outer(),
+        "hop_actor_outer_split": hop_actor_outer_split(),
         "day_gap": day_gap(),
         "hop_geo": hop_geo(),
         "hop_city": hop_city(),

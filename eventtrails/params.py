@@ -37,5 +37,7 @@ ENRICH_KM = 50.0
 
 HOP_KM = 300.0
 GAP_DAYS = 5
+#: Day cap and salts of the outer hop from all events.
+OUTER_DAYS, OUTER_SALT = 2, 4
 
 DIGITS = 3

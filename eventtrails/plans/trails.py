@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day_lit
 from ..operators.filters import located, root as root_by_id, with_city
-from ..operators.hops import hop_actor, hop_city, hop_geo, hot_keys, step_suffix
+from ..operators.hops import hop_actor, hop_actor_outer, hop_city, hop_geo, hot_keys, step_suffix
 from ..session import cut_lineage
 
 
@@ -173,7 +173,7 @@ def trail(
 
 
 def trail_two_hop(
-    events: DataFrame, root, max_km: float = 500.0, order: bool = False, prune: bool = True
+    events: DataFrame, root, max_km: float = 500.0, order: bool = False, prune: bool = True, salt: int | None = None
 ) -> DataFrame:
     """Fixed two-hop trail: same actor earlier (outer), then a *different*
     actor's earlier event within ``max_km``.
@@ -181,14 +181,16 @@ def trail_two_hop(
     The first hop is a left outer join, but a root without an earlier event
     of its actor has no place to search from, so such rows cannot survive
     the second hop and the result equals that of an inner first hop.
+    ``salt=S`` spreads each actor and each place over ``S`` join partitions.
     Out: ``e_id, actor, time_norm`` for steps 1, 2 and 3.
     """
     ev = located(events).select("e_id", "time_norm", "actor", "lat", "lon")
     roots = _roots(ev, root)
     if prune:
         ev, roots = prune_to_window(ev, roots, 2, None)
-    cur = cut_lineage(hop_actor(roots, ev, 1, how="left"))
-    cur = hop_geo(cur, ev, 2, max_km, different_actor=True, places=ev.select("lat", "lon"))
+    first = hop_actor_outer(roots, ev, 1, salt=salt) if salt else hop_actor(roots, ev, 1, how="left")
+    cur = cut_lineage(first)
+    cur = hop_geo(cur, ev, 2, max_km, different_actor=True, places=ev.select("lat", "lon"), salt=salt)
     out = cur.select(
         "e_id", "actor", "time_norm", "e_id2", "actor2", "time_norm2", "e_id3", "actor3", "time_norm3"
     )

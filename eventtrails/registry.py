@@ -20,7 +20,7 @@ from .functions.dates import abs_day_gap
 from .functions.geo import haversine_km
 from .functions.labels import event_label
 from .operators.filters import by_actor, located, root, with_city
-from .operators.hops import hop_actor, hop_city, hop_geo
+from .operators.hops import hop_actor, hop_actor_outer, hop_city, hop_geo
 from .operators.ranking import latest_per_actor
 from .plans import counts, graph, places, search, trails
 from .session import shared_path
@@ -210,6 +210,13 @@ def q_hop_actor_outer(spark, sf_dir):
     return hop_actor(roots, ev, how="left").select("e_id", "time_norm", "actor", "e_id2", "time_norm2")
 
 
+def q_hop_actor_outer_split(spark, sf_dir):
+    """All events with those of the same actor on the day before, or nulls."""
+    ev, _ = _hop_roots(spark, sf_dir)
+    out = hop_actor_outer(ev, ev, max_days=P.OUTER_DAYS, salt=P.OUTER_SALT)
+    return out.select("e_id", "time_norm", "actor", "e_id2", "time_norm2", "date_diff")
+
+
 def q_day_gap(spark, sf_dir):
     ev, roots = _hop_roots(spark, sf_dir)
     return hop_actor(roots, ev, max_days=P.GAP_DAYS).select("e_id", "e_id2", "date_diff")
@@ -363,6 +370,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "root_by_id": q_root_by_id,
         "hop_actor": q_hop_actor,
         "hop_actor_outer": q_hop_actor_outer,
+        "hop_actor_outer_split": q_hop_actor_outer_split,
         "day_gap": q_day_gap,
         "hop_geo": q_hop_geo,
         "hop_city": q_hop_city,

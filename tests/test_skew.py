@@ -127,3 +127,27 @@ def test_hot_key_salting(spark, skewed):
         ga = trail_graph(ev, root, 3, 150.0)[1]
         gb = trail_graph(ev, root, 3, 150.0, salt=5, hot_fraction=0.3)[1]
         assert sorted(ga.collect()) == sorted(gb.collect())
+
+
+@pytest.mark.parametrize("max_days,salt", [(None, 3), (4, None), (4, 5)])
+def test_outer_hop_splits_a_hot_actor(spark, skewed, max_days, salt):
+    from eventtrails.operators.hops import hop_actor, hop_actor_outer
+
+    _, ev = skewed
+    ev = ev.select("e_id", "time_norm", "actor", "lat", "lon")
+    with conf(spark, SKEW_CONF):
+        want = hop_actor(ev, ev, max_days=max_days, how="left")
+        got = hop_actor_outer(ev, ev, max_days=max_days, salt=salt)
+        assert sorted(got.columns) == sorted(want.columns)
+        assert got.where("e_id2 is null").count() > 0
+        assert got.exceptAll(want.select(got.columns)).isEmpty() and want.select(got.columns).exceptAll(got).isEmpty()
+
+
+def test_two_hop_with_salts_equals_plain(spark, skewed):
+    from eventtrails.plans.trails import trail_two_hop
+
+    rows, ev = skewed
+    root = max(rows, key=lambda r: r[2])[0]
+    with conf(spark, SKEW_CONF):
+        a, b = trail_two_hop(ev, root, 150.0), trail_two_hop(ev, root, 150.0, salt=4)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() > 0
