@@ -11,7 +11,7 @@ from .filters import (
     within_radius,
 )
 from .hops import hop_actor, hop_actor_outer, hop_city, hop_geo, hot_keys, step_suffix, suffix
-from .ranking import latest_per_actor, ordered
+from .ranking import latest_per_actor, ordered, positions
 from .spatial import (
     distance_join,
     neighbour_places,
@@ -37,6 +37,7 @@ __all__ = [
     "neighbour_spreader",
     "neighbour_sums",
     "ordered",
+    "positions",
     "root",
     "step_suffix",
     "suffix",

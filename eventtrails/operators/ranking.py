@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def latest_per_actor(df: DataFrame, actor: str = "actor") -> DataFrame:
     """The latest event row of each actor: greatest ``time_norm``, then ``e_id``.
@@ -25,3 +27,26 @@ def latest_per_actor(df: DataFrame, actor: str = "actor") -> DataFrame:
 def ordered(df: DataFrame, *cols: str) -> DataFrame:
     """Final order by date, then id (deterministic for equal dates)."""
     return df.orderBy(*(cols or ("time_norm", "e_id")))
+
+
+def positions(df: DataFrame, name: str = "position") -> DataFrame:
+    """The rows of an ordered frame with their place in its order, from 1.
+
+    A sorted frame's partitions follow one another, so a row's place is its place in
+    its partition after the rows of the partitions before. The rows are written with
+    their partition and place in it (nothing is brought into one task); only one count
+    a partition comes to the driver and is sent out again.
+    """
+    seq, part, before = "_seq", "_part", "_before"
+    rows = cut_lineage(df.withColumn(seq, F.monotonically_increasing_id()))
+    # the upper bits of that number are the partition's, the lower 33 the row's
+    rows = rows.withColumn(part, F.shiftright(seq, 33).cast("int"))
+    sizes = sorted((r[part], r["count"]) for r in rows.groupBy(part).count().collect())
+    offsets, total = [], 0
+    for p, n in sizes:
+        offsets.append((p, total))
+        total += n
+    starts = df.sparkSession.createDataFrame(offsets, f"{part} int, {before} long")
+    place = F.col(before) + F.col(seq).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    # one row a partition
+    return rows.join(F.broadcast(starts), part).withColumn(name, place).drop(seq, part, before)

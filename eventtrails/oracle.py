@@ -172,6 +172,19 @@ def actor_timeline() -> str:
     return with_ev(f"SELECT e_id, geo_name, time_norm, actor FROM ev WHERE actor = '{P.ACTOR}'")
 
 
+def _placed(sql: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({sql})"
+
+
+def trail_positions() -> str:
+    per_date = f"SELECT time_norm3, count(*) AS trails FROM ({trail_max_days()}) GROUP BY time_norm3"
+    upto = "sum(trails) OVER (ORDER BY time_norm3)"
+    return (
+        f"SELECT time_norm3, ({upto} - trails + 1)::BIGINT AS first, ({upto})::BIGINT AS last, trails "
+        f"FROM ({per_date})"
+    )
+
+
 def result_nodes() -> str:
     return with_ev(
         "SELECT CAST(e_id AS VARCHAR) AS Id, "
@@ -465,6 +478,10 @@ def queries() -> dict[str, str]:
         "events_near_point_by_actor": events_near_point_by_actor(),
         "actor_countries": actor_countries(),
         "actor_timeline": actor_timeline(),
+        "time_interval_positions": _placed(time_interval(), "time_norm, e_id"),
+        "actor_timeline_positions": _placed(actor_timeline(), "actor, time_norm, e_id"),
+        "trail_positions": trail_positions(),
+        "most_related_positions": _placed(most_related(), "related_events DESC, actor"),
         "result_nodes": result_nodes(),
         "latest_per_actor": latest_per_actor(),
         "root_event": root_event(),

@@ -21,7 +21,7 @@ from .functions.geo import haversine_km
 from .functions.labels import event_label
 from .operators.filters import by_actor, located, root, with_city
 from .operators.hops import hop_actor, hop_actor_outer, hop_city, hop_geo
-from .operators.ranking import latest_per_actor
+from .operators.ranking import latest_per_actor, positions
 from .plans import counts, graph, places, search, trails
 from .session import shared_path
 from .sinks import write_csv, write_events_text, write_graph
@@ -166,6 +166,28 @@ def q_actor_timeline(spark, sf_dir):
     return search.actor_timeline(_ev(spark, sf_dir, False), P.ACTOR)
 
 
+def q_time_interval_positions(spark, sf_dir):
+    """Every row's place in the order that the search returns."""
+    return positions(q_time_interval(spark, sf_dir))
+
+
+def q_actor_timeline_positions(spark, sf_dir):
+    return positions(q_actor_timeline(spark, sf_dir))
+
+
+def q_trail_positions(spark, sf_dir):
+    """Trails in the order of their last date; rows of one date have no order, so
+    only the places of each date's rows are told."""
+    ev = located(_ev(spark, sf_dir, False))
+    out = trails.trail(ev, latest_per_actor(ev), P.CAP_TRAIL_DEPTH, "geo", P.CAP_TRAIL_KM, P.CAP_TRAIL_DAYS, order=True)
+    placed = positions(out).groupBy("time_norm3")
+    return placed.agg(F.min("position").alias("first"), F.max("position").alias("last"), F.count(F.lit(1)).alias("trails"))
+
+
+def q_most_related_positions(spark, sf_dir):
+    return positions(q_most_related(spark, sf_dir))
+
+
 def q_result_nodes(spark, sf_dir):
     return search.to_nodes(
         search.time_interval(_ev(spark, sf_dir, False), P.INTERVAL_START, P.INTERVAL_END, order=False)
@@ -364,6 +386,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_near_point_by_actor": q_events_near_point_by_actor,
         "actor_countries": q_actor_countries,
         "actor_timeline": q_actor_timeline,
+        "time_interval_positions": q_time_interval_positions,
+        "actor_timeline_positions": q_actor_timeline_positions,
+        "trail_positions": q_trail_positions,
+        "most_related_positions": q_most_related_positions,
         "result_nodes": q_result_nodes,
         "latest_per_actor": q_latest_per_actor,
         "root_event": q_root_event,

@@ -91,3 +91,16 @@ def test_scale_conf():
     assert 3_700 < int(moved["spark.sql.shuffle.partitions"]) < 3_800
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
     assert int(scale_conf(10, executor_cores=8)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_positions_follow_a_sorted_frame(spark):
+    from pyspark.sql import functions as F
+
+    from eventtrails.operators import positions
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), "id").repartition(5)
+    rows = positions(df.orderBy(F.col("k").desc())).collect()
+    by_place = [r.k for r in sorted(rows, key=lambda r: r.position)]
+    assert by_place == sorted((r.k for r in rows), reverse=True)
+    assert sorted(r.position for r in rows) == list(range(1, 5001))
+    assert positions(df.limit(0)).count() == 0
