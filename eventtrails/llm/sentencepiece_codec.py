@@ -1,37 +1,41 @@
 """SentencePiece encoding and decoding with a streaming Viterbi search.
 
-Encoding picks the segmentation with the greatest sum of piece scores. The search
-goes through the text once. Only positions within the longest piece's length can
-still be extended; whenever the backpointer paths from all of them run through
-one boundary, the ids before it are final: they are handed out and forgotten, so
-memory is bounded by the window, not by the text.
-
-Some boundaries are known beforehand. If no piece has the word mark after another
-character, all paths meet before the mark of every word, and words can be searched
-apart. Short words of a batch are searched together (one numpy step per position
-and piece length), repeated words once; anything longer streams. Both searches use
-integer scores and the same tie rule (the shorter last piece), so they agree
-exactly, as does a search over the whole text.
-
-Texts follow the model's conventions: one mark is put in front, spaces become
-marks, characters without a piece (a literal mark among them) become UTF-8 byte
-pieces. Decoding undoes exactly that.
+The model is a BPE model: a piece's score is the rank of its merge, and its encoding
+is what merging best pairs first gives. Merging has two properties that make it a
+path search. Every prefix of a text has exactly one last piece, and the encoding up to
+that piece is the encoding of the shorter prefix; and pieces in a row are an encoding
+exactly if each two neighbours are one of their own joined text. So the search goes
+through the text once and gives each position the one piece that fits the last piece
+of the position where it begins; whether two pieces fit is found by merging their
+text (at most two pieces long) and remembered.
+
+Only positions within the longest piece's length can still be extended; whenever the
+backpointer paths from all of them run through one boundary, the ids before it are
+final: they are handed out and forgotten, so memory is bounded by the window, not by
+the text. Some boundaries are known beforehand: if no piece has the word mark after
+another character, all paths meet before the mark of every word, so what the search
+hands out for a word is remembered, and long texts are read in chunks of words.
+
+The ids are those of the sentencepiece library for the same model, but for a text that
+holds the mark U+2581 itself: the library takes it for a space, here it becomes byte
+pieces like any character without a piece. Texts follow the model's other conventions:
+one mark is put in front, spaces become marks. Decoding undoes exactly that.
 
 Defined cases: null and empty texts have no ids and decode to the empty text;
 repeated rows and extra columns do no harm; an empty table gives an empty result.
-Texts are read a slice of ``SLICE_CHARS`` at a time, however many rows a batch has.
+Texts are read ``SLICE_CHARS`` at a time, however many rows a batch has and however
+long one text is (a chunk ends before a space after another character).
 """
 
 from __future__ import annotations
 
 import re
-from collections import deque
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,29 +43,27 @@ from . import shared as S
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Scores are compared as integers, this many to a unit.
-UNIT = 1024
-#: What an unknown character costs beyond the worst piece, in score units.
-UNKNOWN_PENALTY = 10
-LONGEST_WORD = 48
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 20
 CACHE_WORDS = 400_000
-NEVER = -(1 << 60)
+CACHE_PAIRS = 1_000_000
+#: Longer words are searched again each time instead of being remembered.
+CACHED_WORD = 256
+#: In place of a piece: the start of the text, a character without a piece.
+START, UNKNOWN = -1, -2
 
 
 class Vocabulary(NamedTuple):
     """What the search needs of a model; bounded by the model's size."""
 
     ids: dict[str, int]
-    scores: dict[str, int]
+    scores: dict[str, float]
     byte_ids: list[int]
     pieces: list[bytes]
     longest: int
-    unknown: int
 
 
 def load_vocabulary(path: str = MODEL) -> Vocabulary:
-    """Reads a SentencePiece model on the driver; tasks get the small result."""
+    """Reads a SentencePiece BPE model on the driver; tasks get the small result."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -71,25 +73,27 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
         if sp.is_byte(i):
             byte_ids[int(piece[3:5], 16)] = i
             pieces.append(bytes([int(piece[3:5], 16)]))
-        elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
+        elif sp.is_control(i) or sp.is_unknown(i):
             pieces.append(b"")
+        elif sp.is_unused(i):
+            raise ValueError("a model with unused pieces is not supported")
         else:
             ids[piece] = i
-            scores[piece] = round(sp.get_score(i) * UNIT)
+            scores[piece] = sp.get_score(i)
             pieces.append(piece.replace(MARK, " ").encode())
     if -1 in byte_ids:
         raise ValueError("the model has no byte pieces, so texts could not be decoded exactly")
-    worst = min(scores.values(), default=0)
-    return Vocabulary(ids, scores, byte_ids, pieces, max(map(len, ids), default=1), worst - UNKNOWN_PENALTY * UNIT)
+    return Vocabulary(ids, scores, byte_ids, pieces, max(map(len, ids), default=1))
 
 
-#: Stands for a literal mark in a text: a noncharacter, which no piece contains.
-_LITERAL_MARK = "﷐"
+#: Stands for a literal mark in a text: half a surrogate pair, which no text in UTF-8 holds.
+_LITERAL_MARK = "\udc81"
 
 
-def to_symbols(text: str) -> str:
-    """The text as the search sees it: spaces as marks, one mark in front."""
-    return (MARK + text.replace(MARK, _LITERAL_MARK).replace(" ", MARK)) if text else ""
+def to_symbols(text: str, begins: bool = True) -> str:
+    """The text as the search sees it: spaces as marks, one mark where it begins."""
+    inner = text.replace(MARK, _LITERAL_MARK).replace(" ", MARK)
+    return MARK + inner if text and begins else inner
 
 
 def _fallback(vocab: Vocabulary, char: str) -> list[int]:
@@ -97,38 +101,127 @@ def _fallback(vocab: Vocabulary, char: str) -> list[int]:
     return [vocab.byte_ids[b] for b in raw.encode("utf-8")]
 
 
+class Fits:
+    """Which pieces may follow which, worked out once a pair.
+
+    Two pieces stay apart if, while they form, no two parts that face each other could
+    have been merged before one of them grew. The parts facing right in a piece are the
+    piece, the right half of its last merge, the right half of that, and so on; a part
+    grows by the merge of the next one. Where merges of better rank come of worse ones,
+    the order of growing is not that of ranks, and the joined text is merged instead.
+    """
+
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
+        self.known: dict[tuple[int, int], bool] = {}
+        self.edges: dict[tuple[str, bool], list[tuple[str, float]] | None] = {}
+        #: all ends of pieces; those that are pieces with their id
+        self.tails = {p[k:]: UNKNOWN for p in vocab.ids for k in range(len(p))} | vocab.ids
+
+    def merged(self, symbols: str, last: list[str] | None = None) -> list[str]:
+        """A short text by merging its best pair, the leftmost of equals, until none is
+        left; ``last`` takes the two halves of every merge."""
+        scores, parts = self.vocab.scores, list(symbols)
+        while True:
+            found = [(-s, i) for i in range(len(parts) - 1) if (s := scores.get(parts[i] + parts[i + 1])) is not None]
+            if not found:
+                return parts
+            at = min(found)[1]
+            if last is not None:
+                last[:] = parts[at : at + 2]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def edge(self, piece: str, right: bool) -> list[tuple[str, float]] | None:
+        """The parts at one edge of a piece, smallest first, each with the score of the
+        merge by which it grows (the whole piece never does); None without an order."""
+        key = (piece, right)
+        if key not in self.edges:
+            out, grows, part = [], float("-inf"), piece
+            while out is not None:
+                out.append((part, grows))
+                if len(part) == 1:
+                    break
+                halves: list[str] = []
+                score = self.vocab.scores[part]
+                whole = self.merged(part, halves) == [part]
+                if not whole or score < grows or any(len(h) > 1 and self.vocab.scores[h] < score for h in halves):
+                    out = None
+                else:
+                    grows, part = score, halves[right]
+            self.edges[key] = out and out[::-1]
+        return self.edges[key]
+
+    def apart(self, left: str, right: str) -> bool:
+        """Whether the joined text of two pieces is merged into just these two."""
+        ends, starts = self.edge(left, True), self.edge(right, False)
+        if ends is None or starts is None:
+            return self.merged(left + right) == [left, right]
+        scores, i, j = self.vocab.scores, 0, 0
+        while True:
+            (a, a_grows), (b, b_grows) = ends[i], starts[j]
+            joined = scores.get(a + b)
+            # of equal scores the leftmost merge comes first
+            if joined is not None and joined > a_grows and joined >= b_grows:
+                return False
+            if i + 1 == len(ends) and j + 1 == len(starts):
+                return True
+            if a_grows >= b_grows:
+                i += 1
+            else:
+                j += 1
+
+    def __call__(self, before: int, left: str, this: int, right: str) -> bool:
+        key = (before, this)
+        fits = self.known.get(key)
+        if fits is None:
+            fits = self.merged(right) == [right] if before < 0 else self.apart(left, right)
+            if len(self.known) >= CACHE_PAIRS:
+                self.known.clear()
+            self.known[key] = fits
+        return fits
+
+
 class StreamingViterbi:
     """The search over a stream of symbols; ``feed`` and ``close`` return final ids."""
 
-    def __init__(self, vocab: Vocabulary):
+    def __init__(self, vocab: Vocabulary, fits: Fits | None = None):
         self.vocab = vocab
+        self.fits = fits or Fits(vocab)
         self.chars = ""  # symbols since the last committed boundary
-        self.best, self.back = deque([0]), deque([0])
+        self.last, self.back = [START], [0]  # the last piece up to each position, its length
+        self.piece_before = ""  # the piece that ends at the committed boundary
         self.widest = 0
 
-    def feed(self, symbols: str) -> list[int]:
-        out: list[int] = []
-        v = self.vocab
+    def feed(self, symbols: str) -> array:
+        out = array("i")
+        longest, known, tails = self.vocab.longest, self.fits.known, self.fits.tails
         for c in symbols:
             self.chars += c
-            end = len(self.chars)
-            top, length = NEVER, 1
-            for n in range(1, min(v.longest, end) + 1):
-                piece = self.chars[end - n :]
-                score = v.scores.get(piece)
-                if score is None:
-                    if n > 1:
-                        continue
-                    score = v.unknown
-                if self.best[end - n] + score > top:
-                    top, length = self.best[end - n] + score, n
-            self.best.append(top)
+            chars, end = self.chars, len(self.chars)
+            this, length = UNKNOWN, 1
+            for n in range(1, min(longest, end) + 1):
+                piece = chars[end - n :]
+                i = tails.get(piece)
+                if i is None:  # no piece ends so
+                    break
+                if i < 0:
+                    continue
+                start = end - n
+                before = self.last[start]
+                fits = known.get((before, i))
+                if fits is None:
+                    left = chars[start - self.back[start] : start] if start else self.piece_before
+                    fits = self.fits(before, left, i, piece)
+                if fits:
+                    this, length = i, n
+                    break
+            self.last.append(this)
             self.back.append(length)
-            if end >= 2 * v.longest and end % v.longest == 0:
-                out += self._commit(self._meeting(), len(self.chars))
+            if end >= 2 * longest and end % longest == 0:
+                out.extend(self._commit(self._meeting(), end))
         return out
 
-    def close(self) -> list[int]:
+    def close(self) -> array:
         return self._commit(len(self.chars), len(self.chars))
 
     def _meeting(self) -> int:
@@ -136,38 +229,37 @@ class StreamingViterbi:
         end = len(self.chars)
         open_ = set(range(max(0, end - self.vocab.longest + 1), end + 1))
         while len(open_) > 1:
-            last = max(open_)
-            open_.discard(last)
-            open_.add(last - self.back[last])
+            latest = max(open_)
+            open_.discard(latest)
+            open_.add(latest - self.back[latest])
         return open_.pop()
 
-    def _commit(self, upto: int, end: int) -> list[int]:
+    def _commit(self, upto: int, end: int) -> array:
         self.widest = max(self.widest, end)
+        if not upto:
+            return array("i")
         ids: list[list[int]] = []
         at = upto
         while at > 0:
-            piece = self.chars[at - self.back[at] : at]
-            ids.append([self.vocab.ids[piece]] if piece in self.vocab.ids else _fallback(self.vocab, piece))
+            ids.append([self.last[at]] if self.last[at] != UNKNOWN else _fallback(self.vocab, self.chars[at - 1]))
             at -= self.back[at]
-        base = self.best[upto]
-        self.chars = self.chars[upto:]
-        self.best = deque(b - base for b in list(self.best)[upto:])
-        self.back = deque(list(self.back)[upto:])
-        return [i for part in reversed(ids) for i in part]
+        self.piece_before = self.chars[upto - self.back[upto] : upto]
+        self.chars, self.last, self.back = self.chars[upto:], self.last[upto:], self.back[upto:]
+        self.back[0] = 0
+        return array("i", [i for part in reversed(ids) for i in part])
 
 
-def viterbi(vocab: Vocabulary, symbols: str) -> list[int]:
-    search = StreamingViterbi(vocab)
+def viterbi(vocab: Vocabulary, symbols: str, fits: Fits | None = None) -> array:
+    search = StreamingViterbi(vocab, fits)
     return search.feed(symbols) + search.close()
 
 
 class BatchEncoder:
-    """Encodes texts by their words, each distinct word searched once."""
-
-    _P = np.uint64(0x9E3779B97F4A7C15)
+    """Encodes texts by their words; what the search gives for a word is remembered."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
+        self.fits = Fits(vocab)
         multi = [p for p in vocab.ids if len(p) > 1]
         inner = {p[i] for p in multi for i in range(len(p))}
         alone = "".join(c for c in "\n\t\r" if c not in inner)
@@ -175,16 +267,7 @@ class BatchEncoder:
         self.splits = not any(a != MARK and b == MARK for p in multi for a, b in zip(p, p[1:], strict=False))
         a = re.escape(alone)
         self.word = re.compile(rf"[{a}]|{MARK}*[^{MARK}{a}]+|{MARK}+" if alone else rf"{MARK}*[^{MARK}]+|{MARK}+")
-        pieces = sorted(vocab.ids)
-        keys = np.array([self._hash(p) for p in pieces], dtype=np.uint64)
-        order = np.argsort(keys)
-        self.keys = keys[order]
-        if len(np.unique(keys)) != len(keys):
-            raise ValueError("two pieces share a hash")
-        self.key_ids = np.array([vocab.ids[p] for p in pieces], dtype=np.int64)[order]
-        self.key_scores = np.array([vocab.scores[p] for p in pieces], dtype=np.int64)[order]
-        self.seen = np.zeros(1 << 20, dtype=bool)
-        self.seen[(self.keys >> np.uint64(44)).astype(np.int64)] = True
+        self.cut = re.compile("(?<=[^ ]) ")
         self._clear()
 
     def _clear(self):
@@ -192,82 +275,34 @@ class BatchEncoder:
         self.flat: list[np.ndarray] = []
         self.starts, self.sizes, self.total = [], [], 0
 
-    @classmethod
-    def _hash(cls, piece: str) -> int:
-        h = 0
-        for c in piece:
-            h = (h * int(cls._P) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-            h ^= h >> 29
-        return h
-
-    def _search(self, words: list[str]) -> list[list[int]]:
-        """The search over words of one length, all at once."""
-        v, n, w = self.vocab, len(words[0]), len(words)
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).reshape(w, n).astype(np.uint64) + np.uint64(1)
-        best = np.full((w, n + 1), NEVER, dtype=np.int64)
-        best[:, 0] = 0
-        back = np.ones((w, n + 1), dtype=np.int16)
-        ids = np.full((w, n + 1), -1, dtype=np.int64)
-        score, which = [], []
-        h = np.zeros((w, n), dtype=np.uint64)
-        for size in range(1, min(v.longest, n) + 1):
-            h = h[:, : n - size + 1] * self._P + codes[:, size - 1 :]
-            h ^= h >> np.uint64(29)
-            s = np.full(h.shape, NEVER, dtype=np.int64)
-            k = np.full(h.shape, -1, dtype=np.int64)
-            at = np.nonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])
-            found = np.searchsorted(self.keys, h[at])
-            found[found == len(self.keys)] = 0
-            real = self.keys[found] == h[at]
-            at, found = (at[0][real], at[1][real]), found[real]
-            s[at], k[at] = self.key_scores[found], self.key_ids[found]
-            if size == 1:
-                s[k < 0] = v.unknown
-            score.append(s)
-            which.append(k)
-        for end in range(1, n + 1):
-            for size in range(1, min(v.longest, end) + 1):
-                total = best[:, end - size] + score[size - 1][:, end - size]
-                better = total > best[:, end]
-                best[better, end] = total[better]
-                back[better, end] = size
-                ids[better, end] = which[size - 1][better, end - size]
-        out: list[list[int]] = [[] for _ in words]
-        back_l, ids_l = back.tolist(), ids.tolist()
-        for r, word in enumerate(words):
-            end, found_ids = n, []
-            while end > 0:
-                if ids_l[r][end] < 0:
-                    found_ids.append(_fallback(v, word[end - 1]))
-                else:
-                    found_ids.append([ids_l[r][end]])
-                end -= back_l[r][end]
-            out[r] = [i for part in reversed(found_ids) for i in part]
-            if b"".join([v.pieces[i] for i in out[r]]) != word.replace(MARK, " ").replace(_LITERAL_MARK, MARK).encode():
-                out[r] = viterbi(v, word)  # two strings share a hash: search by the strings
-        return out
-
     def _learn(self, words: list[str]) -> None:
-        by_length: dict[int, list[str]] = {}
+        found = array("i")
         for word in words:
-            by_length.setdefault(len(word), []).append(word)
-        for n, group in by_length.items():
-            for lo in range(0, len(group), 4096):
-                part = group[lo : lo + 4096]
-                found = self._search(part) if n <= LONGEST_WORD else [viterbi(self.vocab, x) for x in part]
-                for word, ids in zip(part, found, strict=True):
-                    self.index[word] = len(self.starts)
-                    self.starts.append(self.total)
-                    self.sizes.append(len(ids))
-                    self.total += len(ids)
-                self.flat.append(np.fromiter((i for ids in found for i in ids), dtype=np.int32))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            ids = viterbi(self.vocab, word, self.fits)
+            self.index[word] = len(self.starts)
+            self.starts.append(self.total)
+            self.sizes.append(len(ids))
+            self.total += len(ids)
+            found.extend(ids)
+        self.flat.append(np.frombuffer(found, dtype=np.int32))
+
+    def chunks(self, text: str) -> Iterator[tuple[str, bool]]:
+        """A text in parts of about ``SLICE_CHARS``, cut where paths are known to meet."""
+        lo = 0
+        while lo < len(text):
+            at = self.cut.search(text, lo + SLICE_CHARS) if self.splits and len(text) - lo > SLICE_CHARS else None
+            hi = at.start() if at else len(text)
+            yield text[lo:hi], lo == 0
+            lo = hi
+
+    def encode(self, texts: list[str], begins: list[bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has."""
+        symbols = [to_symbols(t, b) for t, b in zip(texts, begins or [True] * len(texts), strict=True)]
         if not self.splits:
-            found = [viterbi(self.vocab, to_symbols(t)) for t in texts]
-            return np.array([i for ids in found for i in ids], dtype=np.int32), np.array([len(x) for x in found], dtype=np.int64)
-        words = [self.word.findall(to_symbols(t)) for t in texts]
+            found = [viterbi(self.vocab, x, self.fits) for x in symbols]
+            flat = [np.frombuffer(x, dtype=np.int32) for x in found]
+            return np.concatenate([np.zeros(0, dtype=np.int32), *flat]), np.array([len(x) for x in found], dtype=np.int64)
+        words = [self.word.findall(x) for x in symbols]
         if len(self.index) > CACHE_WORDS:
             self._clear()
         new = {x for part in words for x in part}.difference(self.index)
@@ -283,13 +318,54 @@ class BatchEncoder:
         out = flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
         upto = np.concatenate([[0], ends])
         bounds = upto[np.concatenate([[0], np.cumsum(per_text)])]
+        if any(len(x) > CACHED_WORD for x in new):
+            self._clear()
         return out, np.diff(bounds)
 
-
-def decode(vocab: Vocabulary, ids) -> str:
-    """The text of a list of ids: pieces joined, the mark in front taken off."""
+    def encode_rows(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, list[bool]]]:
+        """The texts' ids, in slices of rows: how many each row has, all ids, exact or not."""
+        part, held = [], 0
+        for text in [*texts, None]:
+            if part and (text is None or held + len(text) > SLICE_CHARS):
+                yield self._slice(part)
+                part, held = [], 0
+            if text is not None:
+                part.append(text)
+                held += len(text)
+
+    def _slice(self, texts: list[str]) -> tuple[list[int], np.ndarray, list[bool]]:
+        if sum(map(len, texts)) <= SLICE_CHARS:
+            groups = [(texts, [True] * len(texts))]
+        else:  # one long text
+            groups = [([chunk], [first]) for chunk, first in self.chunks(texts[0])]
+        sizes, exact, every = [], [], []
+        for chunks, begins in groups:
+            ids, counts = self.encode(chunks, begins)
+            every.append(ids)
+            sizes.append(counts)
+            ends, listed = np.cumsum(counts).tolist(), ids.tolist()
+            for a, b, t, first in zip([0, *ends], ends, chunks, begins, strict=False):
+                exact.append(decode(self.vocab, listed[a:b], first) == t)
+        if len(groups) > 1:
+            return [sum(int(x.sum()) for x in sizes)], np.concatenate(every), [all(exact)]
+        return sizes[0].tolist(), every[0], exact
+
+
+_CODER: BatchEncoder | None = None
+
+
+def _coder(vocab: Vocabulary) -> BatchEncoder:
+    """The encoder of this Python worker: later tasks find the words of earlier ones."""
+    global _CODER
+    if _CODER is None or _CODER.vocab is not vocab:
+        _CODER = BatchEncoder(vocab)
+    return _CODER
+
+
+def decode(vocab: Vocabulary, ids, begins: bool = True) -> str:
+    """The text of a list of ids: pieces joined, the mark in front taken off where it begins."""
     raw = b"".join([vocab.pieces[i] for i in ids])
-    return raw[1:].decode("utf-8", errors="replace") if raw[:1] == b" " else raw.decode("utf-8", errors="replace")
+    return (raw[1:] if begins and raw[:1] == b" " else raw).decode("utf-8", errors="replace")
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -304,24 +380,15 @@ def encode_documents(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocab.value
-        coder = BatchEncoder(v)
+        coder = _coder(v)
         for batch in batches:
-            sizes = np.cumsum([0 if x is None else x for x in pa.compute.utf8_length(batch.column(1)).to_pylist()], dtype=np.int64)
             lo = 0
-            while lo < batch.num_rows:
-                upto = int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + SLICE_CHARS, side="right"))
-                hi = min(batch.num_rows, max(lo + 1, upto))
-                part = batch.slice(lo, hi - lo)
-                lo = hi
-                texts = part.column(1).to_pylist()
-                ids, counts = coder.encode(texts)
+            for counts, ids, exact in coder.encode_rows(batch.column(1).to_pylist()):
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                listed = ids.tolist()
-                exact = [decode(v, listed[a:b]) == t for a, b, t in zip(offsets, offsets[1:], texts, strict=False)]
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, type=pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts, type=pa.int64()), lists, pa.array(exact)], names=["id", "n_ids", "ids", "exact"]
-                )
+                columns = [batch.column(0).slice(lo, len(counts)), pa.array(counts, type=pa.int64()), lists, pa.array(exact)]
+                lo += len(counts)
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_ids", "ids", "exact"])
 
     out = rows.mapInArrow(run, f"id {id_type}, n_ids long, ids array<int>, exact boolean")
     return out.withColumnRenamed("id", id_col)
