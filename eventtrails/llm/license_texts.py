@@ -120,8 +120,8 @@ _END_LINE = re.compile(r"[^\n]*END OF TERMS AND CONDITIONS[^\n]*\n")
 
 def _variants(text: str) -> list[str]:
     """A long licence whole and without what follows its terms; each in lines as
-    published and with every paragraph on one line (the canonical form drops
-    lines that start like a copyright, so wrapping matters)."""
+    published and with every paragraph on one line (the canonical form drops the
+    licence's own copyright lines, whose ends are then others)."""
     forms = [text]
     if after := _AFTER_TERMS.search(text):
         forms.append(text[: after.start()])

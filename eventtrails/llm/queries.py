@@ -120,6 +120,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_topk": sql.top_k(),
         "op11_conversation_repair": sql.conversation_repair(),
         "op12_collocations": sql.collocations(),
-        "op9_license_scan": sql.license_scan(L.TEXTS + L.NOTICES, L.NOTICES, L.EQUIVALENTS, L.COPYRIGHT_LINE, L.PUNCTUATION),
+        "op9_license_scan": sql.license_scan(L.TEXTS + L.NOTICES, L.NOTICES, L.EQUIVALENTS, L.PUNCTUATION),
         "op5_secret_scan": sql.secret_scan(RULES, BASE_KINDS),
     }

@@ -115,30 +115,51 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= {k}
 """
 
 
-def license_scan(texts, notices, equivalents, copyright_line, punctuation, documents: str = "documents") -> str:
+def license_scan(texts, notices, equivalents, punctuation, documents: str = "documents") -> str:
+    """Lines are split and judged one by one; nothing of the operator's rule is used."""
+
     def quoted(x: str) -> str:
         return "'" + x.replace("'", "''") + "'"
 
-    def form(t: str) -> str:
-        upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-        e = f"regexp_replace(translate({t}, '{upper}', '{lower}'), {quoted(copyright_line)}, chr(10), 'g')"
-        e = f"' ' || regexp_replace({e}, {quoted(punctuation)}, '  ', 'g') || ' '"
+    def low(t: str) -> str:
+        return f"translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def is_copyright(line: str) -> str:
+        x = f"ltrim({line}, ' ' || chr(9))"
+        year = "SIMILAR TO '[0-9][0-9][0-9][0-9]'"
+
+        def after(n: int, also: str = "") -> str:
+            return f"ltrim(substr({x}, {n}), ' ' || chr(9) || '{also}')"
+
+        word, sign = after(10, ":"), after(4)
+        return (
+            f"(starts_with({x}, '©') OR starts_with({x}, 'all rights reserved')"
+            f" OR (starts_with({x}, 'copyright') AND (starts_with({word}, '(c)') OR starts_with({word}, '©') OR left({word}, 4) {year}))"
+            f" OR (starts_with({x}, '(c)') AND (starts_with({sign}, 'copyright') OR starts_with({sign}, '©') OR left({sign}, 4) {year})))"
+        )
+
+    def dropped(t: str) -> str:
+        return f"array_to_string(list_filter(string_split({low(t)}, chr(10)), lambda x: NOT {is_copyright('x')}), chr(10))"
+
+    def form(lowered: str) -> str:
+        e = f"' ' || regexp_replace({lowered}, {quoted(punctuation)}, '  ', 'g') || ' '"
         for a, b in equivalents:
             e = f"replace({e}, ' {a.replace(' ', '  ')} ', ' {b.replace(' ', '  ')} ')"
         return f"trim(regexp_replace({e}, ' +', ' ', 'g'), ' ')"
 
     def known(rows) -> str:
         values = ", ".join(f"({quoted(n)}, {quoted(t)})" for n, t in rows)
-        return f"SELECT sha256({form('t')}) AS known, min(l) AS license FROM (VALUES {values}) x(l, t) GROUP BY 1"
+        both = f"unnest([sha256({form(dropped('t'))}), sha256({form(low('t'))})])"
+        return f"SELECT known, min(l) AS license FROM (SELECT {both} AS known, l FROM (VALUES {values}) x(l, t)) GROUP BY 1"
 
     return f"""
-WITH w AS ({known(texts)}), n AS ({known(notices)}),
+WITH w AS MATERIALIZED ({known(texts)}), n AS MATERIALIZED ({known(notices)}),
 d AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t FROM {documents}),
-f AS (SELECT rn, doc_id, {form('t')} AS f FROM d),
-l AS (SELECT rn, {form('line')} AS f FROM (SELECT rn, unnest(string_split(t, chr(10))) AS line FROM d)),
+f AS (SELECT rn, doc_id, {form(dropped('t'))} AS f, {form(low('t'))} AS g FROM d),
+l AS (SELECT rn, {form(dropped('line'))} AS f FROM (SELECT rn, unnest(string_split(t, chr(10))) AS line FROM d)),
 m AS (SELECT rn, string_agg(DISTINCT n.license, ',' ORDER BY n.license) AS found FROM l JOIN n ON sha256(l.f) = n.known GROUP BY rn)
-SELECT f.doc_id, CASE WHEN f <> '' THEN sha256(f) END AS text_digest, w.license, coalesce(m.found, '') AS line_licenses
-FROM f LEFT JOIN w ON f <> '' AND w.known = sha256(f) LEFT JOIN m ON m.rn = f.rn
+SELECT f.doc_id, CASE WHEN f <> '' THEN sha256(f) END AS text_digest, coalesce(w.license, e.license) AS license, coalesce(m.found, '') AS line_licenses
+FROM f LEFT JOIN w ON f <> '' AND w.known = sha256(f) LEFT JOIN w e ON e.known = sha256(g) LEFT JOIN m ON m.rn = f.rn
 """
 
 
