@@ -25,8 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .frontier import reduce_to_frontier, too_large_to_broadcast
 from .spatial import neighbour_places
 
+
 def step_suffix(n: int) -> str:
     """Column suffix of step ``n``: ``''`` for step 1, else ``str(n)``."""
     return "" if n <= 1 else str(n)
@@ -83,10 +85,13 @@ def _equi_hop(
     how: str,
     salt: int | None = None,
     hot: list | None = None,
+    reduce: bool = False,
 ) -> DataFrame:
     if salt and how != "inner":
         raise ValueError("salt needs an inner join: an outer one would emit a row per salt (see hop_actor_outer)")
     s, n = step_suffix(step), step_suffix(step + 1)
+    if reduce and too_large_to_broadcast(left):
+        events = reduce_to_frontier(events, left, key, s, max_days)
     nxt = suffix(events, step + 1)
     cur_t, nxt_t = F.col("time_norm" + s), F.col("time_norm" + n)
     cond = (F.col(key + n) == F.col(key + s)) & (nxt_t < cur_t)
@@ -128,6 +133,7 @@ def hop_actor(
     how: str = "inner",
     salt: int | None = None,
     hot: list | None = None,
+    reduce: bool = False,
 ):
     """Join each row's step-``step`` event to the same actor's earlier events.
 
@@ -135,9 +141,12 @@ def hop_actor(
     events are assigned a salt by a hash of their id and each left row is
     replicated to all ``S`` salts. Exact. ``hot`` (e.g. from
     :func:`hot_keys`) limits this to the listed actors, so only their left
-    rows are replicated; without it every actor is salted.
+    rows are replicated; without it every actor is salted. ``reduce`` (for a written
+    ``left``, which is then read twice more) drops the events that no left row can
+    reach before they are shuffled, unless ``left`` is small enough to be broadcast
+    (:func:`eventtrails.operators.frontier.reduce_to_frontier`).
     """
-    return _equi_hop(left, events, step, "actor", max_days, how, salt, hot)
+    return _equi_hop(left, events, step, "actor", max_days, how, salt, hot, reduce)
 
 
 def hop_actor_outer(
@@ -161,7 +170,7 @@ def hop_actor_outer(
     while row in left.columns or row in events.columns:
         row = "_" + row
     rows = cut_lineage(left.withColumn(row, F.monotonically_increasing_id()))
-    pairs = cut_lineage(_equi_hop(rows, events, step, "actor", max_days, "inner", salt, hot))
+    pairs = cut_lineage(_equi_hop(rows, events, step, "actor", max_days, "inner", salt, hot, reduce=True))
     alone = rows.join(pairs.select(row).distinct(), row, "left_anti")
     return pairs.unionByName(alone, allowMissingColumns=True).drop(row)
 
@@ -174,10 +183,11 @@ def hop_city(
     how: str = "inner",
     salt: int | None = None,
     hot: list | None = None,
+    reduce: bool = False,
 ):
     """Join each row's step-``step`` event to earlier events in the same city
-    (``salt`` and ``hot`` as in :func:`hop_actor`)."""
-    return _equi_hop(left, events, step, "city", max_days, how, salt, hot)
+    (``salt``, ``hot`` and ``reduce`` as in :func:`hop_actor`)."""
+    return _equi_hop(left, events, step, "city", max_days, how, salt, hot, reduce)
 
 
 def hop_geo(

@@ -152,17 +152,21 @@ def trail(
     if salt and hot_fraction:
         hot_actors = hot_keys(ev, "actor", hot_fraction)
         hot_cities = hot_keys(ev, "city", hot_fraction) if second == "city" else None
+    written = prune  # the roots are a written table then
     for step in range(1, depth + 1):
         if step % 2 == 1:
-            cur = hop_actor(cur, ev, step, max_days, salt=salt, hot=hot_actors)
+            cur = hop_actor(cur, ev, step, max_days, salt=salt, hot=hot_actors, reduce=written)
         elif second == "geo":
             cur = hop_geo(cur, ev, step, max_km, max_days, different_actor, places, None if hot_fraction else salt)
         else:
-            cur = hop_city(cur, ev, step, max_days, salt=salt, hot=hot_cities)
+            cur = hop_city(cur, ev, step, max_days, salt=salt, hot=hot_cities, reduce=written)
         if checkpoint_every and step % checkpoint_every == 0 and step < depth:
             n = step_suffix(step + 1)
             keep_now = trail_columns(step, second, max_days) + [c + n for c in keep if c not in ("e_id", "time_norm", "actor")]
             cur = cut_lineage(cur.select(*keep_now))
+            written = True
+        else:
+            written = False
     cols = trail_columns(depth, second, max_days)
     out = cur.select(
         *[F.round(c, digits).alias(c) if (digits is not None and c.startswith("gps_diff")) else F.col(c) for c in cols]
