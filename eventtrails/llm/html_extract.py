@@ -15,10 +15,14 @@ under other containers and amid menus, sidebars, notices, forms and reader comme
 made of the sample's own words, which labels those blocks by construction.
 
 Scale. Pages are independent: one pass, no shuffle. A task labels a slice of pages
-at a time, pages of like length together; the model is a small constant.
+at a time, pages of like length together; the model is a small constant. Block vectors
+exist for ``SLICE_BLOCKS`` blocks at a time, and a page of more blocks is read in such
+slices, forward and then backward, with the state of the network carried on: memory is
+that of the page's blocks, and time is in proportion to the page.
 
 Defined cases: null and empty html give an empty text, as do pages without content
-blocks; nothing of a block is dropped or capped; blocks in drawings, choice lists and
+blocks; nothing of a block is dropped or capped, however long a page is, however deep its
+elements are nested and whatever tags or quotes are left open; blocks in drawings, choice lists and
 templates are never content; equal pages give equal texts; null
 ids and urls are kept; without any pages the network trains on its own layouts'
 placeholder words; extra columns are not read.
@@ -38,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import shared as S
-from .html_blocks import APART, Block, blocks
+from .html_blocks import APART, Block, Node, blocks  # noqa: F401 (APART is for readers of paths)
 
 SAMPLE = 128
 TRAIN_CHARS = 200_000
@@ -50,6 +54,7 @@ EMBED, HIDDEN = 32, 24
 #: Blocks times pages of one padded batch.
 CELLS = 1 << 15
 SLICE_CHARS = 1 << 22
+SLICE_BLOCKS = 1 << 12
 
 # Path words that tell what a block is, where pages use them.
 CONTENT_MARKS = frozenset("<article> <main>".split())
@@ -62,17 +67,29 @@ OTHER_MARKS = frozenset(
 _WORD = re.compile(r"\w+")
 
 
-def teacher(path: tuple[str, ...]) -> int:
+def _lines(node: Node, known) -> list[Node]:
+    """The nodes from this one's nearest known ancestor down to it, outermost first."""
+    out = []
+    while node is not None and not known(node):
+        out.append(node)
+        node = node.parent
+    return out[::-1]
+
+
+def teacher(node: Node) -> int:
     """1 content, 0 other, -1 unknown: the innermost telling word of the path."""
-    if not APART.isdisjoint(path):
-        return 0
-    for mark in reversed(path):
-        if mark in OTHER_MARKS:
-            # the heading of an article is often in its own header
-            return -1 if mark == "<header>" and CONTENT_MARKS & set(path) else 0
-        if mark in CONTENT_MARKS:
-            return 1
-    return -1
+    for n in _lines(node, lambda n: n.label is not None):
+        above, inside = n.parent.label if n.parent else (-1, False)
+        inside = inside or not CONTENT_MARKS.isdisjoint(n.marks)
+        label = above
+        for mark in n.marks:
+            if mark in OTHER_MARKS:
+                # the heading of an article is often in its own header
+                label = -1 if mark == "<header>" and inside else 0
+            elif mark in CONTENT_MARKS:
+                label = 1
+        n.label = label, inside
+    return 0 if node.apart else node.label[0]
 
 
 class _Slots(dict):
@@ -83,19 +100,31 @@ class _Slots(dict):
         return v
 
 
-def vectors(page: list[Block], slots: _Slots) -> np.ndarray:
-    """One row per block: hashed path, hashed words, shares."""
-    n = len(page)
-    x = np.zeros((n, INPUT), dtype=np.float32)
-    previous = None
-    for k, b in enumerate(page):
-        row = x[k]
-        last = "<html>"
-        for depth, mark in enumerate(reversed(b.path)):
-            row[slots[mark] % PATH_SLOTS] = 1
-            if depth < 2:
-                row[slots[f"{depth}{mark}"] % PATH_SLOTS] = 1
-            last = mark
+def _path_slots(node: Node, slots: _Slots) -> int:
+    """The hashed path as bits: every mark, and the two innermost with their places."""
+    for n in _lines(node, lambda n: n.slots is not None):
+        bits = n.parent.slots[0] if n.parent else 0
+        for mark in n.marks:
+            bits |= 1 << slots[mark] % PATH_SLOTS
+        last = (*(n.parent.marks if n.parent else ()), *n.marks)[-2:]
+        near = bits
+        for depth, mark in enumerate(reversed(last)):
+            near |= 1 << slots[f"{depth}{mark}"] % PATH_SLOTS
+        n.slots = bits, near
+    return node.slots[1]
+
+
+def vectors(page: list[Block], slots: _Slots, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """One row per block of a slice of a page: hashed path, hashed words, shares."""
+    n, hi = len(page), len(page) if hi is None else min(hi, len(page))
+    x = np.zeros((hi - lo, INPUT), dtype=np.float32)
+    previous, path = page[lo - 1].node if lo else None, None
+    for k in range(lo, hi):
+        b, row = page[k], x[k - lo]
+        if path is None or b.node is not previous:
+            bits = _path_slots(b.node, slots).to_bytes(PATH_SLOTS // 8, "little")
+            path = np.unpackbits(np.frombuffer(bits, dtype=np.uint8), bitorder="little")
+        row[:PATH_SLOTS] = path
         words = _WORD.findall(b.text.lower())
         if words:
             at = np.fromiter((slots[w] for w in words), dtype=np.int64, count=len(words)) % WORD_SLOTS
@@ -110,11 +139,11 @@ def vectors(page: list[Block], slots: _Slots) -> np.ndarray:
             k / n,
             1 / (1 + k),
             1 / (n - k),
-            b.path == previous,
+            b.node is previous,
             sum(map(str.isdigit, t)) / size,
-            min(len(b.path) / 10, 2),
+            min(b.node.length / 10, 2),
         )
-        previous = b.path
+        previous = b.node
     return x
 
 
@@ -152,12 +181,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _lstm(z: np.ndarray, cell, keep: bool):
-    """Hidden states ``(steps, pages, HIDDEN)``; with ``keep``, what the gradient needs."""
+def _lstm(z: np.ndarray, cell, keep: bool = False, state=None):
+    """Hidden states ``(steps, pages, HIDDEN)``, the last state and, with ``keep``, what
+    the gradient needs. ``state`` is that of the steps before, if there are any."""
     wx, wh, b = cell
     pre = z @ wx + b
-    h = np.zeros((z.shape[1], HIDDEN), dtype=np.float32)
-    c = np.zeros_like(h)
+    h, c = state or (np.zeros((z.shape[1], HIDDEN), dtype=np.float32),) * 2
     out, trace = np.empty((len(z), z.shape[1], HIDDEN), dtype=np.float32), []
     for t in range(len(z)):
         a = pre[t] + h @ wh
@@ -169,7 +198,7 @@ def _lstm(z: np.ndarray, cell, keep: bool):
         c = f * c + i * g
         h = o * np.tanh(c)
         out[t] = h
-    return out, trace
+    return out, (h, c), trace
 
 
 def _lstm_gradient(z: np.ndarray, cell, out: np.ndarray, trace, d_out: np.ndarray):
@@ -202,20 +231,51 @@ def _places(sizes: np.ndarray):
     return page, step, sizes[page] - 1 - step
 
 
-def run_network(net: Network, x: np.ndarray, sizes: np.ndarray, keep: bool = False):
-    """Logits of all blocks of pages with ``sizes`` blocks, laid end to end in ``x``."""
+def embed(net: Network, page: list[Block], slots: _Slots, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """What the network reads of the blocks ``lo`` to ``hi``: the dense vectors exist
+    for one slice of blocks at a time."""
+    hi = len(page) if hi is None else min(hi, len(page))
+    z = np.empty((hi - lo, EMBED), dtype=np.float32)
+    for k in range(lo, hi, SLICE_BLOCKS):
+        x = vectors(page, slots, k, min(hi, k + SLICE_BLOCKS))
+        z[k - lo : k - lo + len(x)] = np.tanh(x @ net.we + net.be)
+    return z
+
+
+def run_embedded(net: Network, z: np.ndarray, sizes: np.ndarray, keep: bool = False):
+    """Logits of all blocks of pages with ``sizes`` blocks, laid end to end in ``z``."""
     page, step, back = _places(sizes)
-    z = np.tanh(x @ net.we + net.be)
     shape = (int(sizes.max()), len(sizes), EMBED)
     zf, zb = np.zeros(shape, dtype=np.float32), np.zeros(shape, dtype=np.float32)
     zf[step, page], zb[back, page] = z, z
-    hf, tf = _lstm(zf, net.forward, keep)
-    hb, tb = _lstm(zb, net.backward, keep)
+    hf, _, tf = _lstm(zf, net.forward, keep)
+    hb, _, tb = _lstm(zb, net.backward, keep)
     both = np.concatenate([hf[step, page], hb[back, page]], axis=1)
     logits = both @ net.wo + net.bo
     return (logits, (page, step, back, z, zf, zb, hf, hb, tf, tb, both)) if keep else logits
 
 
+def run_network(net: Network, x: np.ndarray, sizes: np.ndarray, keep: bool = False):
+    """Logits from block vectors."""
+    return run_embedded(net, np.tanh(x @ net.we + net.be), sizes, keep)
+
+
+def run_long(net: Network, page: list[Block], slots: _Slots) -> np.ndarray:
+    """Logits of one page of any length, a slice of blocks at a time."""
+    logits = np.full(len(page), net.bo[0], dtype=np.float32)
+    starts = range(0, len(page), SLICE_BLOCKS)
+    state = None
+    for lo in starts:
+        h, state, _ = _lstm(embed(net, page, slots, lo, lo + SLICE_BLOCKS)[:, None], net.forward, state=state)
+        logits[lo : lo + len(h)] += h[:, 0] @ net.wo[:HIDDEN]
+    state = None
+    for lo in reversed(starts):
+        z = embed(net, page, slots, lo, lo + SLICE_BLOCKS)[::-1, None]
+        h, state, _ = _lstm(z, net.backward, state=state)
+        logits[lo : lo + len(h)] += h[::-1, 0] @ net.wo[HIDDEN:]
+    return logits
+
+
 def _gradient(net: Network, x: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """Of the mean cross-entropy over labelled blocks (``y`` of 0 or 1)."""
     logits, (page, step, back, z, zf, zb, hf, hb, tf, tb, both) = run_network(net, x, sizes, keep=True)
@@ -269,7 +329,8 @@ _SIDES = ['<aside>|</aside>', '<aside class="sidebar">|</aside>', '<div id="side
 _NOTES = ['<div class="advertisement">|</div>', '<div class="ad-container">|</div>', '<div id="cookie-banner">|</div>', '<div class="ad">|</div>', '<div class="advert">|</div>', '<div class="ads banner">|</div>', '<div id="sponsored">|</div>', '<div class="promo">|</div>', '<div class="cookie-notice">|</div>', '<div id="gdpr-consent">|</div>', '<div class="notice" role="alert">|</div>', '<div class="alert">|</div>', '<div class="share">|</div>', '<div class="social-links">|</div>', '<ins class="adsbygoogle">|</ins><div class="ad-slot">|</div>']
 _FORMS = ['<form class="newsletter">|<input type="email"><button>Go</button></form>', '<form action="/search"><label>|</label><input><button>Search</button></form>', '<div class="subscribe">|</div>', '<form id="login">|</form>']
 _COMMENTS = ['<div class="comments-area">|</div>', '<section class="comments">|</section>', '<div id="comments">|</div>', '<ol class="comment-list">|</ol>', '<div class="reader-comments">|</div>', '<div id="disqus_thread">|</div>']
-_BOTTOMS = ['<div class="page-footer">|</div>', '<footer>|</footer>', '<div id="footer">|</div>', '<div class="site-footer">|</div>', '<div class="copyright">|</div>']
+_BOTTOMS = ['<div class="page-footer">|</div>', '<footer>|</footer>', '<div id="footer">|</div>', '<div class="site-footer">|</div>', '<div class="copyright">|</div>', '<div>|</div>', '<p>|</p>', '<div><small>|</small></div>']
+_RIGHTS = ["Copyright YEAR NAME Ltd. All rights reserved.", "&copy; YEAR NAME. All rights reserved.", "Copyright &copy; YEAR NAME Inc.", "(c) YEAR NAME", "YEAR NAME. All rights reserved. Terms of use. Privacy policy."]
 
 
 def layout(paragraphs: list[str], strings: list[str], rng: random.Random) -> str:
@@ -304,6 +365,38 @@ def layout(paragraphs: list[str], strings: list[str], rng: random.Random) -> str
             words[k : k + 2] = [f'<a href="#">{" ".join(words[k : k + 2])}</a>']
         return " ".join(words)
 
+    def bit(lo: int, hi: int) -> str:
+        words = rng.choice(paragraphs).split()
+        k = rng.randrange(len(words)) if words else 0
+        return MARKED + (" ".join(words[k : k + rng.randint(lo, hi)]) or "x")
+
+    def cell() -> str:
+        return rng.choice([bit(1, 3), f"{MARKED}{rng.randint(0, 99)}", f"{MARKED}{rng.randint(0, 9999) / 10}"])
+
+    def table() -> str:
+        n = rng.randint(2, 4)
+        head = f"<caption>{bit(1, 6)}</caption>" * (rng.random() < 0.3) + f"<tr>{''.join(f'<th>{bit(1, 2)}</th>' for _ in range(n))}</tr>"
+        rows = "".join(f"<tr>{''.join(f'<td>{cell()}</td>' for _ in range(n))}</tr>" for _ in range(rng.randint(1, 5)))
+        return f"<table>{head * (rng.random() < 0.7)}{rows}</table>"
+
+    def code() -> str:
+        lines = "\n".join(f"{bit(1, 1)[1:]} = {rng.choice([str(rng.randint(0, 999)), bit(1, 2)[1:]])}" for _ in range(rng.randint(1, 4)))
+        return rng.choice(["<pre>|</pre>", "<pre><code>|</code></pre>", '<pre class="code">|</pre>']).replace("|", MARKED + lines)
+
+    def points() -> str:
+        tag = rng.choice(["ul", "ol"])
+        return f"<{tag}>{''.join(f'<li>{bit(1, 4)}</li>' for _ in range(rng.randint(2, 6)))}</{tag}>"
+
+    def figure() -> str:
+        return f'<figure><img src="x.png"><figcaption>{bit(2, 12)}</figcaption></figure>'
+
+    def terms() -> str:
+        return f"<dl>{''.join(f'<dt>{bit(1, 2)}</dt><dd>{bit(1, 8)}</dd>' for _ in range(rng.randint(1, 4)))}</dl>"
+
+    def rights() -> str:
+        name = " ".join(w.capitalize() for w in short().split()[:2])
+        return rng.choice(_RIGHTS).replace("YEAR", str(rng.randint(1990, 2035))).replace("NAME", name)
+
     def cut(t: str) -> str:
         return " ".join(t.split()[: rng.randint(4, 25)]) if rng.random() < 0.3 else t
 
@@ -311,8 +404,11 @@ def layout(paragraphs: list[str], strings: list[str], rng: random.Random) -> str
     title = f"<h1>{MARKED}{' '.join(paragraphs[0].split()[:10])}</h1>" if rng.random() < 0.8 else ""
     body = [f"<{t}>{MARKED}{linked(p)}</{t}>" for p in paragraphs for t in [rng.choice(["p"] * 8 + ["div", "blockquote", "h2"])]]
     if rng.random() < 0.25:
-        points = "".join(f"<li>{MARKED}{linked(cut(rng.choice(paragraphs)))}</li>" for _ in range(rng.randint(2, 5)))
-        body.insert(rng.randint(0, len(body)), f"<ul>{points}</ul>")
+        items = "".join(f"<li>{MARKED}{linked(cut(rng.choice(paragraphs)))}</li>" for _ in range(rng.randint(2, 5)))
+        body.insert(rng.randint(0, len(body)), f"<ul>{items}</ul>")
+    for kind in (table, code, points, figure, terms):
+        if rng.random() < 0.2:
+            body.insert(rng.randint(0, len(body)), kind())
     if rng.random() < 0.3:
         body.insert(rng.randint(0, len(body)), note())
     if rng.random() < 0.2:
@@ -329,7 +425,7 @@ def layout(paragraphs: list[str], strings: list[str], rng: random.Random) -> str
     rng.shuffle(after)
     if rng.random() < 0.15 and after:
         before.append(after.pop())
-    foot = wrap(_BOTTOMS, rng.choice([f"<p>&copy; {short()}</p>", f"&copy; {short()} &middot; {rng.choice(strings)}", links(2, 5)]))
+    foot = wrap(_BOTTOMS, rng.choice([f"<p>{rights()}</p>", rights(), f"<p>&copy; {short()}</p>", f"&copy; {short()} &middot; {rng.choice(strings)}", links(2, 5)]))
     middle = main + "".join(after)
     page = "".join(before) + (wrap(_WRAPS, middle) if rng.random() < 0.4 else middle) + foot * (rng.random() < 0.9)
     return f"<html><head><title>{short()}</title></head><body>{page}" + "</body></html>" * (rng.random() < 0.8)
@@ -344,11 +440,21 @@ def labelled(page: list[Block]) -> tuple[list[Block], np.ndarray]:
     return [b._replace(text=b.text.lstrip(MARKED) or " ") for b in page], y
 
 
+def nameless(page: list[Block]) -> list[Block]:
+    """The blocks under the same elements without words of class, id and role."""
+    seen: dict[int, Node] = {}
+    for b in page:
+        above = None
+        for node in b.node.line():
+            above = seen.setdefault(id(node), Node(above, node.marks[:1]))
+    return [b._replace(node=seen[id(b.node)]) for b in page]
+
+
 def training_pages(sample: list[str], layouts: int = LAYOUTS, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
     """Vectors and labels of the sampled pages and of their new layouts."""
     rng, slots = random.Random(seed), _Slots()
     parsed = [p for p in (blocks(x) for x in sample) if p]
-    taught = [np.array([teacher(b.path) for b in p], dtype=np.float32) for p in parsed]
+    taught = [np.array([teacher(b.node) for b in p], dtype=np.float32) for p in parsed]
     out = [(vectors(p, slots), y) for p, y in zip(parsed, taught, strict=True) if (y >= 0).any()]
     clean = lambda t: t.replace("<", " ").replace("&", " ").replace(MARKED, " ")
     texts = [[clean(b.text) for b, v in zip(p, y, strict=True) if v == 1] for p, y in zip(parsed, taught, strict=True)]
@@ -363,7 +469,7 @@ def training_pages(sample: list[str], layouts: int = LAYOUTS, seed: int = 7) ->
             content = [x for x in t[lo : lo + rng.randint(1, 14)] if x.strip()] or ["lorem"]
             page, y = labelled(blocks(layout(content, strings, rng)))
             if rng.random() < 0.15:  # a site whose class names say nothing
-                page = [b._replace(path=tuple(m for m in b.path if m.startswith("<"))) for b in page]
+                page = nameless(page)
             out.append((vectors(page, slots), y))
     return out
 
@@ -390,14 +496,17 @@ def extract(net: Network, pages: list[str], slots: _Slots, threshold: float = 0.
             hi += 1
         part = order[lo:hi]
         lo = hi
-        x = np.concatenate([vectors(parsed[k], slots) for k in part])
-        sizes = np.array([len(parsed[k]) for k in part])
-        content = run_network(net, x, sizes) >= np.log(threshold / (1 - threshold))
+        if len(parsed[part[0]]) > SLICE_BLOCKS:
+            logits = np.concatenate([run_long(net, parsed[k], slots) for k in part])
+        else:
+            sizes = np.array([len(parsed[k]) for k in part])
+            logits = run_embedded(net, np.concatenate([embed(net, parsed[k], slots) for k in part]), sizes)
+        content = logits >= np.log(threshold / (1 - threshold))
         at = 0
         for k in part:
             n = len(parsed[k])
             found = zip(parsed[k], content[at : at + n], strict=True)
-            texts[k] = "\n".join(b.text for b, yes in found if yes and APART.isdisjoint(b.path))
+            texts[k] = "\n".join(b.text for b, yes in found if yes and not b.node.apart)
             at += n
     return texts
 

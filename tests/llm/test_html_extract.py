@@ -3,6 +3,7 @@ from __future__ import annotations
 import html
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -127,3 +128,53 @@ def test_elements_without_text_swallow_nothing(sample):
     net = X.train(X.training_pages(sample[:60]))
     page = sample[70].replace("<article>", "<article><svg /><select><option>no such words</select>", 1).replace("</body>", "<svg><text>no</text></svg></body>")
     assert X.extract(net, [page], X._Slots()) == [article(sample[70])]
+
+
+def test_markup_left_open_takes_time_in_proportion():
+    def seconds(page):
+        start = time.process_time()
+        blocks(page)
+        return time.process_time() - start
+
+    kinds = ["<div>x", '<p a="', '<p x">', '<p ">"', "<p<p", "<a b='", "<script/>", "<svg></svg </script ", "<li><x>", "</i", "<!", "&#9"]
+    for kind in kinds:
+        small, large = kind * 25_000, kind * 100_000 + '"'
+        assert seconds(large) < 16 * seconds(small) + 1, kind
+    start = time.process_time()
+    blocks("<x>" * 100_000 + "<li></li>" * 100_000)
+    blocks("&#" + "9" * 1_000_000)
+    blocks("".join(f"<div class={'abcdefghij'[k % 10]}>x" for k in range(100_000)))
+    assert time.process_time() - start < 30
+
+
+def test_character_references():
+    text = blocks("&#" + "9" * 5_000 + "; &#0000000000065; &#x0000000041; &#55296; &#1114112; &#x" + "f" * 5_000 + ";x")[0].text
+    assert text == "� A A � � �x"
+
+
+def test_quotes_and_brackets_in_tags():
+    assert [b.text for b in blocks('<p title="a>b" x=\'">\'>one<p title="open>two</p> three')] == ["one", "two", "three"]
+    assert [b.text for b in blocks('a <p b="c')] == ['a <p b="c'] and [b.text for b in blocks('<p "a">b<p ">c')] == ["b", "c"]
+
+
+def test_long_pages_are_read_in_slices(monkeypatch, sample):
+    page = blocks("<body><nav class=top>" + "<p>menu" * 30 + "</nav><article>" + "<p>Some longer words here." * 40 + "</article>")
+    net, slots = X.train(X.training_pages(sample[:20]), epochs=1), X._Slots()
+    whole = X.run_network(net, X.vectors(page, slots), np.array([len(page)]))
+    monkeypatch.setattr(X, "SLICE_BLOCKS", 7)
+    assert np.allclose(X.run_long(net, page, slots), whole, atol=1e-4)
+    assert np.allclose(X.run_embedded(net, X.embed(net, page, slots), np.array([len(page)])), whole, atol=1e-4)
+
+
+def test_layouts_unlike_the_samples(sample):
+    net = X.train(X.training_pages(sample[:128]))
+    intro, end = "Water boils when it is hot enough, and a kettle makes that easy for everyone.", "Then drink the tea slowly with a friend, and tell them of it."
+    menu = '<nav><ul><li><a href="/">Home</a></li><li><a href="/x">Shop</a></li></ul></nav>'
+    table = "<table><tr><th>Cups</th><th>Minutes</th></tr><tr><td>2</td><td>3</td></tr></table>"
+    first = f"{menu}<article><h1>How to boil water</h1><p>{intro}</p>{table}<pre>heat = 80</pre><ol><li>Fill</li><li>Pour</li></ol><p>{end}</p></article><footer>Example</footer>"
+    second = f"<div><div><h1>How to boil water</h1><div>{intro}</div><div>{end}</div></div></div><div>Copyright 2024 Example Ltd. All rights reserved.</div>"
+    pages = [f"<html><head><title>Kettles</title></head><body>{p}</body></html>" for p in (first, second)]
+    assert X.extract(net, pages, X._Slots()) == [
+        "\n".join(["How to boil water", intro, "Cups", "Minutes", "2", "3", "heat = 80", "Fill", "Pour", end]),
+        "\n".join(["How to boil water", intro, end]),
+    ]
