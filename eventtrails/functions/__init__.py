@@ -10,6 +10,7 @@ from .geo import (
     haversine_km,
     unit_vector,
 )
+from .curve import circle_ranges, curve_key
 from .labels import event_label
 
 __all__ = [
@@ -17,6 +18,8 @@ __all__ = [
     "abs_day_gap",
     "cell_side_for_km",
     "chord_for_km",
+    "circle_ranges",
+    "curve_key",
     "date_lit",
     "day_gap",
     "distance_km",

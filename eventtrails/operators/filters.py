@@ -12,10 +12,15 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.curve import circle_ranges, in_ranges
 from ..functions.dates import date_lit
 from ..functions.geo import EARTH_RADIUS_KM, haversine_km
 
 
+#: Stored key of the ``curve`` table layout.
+CURVE_KEY = "curve_key"
+
+
 def located(df: DataFrame) -> DataFrame:
     """Keep events with a location (``lat`` and ``lon`` both present).
 
@@ -70,12 +75,16 @@ def within_radius(df: DataFrame, lat: float, lon: float, km: float, dist_col: st
 
     A latitude band (a sargable range on ``lat``) is applied first; it is
     pushed to the Parquet scan where ``lat`` is a stored column and skips
-    row groups by their min/max statistics. The exact haversine test runs
-    on what remains.
+    row groups by their min/max statistics. Where the events carry the key of
+    the ``curve`` layout (``read_events_table(curve=True)``), the circle's key
+    ranges are pushed too, so row groups are skipped by longitude as well. The
+    exact haversine test runs on what remains.
     """
     lo, hi = latitude_band(lat, km)
     d = haversine_km(F.col("lat"), F.col("lon"), F.lit(float(lat)), F.lit(float(lon)))
     out = df.where((F.col("lat") >= F.lit(lo)) & (F.col("lat") <= F.lit(hi)))
+    if CURVE_KEY in df.columns:
+        out = out.where(in_ranges(F.col(CURVE_KEY), circle_ranges(float(lat), float(lon), float(km))))
     if dist_col:
         return out.withColumn(dist_col, d).where(F.col(dist_col) < F.lit(float(km)))
     return out.where(d < F.lit(float(km)))

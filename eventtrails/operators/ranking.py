@@ -2,26 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 
+_SMALL = (T.ByteType, T.ShortType, T.IntegerType)
+
 
 def latest_per_actor(df: DataFrame, actor: str = "actor") -> DataFrame:
     """The latest event row of each actor: greatest ``time_norm``, then ``e_id``.
 
-    Written as ``max(struct(time_norm, e_id, <other columns>))`` per actor
-    rather than a window: the aggregate is computed partially before the
-    shuffle, so an actor holding a large share of all rows costs one row per
-    map task, not a sort of all its rows in one task. Remaining ties are
-    broken by the other columns, so the pick is deterministic (the original
-    kept an arbitrary row).
+    Date and id are packed into one long, whose maximum per actor is a hash aggregate
+    over three columns, computed partially before the shuffle: an actor holding a large
+    share of all rows costs one row per map task, and no split is sorted. The rows with
+    their actor's maximum are then joined back (by broadcast where the actors are few).
+    Rows that tie in date and id are ranked by their other columns, so the pick is
+    deterministic (the original kept an arbitrary row); a null date or id comes last.
+    Ids wider than an integer do not fit the packed long and take two maxima.
     """
-    others = [c for c in df.columns if c not in (actor, "time_norm", "e_id")]
-    packed = F.struct(F.col("time_norm"), F.col("e_id"), *[F.col(c) for c in others])
-    picked = df.groupBy(actor).agg(F.max(packed).alias("_latest"))
-    return picked.select(*[F.col(actor) if c == actor else F.col("_latest." + c).alias(c) for c in df.columns])
+    key, best, place = "_packed", "_best", "_place"
+    by, day = F.col(actor), F.unix_date("time_norm").cast("long")
+    if isinstance(df.schema["e_id"].dataType, _SMALL):
+        # 33 bits for the id, 0 for none
+        low = F.coalesce(F.col("e_id").cast("long") + F.lit((1 << 31) + 1), F.lit(0).cast("long"))
+        # a null date is earlier than any other
+        ranks = [F.shiftleft(F.coalesce(day, F.lit(-(1 << 30)).cast("long")), 33) + low]
+    else:
+        ranks = [day, F.col("e_id")]
+    rows = df
+    for n, rank in enumerate(ranks):
+        ranked = rows.withColumn(f"{key}{n}", rank)
+        top = ranked.groupBy(by.alias(f"{best}_{actor}")).agg(F.max(f"{key}{n}").alias(best))
+        same = F.col(actor).eqNullSafe(F.col(f"{best}_{actor}")) & F.col(f"{key}{n}").eqNullSafe(F.col(best))
+        rows = ranked.join(top, same, "left_semi")
+    others = [F.col(c).desc() for c in df.columns if c not in (actor, "time_norm", "e_id")]
+    first = Window.partitionBy(actor).orderBy(*(others or [F.lit(0)]))
+    return rows.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*df.columns)
 
 
 def ordered(df: DataFrame, *cols: str) -> DataFrame:

@@ -474,7 +474,9 @@ def queries() -> dict[str, str]:
         "time_interval_open": time_interval_open(),
         "time_interval_early": time_interval_early(),
         "csv_roundtrip": time_interval(),
+        "csv_single_file": _placed(time_interval(), "time_norm, e_id"),
         "events_near_point": events_near_point(),
+        "events_near_point_curve": events_near_point(),
         "events_near_point_by_actor": events_near_point_by_actor(),
         "actor_countries": actor_countries(),
         "actor_timeline": actor_timeline(),

@@ -24,8 +24,8 @@ from .operators.hops import hop_actor, hop_actor_outer, hop_city, hop_geo
 from .operators.ranking import latest_per_actor, positions
 from .plans import counts, graph, places, search, trails
 from .session import shared_path
-from .sinks import write_csv, write_events_text, write_graph
-from .sources.events import blank_to_null, read_events
+from .sinks import write_csv, write_events_table, write_events_text, write_graph
+from .sources.events import blank_to_null, read_events, read_events_table
 from .sources.fixture import fixture_events, fixture_gazetteer
 
 SCALAR = ["e_id", "geo_name", "lat", "lon", "geonamesid", "time", "time_norm", "actor"]
@@ -166,6 +166,22 @@ def q_actor_timeline(spark, sf_dir):
     return search.actor_timeline(_ev(spark, sf_dir, False), P.ACTOR)
 
 
+def q_csv_single_file(spark, sf_dir):
+    """An ordered result written as one file; a row's place in the file is its place."""
+    found = search.time_interval(_ev(spark, sf_dir, False), P.INTERVAL_START, P.INTERVAL_END)
+    path = shared_path(spark, "csv")
+    write_csv(found, path, single_file=True)
+    return positions(spark.read.csv(path, schema=found.schema, sep=";", header=True, dateFormat="yyyy-MM-dd"))
+
+
+def q_events_near_point_curve(spark, sf_dir):
+    """The events near a point from a table along the space-filling curve."""
+    path = shared_path(spark, "curve")
+    write_events_table(_ev(spark, sf_dir, False), path, layout="curve")
+    events = read_events_table(spark, path, curve=True)
+    return search.events_near(events, P.POINT_LAT, P.POINT_LON, P.POINT_KM, start=P.POINT_START, digits=P.DIGITS)
+
+
 def q_time_interval_positions(spark, sf_dir):
     """Every row's place in the order that the search returns."""
     return positions(q_time_interval(spark, sf_dir))
@@ -382,7 +398,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_interval_open": q_time_interval_open,
         "time_interval_early": q_time_interval_early,
         "csv_roundtrip": q_csv_roundtrip,
+        "csv_single_file": q_csv_single_file,
         "events_near_point": q_events_near_point,
+        "events_near_point_curve": q_events_near_point_curve,
         "events_near_point_by_actor": q_events_near_point_by_actor,
         "actor_countries": q_actor_countries,
         "actor_timeline": q_actor_timeline,

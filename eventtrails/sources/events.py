@@ -218,18 +218,21 @@ def header_line(places: bool = False) -> str:
 TABLE_COLUMNS = ["e_id", "geo_name", "lat", "lon", "geonamesid", "time", "time_norm", "actor"]
 
 
-def read_events_table(spark: SparkSession, path: str, places: bool | None = None) -> DataFrame:
+def read_events_table(spark: SparkSession, path: str, places: bool | None = None, curve: bool = False) -> DataFrame:
     """Read an event table written by :func:`write_events_table`.
 
     Scalar ``lat``/``lon`` are stored columns, so date and latitude filters
     are pushed into the Parquet reader and skip row groups by their
     statistics; ``loc`` is derived. ``places=None`` keeps city/country if the
-    table has them.
+    table has them. ``curve=True`` keeps the key of a table in the ``curve``
+    layout, by which radius searches skip row groups.
     """
     df = spark.read.parquet(path)
+    if curve and "curve_key" not in df.columns:
+        raise ValueError(f"{path} is not in the curve layout")
     has_places = "city" in df.columns if places is None else places
     loc = F.when(
         F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.array(F.col("lat"), F.col("lon"))
     ).otherwise(F.array().cast(T.ArrayType(T.FloatType())))
     out = df.withColumn("loc", loc)
-    return out.select(*(PLACE_COLUMNS if has_places else BASE_COLUMNS))
+    return out.select(*(PLACE_COLUMNS if has_places else BASE_COLUMNS), *["curve_key"] * curve)

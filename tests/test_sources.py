@@ -213,3 +213,92 @@ def test_table_layouts_narrow_file_ranges(spark, tmp_path):
         assert 4 <= len(ranges) <= 8 and all((a, b) != everything for a, b in ranges)
     with pytest.raises(ValueError):
         write_events_table(ev, str(tmp_path / "x"), layout="other")
+
+
+def test_curve_layout_skips_by_latitude_and_longitude(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from eventtrails.plans.search import events_near
+    from eventtrails.sinks import write_events_table
+    from eventtrails.sources import read_events_table
+
+    ev = spark.range(20_000).selectExpr(
+        "cast(id as int) e_id", "'P' geo_name", "cast(abs(hash(id, 1)) % 18001 / 100 - 90 as float) lat",
+        "cast(abs(hash(id, 2)) % 36001 / 100 - 180 as float) lon", "cast(null as int) geonamesid", "'t' time",
+        "date_add(date'2000-01-01', cast(id % 365 as int)) time_norm", "'A' actor",
+    )
+    odd = spark.createDataFrame(
+        [(-1, None, None), (-2, float("nan"), 0.0), (-3, 10.0, 190.0), (-4, 90.0, 180.0), (-5, -90.0, -180.0), (-6, 10.0, 180.0), (-7, 10.0, -180.0)],
+        "e_id int, lat float, lon float",
+    )
+    ev = ev.unionByName(odd, allowMissingColumns=True).withColumn("time_norm", F.coalesce("time_norm", F.lit("2000-01-01").cast("date")))
+    path = str(tmp_path / "curve")
+    write_events_table(ev, path, layout="curve", rows_per_file=500)
+    boxes = []
+    for f in glob.glob(path + "/*.parquet"):
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        stats = {group.column(k).path_in_schema: group.column(k).statistics for k in range(group.num_columns)}
+        boxes.append((stats["lat"].max - stats["lat"].min, stats["lon"].max - stats["lon"].min))
+    assert len(boxes) >= 30 and sum(a <= 90 and b <= 180 for a, b in boxes) >= 0.8 * len(boxes)
+    stored = read_events_table(spark, path, curve=True)
+    plain = read_events_table(spark, path)
+    assert "curve_key" not in plain.columns
+    for lat, lon, km in [(48.85, 2.35, 300), (0, 0, 50), (89, 10, 500), (-90, 0, 800), (10, 179.9, 400), (10, -180, 60), (10, 180, 60), (10, 170, 2_500), (-33, -70, 9_000), (0, 0, 25_000)]:
+        got = {r.e_id for r in events_near(stored, lat, lon, km).collect()}
+        assert got == {r.e_id for r in events_near(plain, lat, lon, km).collect()}
+    plan = io.StringIO()
+    with contextlib.redirect_stdout(plan):
+        events_near(stored, 48.85, 2.35, 300).explain("formatted")
+    (pushed,) = [line for line in plan.getvalue().splitlines() if line.startswith("PushedFilters")]
+    assert "LessThanOrEqual(curve_key" in pushed and "GreaterThanOrEqual(curve_key" in pushed
+    with pytest.raises(ValueError):
+        write_events_table(ev, str(tmp_path / "date"))
+        read_events_table(spark, str(tmp_path / "date"), curve=True)
+
+
+def test_circle_ranges():
+    from eventtrails.functions.curve import circle_ranges
+
+    for lat, lon, km in [(48.85, 2.35, 300), (0, 0, 0.001), (0, 0, 100), (-89.9, 12, 40), (12, 179.99, 5), (0, 0, 30_000)]:
+        ranges = circle_ranges(lat, lon, km)
+        assert 1 <= len(ranges) <= 16 and all(0 <= a <= b < 1 << 32 for a, b in ranges)
+        assert all(b < c for (_, b), (c, _) in zip(ranges, ranges[1:], strict=False))
+    # a circle reads little more than its box
+    assert sum(b - a + 1 for a, b in circle_ranges(48.85, 2.35, 300)) < (1 << 32) * (5.4 / 180) * (8.3 / 360) * 3
+
+
+def test_single_file_keeps_order_and_modes(spark, tmp_path):
+    import glob
+
+    from eventtrails.sinks import write_csv
+
+    rows = spark.range(0, 5_000, 1, 7).selectExpr("id", "concat('v ', id) v")
+    path = str(tmp_path / "one")
+    write_csv(rows.orderBy(F.desc("id")), path, single_file=True)
+    (file,) = glob.glob(path + "/*.csv")
+    assert open(file).read().splitlines() == ["id;v"] + [f"{k};v {k}" for k in range(4_999, -1, -1)]
+    with pytest.raises(FileExistsError):
+        write_csv(rows, path, single_file=True)
+    write_csv(rows.limit(3), path, mode="ignore", single_file=True)
+    assert glob.glob(path + "/*.csv") == [file]
+    write_csv(rows.where("id < 2"), path, mode="append", single_file=True)
+    assert spark.read.csv(path, sep=";", header=True).count() == 5_002
+    write_csv(rows.where("id < 0"), path, mode="overwrite", single_file=True)
+    (file,) = glob.glob(path + "/*")
+    assert open(file).read() == "id;v\n"
+    write_csv(rows.where("id = 1"), path, mode="overwrite", single_file=True)
+    assert [open(f).read() for f in glob.glob(path + "/*")] == ["id;v\n1;v 1\n"]
+
+
+def test_latest_per_actor_packs_date_and_id(spark):
+    from eventtrails.operators import latest_per_actor
+
+    rows = [("a", "2000-01-02", 5, "x"), ("a", "2000-01-02", 7, "x"), ("a", "2000-01-02", 7, "y"), ("a", "1999-01-01", 99, "z"), ("a", None, 999, "n"), ("b", None, 3, "p"), ("b", None, None, "q"), (None, "0001-01-01", -(2**31), "m"), (None, "0001-01-01", None, "o"), ("c", "9999-12-31", 2**31 - 1, "w"), ("c", "9999-12-31", -1, "v"), ("d", "1500-01-01", None, "s"), ("d", "1499-12-31", 8, "t")]
+    want = {("a", 7, "y"), ("b", 3, "p"), (None, -(2**31), "m"), ("c", 2**31 - 1, "w"), ("d", None, "s")}
+    df = spark.createDataFrame(rows, "actor string, d string, e_id int, v string").withColumn("time_norm", F.to_date("d"))
+    for frame in (df, df.withColumn("e_id", F.col("e_id").cast("long"))):
+        got = latest_per_actor(frame)
+        assert {(r.actor, r.e_id, r.v) for r in got.collect()} == want and got.count() == len(want)
+    assert "SortAggregate" not in latest_per_actor(df)._jdf.queryExecution().executedPlan().toString()
