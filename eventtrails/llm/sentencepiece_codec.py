@@ -194,32 +194,53 @@ class StreamingViterbi:
 
     def feed(self, symbols: str) -> array:
         out = array("i")
-        longest, known, tails = self.vocab.longest, self.fits.known, self.fits.tails
-        for c in symbols:
-            self.chars += c
-            chars, end = self.chars, len(self.chars)
-            this, length = UNKNOWN, 1
-            for n in range(1, min(longest, end) + 1):
-                piece = chars[end - n :]
-                i = tails.get(piece)
+        longest, lo = self.vocab.longest, 0
+        while lo < len(symbols):
+            # up to the next place where paths are followed back
+            size = len(self.chars)
+            full = max(2 * longest, (size // longest + 1) * longest)
+            part = symbols[lo : lo + full - size]
+            self._search(part)
+            lo += len(part)
+            if len(self.chars) == full:
+                out.extend(self._commit(self._meeting(), full))
+        return out
+
+    def _search(self, symbols: str) -> None:
+        """Gives each new position the piece that fits the one where it begins."""
+        begin = len(self.chars)
+        self.chars += symbols
+        chars, last, back = self.chars, self.last, self.back
+        longest, known, tail = self.vocab.longest, self.fits.known.get, self.fits.tails.get
+        for end in range(begin + 1, len(chars) + 1):
+            this, length, start = UNKNOWN, 1, end
+            furthest = end - longest if end > longest else 0
+            while start > furthest:
+                start -= 1
+                piece = chars[start:end]
+                i = tail(piece)
                 if i is None:  # no piece ends so
                     break
                 if i < 0:
                     continue
-                start = end - n
-                before = self.last[start]
-                fits = known.get((before, i))
+                before = last[start]
+                fits = known((before, i))
                 if fits is None:
-                    left = chars[start - self.back[start] : start] if start else self.piece_before
+                    left = chars[start - back[start] : start] if start else self.piece_before
                     fits = self.fits(before, left, i, piece)
                 if fits:
-                    this, length = i, n
+                    this, length = i, end - start
                     break
-            self.last.append(this)
-            self.back.append(length)
-            if end >= 2 * longest and end % longest == 0:
-                out.extend(self._commit(self._meeting(), end))
-        return out
+            last.append(this)
+            back.append(length)
+
+    def word(self, symbols: str, shared: int) -> list[int]:
+        """The ids of a word shorter than two longest pieces whose first ``shared``
+        symbols are those of the word before: their positions are kept."""
+        self.chars = self.chars[:shared]
+        del self.last[shared + 1 :], self.back[shared + 1 :]
+        self._search(symbols[shared:])
+        return self._path(len(symbols))
 
     def close(self) -> array:
         return self._commit(len(self.chars), len(self.chars))
@@ -238,15 +259,23 @@ class StreamingViterbi:
         self.widest = max(self.widest, end)
         if not upto:
             return array("i")
-        ids: list[list[int]] = []
-        at = upto
-        while at > 0:
-            ids.append([self.last[at]] if self.last[at] != UNKNOWN else _fallback(self.vocab, self.chars[at - 1]))
-            at -= self.back[at]
+        ids = array("i", self._path(upto))
         self.piece_before = self.chars[upto - self.back[upto] : upto]
         self.chars, self.last, self.back = self.chars[upto:], self.last[upto:], self.back[upto:]
         self.back[0] = 0
-        return array("i", [i for part in reversed(ids) for i in part])
+        return ids
+
+    def _path(self, upto: int) -> list[int]:
+        """The ids on the path to a position."""
+        ids, at, last, back = [], upto, self.last, self.back
+        while at > 0:
+            if last[at] != UNKNOWN:
+                ids.append(last[at])
+            else:
+                ids += reversed(_fallback(self.vocab, self.chars[at - 1]))
+            at -= back[at]
+        ids.reverse()
+        return ids
 
 
 def viterbi(vocab: Vocabulary, symbols: str, fits: Fits | None = None) -> array:
@@ -276,9 +305,20 @@ class BatchEncoder:
         self.starts, self.sizes, self.total = [], [], 0
 
     def _learn(self, words: list[str]) -> None:
-        found = array("i")
-        for word in words:
-            ids = viterbi(self.vocab, word, self.fits)
+        """Searches new words in order: a word's search goes on from the prefix that it
+        shares with the word before."""
+        found, search, before = array("i"), StreamingViterbi(self.vocab, self.fits), ""
+        for word in sorted(words):
+            if len(word) < 2 * self.vocab.longest:
+                shared = 0
+                for a, b in zip(before, word):  # noqa: B905 (up to the shorter's end)
+                    if a != b:
+                        break
+                    shared += 1
+                ids = search.word(word, shared)
+                before = word
+            else:
+                ids = viterbi(self.vocab, word, self.fits)
             self.index[word] = len(self.starts)
             self.starts.append(self.total)
             self.sizes.append(len(ids))
