@@ -151,3 +151,40 @@ def test_two_hop_with_salts_equals_plain(spark, skewed):
     with conf(spark, SKEW_CONF):
         a, b = trail_two_hop(ev, root, 150.0), trail_two_hop(ev, root, 150.0, salt=4)
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() > 0
+
+
+def test_hops_are_divided_by_their_pairs(spark, monkeypatch, tmp_path):
+    """One city and one place with nearly all pairs: many tasks, none with many of them."""
+    from pyspark.sql import functions as F
+
+    from eventtrails.operators import hop_city, hop_geo, hops
+
+    for name, value in (("LEAST_PAIRS", 100), ("MOST_PAIRS", 100), ("FEW_ROWS", 2)):
+        monkeypatch.setattr(hops, name, value)
+    rnd = random.Random(8)
+    rows = [
+        (i, f"A{i % 7}", f"2000-01-{1 + rnd.randrange(9)}", *((1.0, 1.0, "HOT") if i % 8 else (9.0, float(i % 3), f"C{i % 3}")))
+        for i in range(120)
+    ]
+    rows += rows[5:9] + [(900, "A1", None, 1.0, 1.0, "HOT"), (901, "A2", "2000-01-09", 1.0, 1.0, None)]
+    make_events(spark, rows, places=True).coalesce(1).write.parquet(f"{tmp_path}/events")
+    ev = spark.read.parquet(f"{tmp_path}/events").select("e_id", "time_norm", "actor", "lat", "lon", "city")
+
+    def seen(df):
+        out = sorted(map(tuple, df.select("e_id", "time_norm", "e_id2", "time_norm2").collect()))
+        return out, [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+    for days in (None, 3):
+        for hop in (lambda **k: hop_city(ev, ev, 1, days, **k), lambda **k: hop_geo(ev, ev, 1, 150.0, days, **k)):
+            want, before = seen(hop())
+            got, after = seen(hop(spread=True))
+            assert got == want and len(want) > 1000
+            assert len(after) > 10 and max(after) < max(before) / 2
+
+
+def test_no_grid_where_pairs_are_few(spark):
+    from eventtrails.operators import hops
+
+    df = spark.createDataFrame([(i, i % 3) for i in range(90)], "a int, k int")
+    left, right, lk, rk = hops.spread_pairs(df, df, ["k"], ["k"])
+    assert left is df and right is df and lk == ["k"] and rk == ["k"]
