@@ -418,3 +418,87 @@ def test_graph_ends_where_no_event_is_new(spark, monkeypatch):
     _, edges = trail_graph(make_events(spark, rows), 1, 40, 10.0)
     assert {tuple(r) for r in edges.collect()} == {("1", "2", "A"), ("2", "3", "Location")}
     assert len(calls) == 1
+
+
+@pytest.mark.parametrize("second,max_days,depth", [("geo", None, 3), ("geo", 3, 2), ("city", 4, 4), ("geo", 2, 1)])
+@pytest.mark.parametrize("columns", [None, ["actor"], ["e_id", "actor2"]])
+def test_grouped_trails_are_the_trails_counted(spark, second, max_days, depth, columns):
+    rows = random_rows(11, n=40, city=True)
+    rows += rows[4:7] + [(990, "A", None, 0.0, 0.0, "C0")]
+    ev = make_events(spark, rows, places=True)
+    last = f"time_norm{depth + 1}"
+    columns = [*(columns or []), last]
+    whole = trail(ev, ev, depth, second, 150.0, max_days)
+    want = Counter(tuple(r) for r in whole.select(*columns).collect())
+    got = trail(ev, ev, depth, second, 150.0, max_days, columns=columns, order=True)
+    assert sorted(got.columns) == sorted([*columns, "trails"])
+    found = [tuple(r) for r in got.select(*columns, "trails").collect()]
+    assert len(found) == len(want) and {r[:-1]: r[-1] for r in found} == dict(want)
+    dates = [r[-2] for r in found]
+    assert dates == sorted(dates)
+
+
+def test_grouped_trails_write_no_trail(spark, tmp_path):
+    """300 x 300 x 300 trails of one date: a few rows of places, not 27 million trails."""
+    from eventtrails.operators.ranking import positions
+
+    day = lambda d: [(1000 * d + i, "A", f"2000-01-0{d}", 1.0, 1.0) for i in range(300)]
+    ev = make_events(spark, day(1) + day(2) + day(3))
+    out = trail(ev, ev.where("e_id >= 3000"), 2, "geo", 50.0, 2, order=True, columns=["time_norm3"])
+    placed = positions(out, weight="trails").collect()
+    assert [(r.position, r.trails) for r in placed] == [(1, 300**3)]
+    with pytest.raises(ValueError):
+        trail(ev, ev, 2, columns=["gps_diff2"])
+    with pytest.raises(ValueError):
+        trail(ev, ev, 2, columns=["time_norm3"], different_actor=True)
+
+
+def test_weighted_positions(spark):
+    from eventtrails.operators.ranking import positions
+
+    df = spark.createDataFrame([(i, i % 4) for i in range(40)], "k int, n int").repartition(6).orderBy("k")
+    rows = positions(df, weight="n").orderBy("k").collect()
+    before = 0
+    for r in rows:
+        assert r.position == before + 1
+        before += r.n
+
+
+@pytest.mark.parametrize("second", ["geo", "city"])
+def test_graph_writes_no_pairs(spark, monkeypatch, second):
+    """160,000 edges between 800 events: what is written follows the events."""
+    from eventtrails.operators import hops
+    from eventtrails.plans import graph
+
+    written = []
+    for module in (graph, hops):
+        real = module.cut_lineage
+
+        def seen(df, _real=real):
+            out = _real(df)
+            written.append(out.count())
+            return out
+
+        monkeypatch.setattr(module, "cut_lineage", seen)
+    rows = [(i, "A" if i % 2 else "B", f"2000-01-0{1 + i // 400}", 1.0, 1.0, "X") for i in range(800)]
+    rows.append((900, "A", "2000-01-09", 1.0, 1.0, "X"))
+    _, edges = trail_graph(make_events(spark, rows, places=True), 900, 2, 50.0, second)
+    assert edges.count() == 400 + 200 * 400
+    assert max(written) <= 801
+
+
+@pytest.mark.parametrize("max_days", [None, 1, 2, 5])
+def test_reached_events_are_the_targets(spark, max_days):
+    from eventtrails.operators import hop_actor, hop_geo
+    from eventtrails.operators.frontier import reached
+
+    rows = random_rows(21, n=60) + [(990, "A", None, 0.0, 0.0), (991, None, "2000-01-02", 0.0, 0.0)]
+    ev = make_events(spark, rows).select("e_id", "time_norm", "actor", "lat", "lon")
+    left = ev.where("e_id % 3 = 0")
+    ids = lambda df, c="e_id": sorted({r[0] for r in df.select(c).collect()})
+    pairs = hop_actor(left, ev, 1, max_days)
+    got = reached(ev, left, ["actor"], max_days)
+    assert ids(got) == ids(pairs, "e_id2") and got.count() == len(ids(got))
+    assert ids(reached(left, ev, ["actor"], max_days, later=True)) == ids(pairs)
+    near = reached(ev, left, ["lat", "lon"], max_days, 150.0, ev.select("lat", "lon"))
+    assert ids(near) == ids(hop_geo(left, ev, 1, 150.0, max_days), "e_id2")
