@@ -10,8 +10,8 @@ one in ``2**BITS``, are corrected for in :func:`likeness`.
 :func:`edited_report` compares each text with a copy of it whose last quarter is
 replaced by the start of the next document, and with that next document. Only ids
 and digests are sorted; a text is shuffled once by its key, and the part of it that
-replaces another's end once more, with its fingerprint (working that out again there
-costs less than moving it a second time).
+replaces another's end once more, with its fingerprint, which goes to its own document
+too: each text's fingerprint is worked out once.
 
 Defined cases: null text is empty. Words are runs of other than ASCII white space,
 case kept; one to four words are one shingle; without words the fingerprint is the
@@ -157,22 +157,32 @@ def edited_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         on = (left["digest"] == right["digest"]) & left["id"].eqNullSafe(right["id"])
         return left.join(right, on).drop(right["id"]).drop(right["digest"])
 
-    # every document is the next one of just one; repeated rows bring the same start
-    given = met(texts, links).select(
-        F.col("of.id").alias("id"),
-        F.col("of.digest").alias("digest"),
-        "n_new",
+    # every document is the next one of just one; repeated rows bring the same start.
+    # A text's print is worked out here once, for the document before it and for its own
+    given = met(texts, links).withColumn("print", F.unhex(fingerprint("text")))
+    no_start, no_print = F.lit(None).cast("string"), F.lit(None).cast("binary")
+    ahead = F.struct(
+        *("of.id", "of.digest", "n_new"),
         F.substring("text", F.lit(1), F.col("n_new")).alias("start"),
-        F.unhex(fingerprint("text")).alias("next_print"),
+        F.col("print").alias("next_print"),
+        no_print.alias("own_print"),
     )
-    given = given.dropDuplicates(["id", "digest"])
+    own = F.struct(
+        *("id", "digest"),
+        F.lit(None).cast("int").alias("n_new"),
+        no_start.alias("start"),
+        no_print.alias("next_print"),
+        F.col("print").alias("own_print"),
+    )
+    given = given.select(F.inline(F.array(ahead, own)))
+    given = given.groupBy("id", "digest").agg(*[F.max(c).alias(c) for c in ("n_new", "start", "next_print", "own_print")])
     kept = F.substring("text", F.lit(1), F.length("text") - F.col("n_new"))
     edited = met(texts, given).withColumn("edited", F.concat(kept, F.col("start")))
     edited = edited.select(
         "id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        fingerprint("text").alias("fingerprint"),
+        F.lower(F.hex("own_print")).alias("fingerprint"),
         fingerprint("edited").alias("edited_fingerprint"),
         F.lower(F.hex("next_print")).alias("next_fingerprint"),
     )

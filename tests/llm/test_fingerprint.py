@@ -150,3 +150,15 @@ def test_following_over_ranges(spark):
     got = {r.id: r.nxt.id for r in P.following(rows, [F.col("id").asc()], ["id", "v"], "nxt").collect()}
     ids = list(range(0, 3000, 3))
     assert got == dict(zip(ids, ids[1:] + ids[:1]))
+
+
+def test_each_text_is_fingerprinted_once(docs_of, monkeypatch):
+    """A text's own fingerprint and the one for the document before it are one."""
+    from eventtrails.llm import fingerprint as module
+
+    calls = []
+    real = module.fingerprint
+    monkeypatch.setattr(module, "fingerprint", lambda text: calls.append(text) or real(text))
+    rows = module.edited_report(docs_of([(i, f"a{i} b c d e f g{i}") for i in range(5)])).collect()
+    assert sorted(calls) == ["edited", "text"]
+    assert len(rows) == 5 and all(len(r.fingerprint) == module.BINS for r in rows)
