@@ -20,11 +20,12 @@ gives an empty result; extra columns stay where rows are kept.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from . import shared as S
 
 SAMPLE = 4000
+#: Rows of the sample that a task describes at once.
+DESCRIBED = 256
 FEATURES = 4096
 KEEP = 0.5
 GOOD, BAD, NONE = 0, 1, 2
@@ -264,8 +267,9 @@ class QualityModel(NamedTuple):
         return weak, float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def _bytes(texts: pd.Series) -> Iterator[bytes]:
-    return (t.encode() for t in texts)
+def _bytes(texts: pa.Array) -> Iterator[bytes]:
+    """One text after the other, not a copy of the whole batch."""
+    return (t.as_buffer().to_pybytes() for t in texts)
 
 
 def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> QualityModel | None:
@@ -273,31 +277,34 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Qualit
     S.ship_code(docs.sparkSession)
     texts = docs.select(S.text_or_empty(text_col).alias("text"))
 
-    def cast_votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cast_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
-            seen = [pattern(votes(look(t, words))) for t in _bytes(batch["text"])]
-            yield pd.Series(seen, dtype="int64").value_counts().rename_axis("pattern").reset_index(name="n")
+            seen = Counter(pattern(votes(look(t, words))) for t in _bytes(batch.column(0)))
+            columns = [pa.array(list(seen), pa.int64()), pa.array(list(seen.values()), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["pattern", "n"])
 
-    counted = texts.mapInPandas(cast_votes, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(cast_votes, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     rows = counted.collect()  # at most 3 ** len(LABELLERS) rows
     if not rows:
         return None
     labels = fit_label_model(np.array([r["pattern"] for r in rows]), np.array([r["n"] for r in rows]))
 
-    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
         for batch in batches:
-            out = []
-            for t in _bytes(batch["text"]):
-                d = look(t, words)
-                v = votes(d)
-                out.append((pattern(v), features(d, v).tobytes()))
-            yield pd.DataFrame(out, columns=["pattern", "x"])
+            for lo in range(0, batch.num_rows, DESCRIBED):
+                patterns, x = [], []
+                for t in _bytes(batch.column(0).slice(lo, DESCRIBED)):
+                    d = look(t, words)
+                    v = votes(d)
+                    patterns.append(pattern(v))
+                    x.append(features(d, v).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(patterns, pa.int64()), pa.array(x, pa.binary())], names=["pattern", "x"])
 
     # copies of a text count once; they could fill the sample
     least = S.least_hashes(texts, "text", sample)
-    chosen = texts.filter(F.xxhash64("text") <= least[-1]).distinct().mapInPandas(describe, "pattern long, x binary").toPandas() if least else []
+    chosen = texts.filter(F.xxhash64("text") <= least[-1]).distinct().mapInArrow(describe, "pattern long, x binary").toPandas() if least else []
     if not len(chosen):
         return QualityModel(labels, None, 0.0)
     x = np.stack([np.frombuffer(b, dtype=np.float32) for b in chosen["x"]])
@@ -310,12 +317,13 @@ def _scored(docs: DataFrame, model: QualityModel | None, text_col: str, names: l
     S.ship_code(docs.sparkSession)
     shared_model = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("struct<weak:double,score:double>")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<weak:double,score:double>")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words = _Words()
         for batch in batches:
             m = shared_model.value
-            yield pd.DataFrame([m.score(t, words) if m else (0.0, 0.0) for t in _bytes(batch)], columns=["weak", "score"])
+            both = np.array([m.score(t, words) if m else (0.0, 0.0) for t in _bytes(batch)], dtype=np.float64).reshape(-1, 2)
+            yield pa.StructArray.from_arrays([pa.array(x) for x in both.T], names=["weak", "score"])
 
     both = S.free_name(docs, "scored")
     out = docs.withColumn(both, score(S.text_or_empty(text_col)))

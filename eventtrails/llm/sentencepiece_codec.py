@@ -13,25 +13,30 @@ Only positions within the longest piece's length can still be extended; whenever
 backpointer paths from all of them run through one boundary, the ids before it are
 final: they are handed out and forgotten, so memory is bounded by the window, not by
 the text. Some boundaries are known beforehand: if no piece has the word mark after
-another character, all paths meet before the mark of every word, so what the search
+another character, all paths meet before every word, so what the search
 hands out for a word is remembered, and long texts are read in chunks of words.
 
 The ids are those of the sentencepiece library for the same model, but for a text that
 holds the mark U+2581 itself: the library takes it for a space, here it becomes byte
-pieces like any character without a piece. Texts follow the model's other conventions:
-one mark is put in front, spaces become marks. Decoding undoes exactly that.
+pieces like any character without a piece. Texts follow the model's other conventions: one
+mark is put in front, and spaces are marks. Decoding undoes exactly that.
 
 Defined cases: null and empty texts have no ids and decode to the empty text;
 repeated rows and extra columns do no harm; an empty table gives an empty result.
 Texts are read ``SLICE_CHARS`` at a time, however many rows a batch has and however
 long one text is (a chunk ends before a space after another character).
+
+Memory of a Python worker: a slice, ``CACHE_WORDS`` words and ``CACHE_PAIRS`` pairs.
+What is remembered lives as long as the broadcast vocabulary: the tasks of one encoding
+share it, and a worker drops it with the first task of other work.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -43,9 +48,9 @@ from . import shared as S
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-SLICE_CHARS = 1 << 20
-CACHE_WORDS = 400_000
-CACHE_PAIRS = 1_000_000
+SLICE_CHARS = 1 << 19
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 500_000
 #: Longer words are searched again each time instead of being remembered.
 CACHED_WORD = 256
 #: In place of a piece: the start of the text, a character without a piece.
@@ -78,27 +83,23 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
         elif sp.is_unused(i):
             raise ValueError("a model with unused pieces is not supported")
         else:
+            piece = piece.replace(MARK, " ")
             ids[piece] = i
             scores[piece] = sp.get_score(i)
-            pieces.append(piece.replace(MARK, " ").encode())
+            pieces.append(piece.encode())
     if -1 in byte_ids:
         raise ValueError("the model has no byte pieces, so texts could not be decoded exactly")
     return Vocabulary(ids, scores, byte_ids, pieces, max(map(len, ids), default=1))
 
 
-#: Stands for a literal mark in a text: half a surrogate pair, which no text in UTF-8 holds.
-_LITERAL_MARK = "\udc81"
-
-
 def to_symbols(text: str, begins: bool = True) -> str:
-    """The text as the search sees it: spaces as marks, one mark where it begins."""
-    inner = text.replace(MARK, _LITERAL_MARK).replace(" ", MARK)
-    return MARK + inner if text and begins else inner
+    """The text as the search sees it, with one space more where it begins. Spaces stand
+    for the model's marks: so most words take one byte a character, not two."""
+    return " " + text if text and begins else text
 
 
 def _fallback(vocab: Vocabulary, char: str) -> list[int]:
-    raw = MARK if char == _LITERAL_MARK else char
-    return [vocab.byte_ids[b] for b in raw.encode("utf-8")]
+    return [vocab.byte_ids[b] for b in char.encode("utf-8")]
 
 
 class Fits:
@@ -113,7 +114,9 @@ class Fits:
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
-        self.known: dict[tuple[int, int], bool] = {}
+        #: by the two ids in one number, ``before * width + this``
+        self.known: dict[int, bool] = {}
+        self.width = len(vocab.pieces)
         self.edges: dict[tuple[str, bool], list[tuple[str, float]] | None] = {}
         #: all ends of pieces; those that are pieces with their id
         self.tails = {p[k:]: UNKNOWN for p in vocab.ids for k in range(len(p))} | vocab.ids
@@ -171,7 +174,7 @@ class Fits:
                 j += 1
 
     def __call__(self, before: int, left: str, this: int, right: str) -> bool:
-        key = (before, this)
+        key = before * self.width + this
         fits = self.known.get(key)
         if fits is None:
             fits = self.merged(right) == [right] if before < 0 else self.apart(left, right)
@@ -212,6 +215,7 @@ class StreamingViterbi:
         self.chars += symbols
         chars, last, back = self.chars, self.last, self.back
         longest, known, tail = self.vocab.longest, self.fits.known.get, self.fits.tails.get
+        width = self.fits.width
         for end in range(begin + 1, len(chars) + 1):
             this, length, start = UNKNOWN, 1, end
             furthest = end - longest if end > longest else 0
@@ -224,7 +228,7 @@ class StreamingViterbi:
                 if i < 0:
                     continue
                 before = last[start]
-                fits = known((before, i))
+                fits = known(before * width + i)
                 if fits is None:
                     left = chars[start - back[start] : start] if start else self.piece_before
                     fits = self.fits(before, left, i, piece)
@@ -292,22 +296,22 @@ class BatchEncoder:
         multi = [p for p in vocab.ids if len(p) > 1]
         inner = {p[i] for p in multi for i in range(len(p))}
         alone = "".join(c for c in "\n\t\r" if c not in inner)
-        # paths meet before a word's mark unless a piece holds one after another character
-        self.splits = not any(a != MARK and b == MARK for p in multi for a, b in zip(p, p[1:], strict=False))
+        # paths meet before a word's space unless a piece holds one after another character
+        self.splits = not any(a != " " and b == " " for p in multi for a, b in zip(p, p[1:], strict=False))
         a = re.escape(alone)
-        self.word = re.compile(rf"[{a}]|{MARK}*[^{MARK}{a}]+|{MARK}+" if alone else rf"{MARK}*[^{MARK}]+|{MARK}+")
+        self.word = re.compile(rf"[{a}]| *[^ {a}]+| +" if alone else " *[^ ]+| +")
         self.cut = re.compile("(?<=[^ ]) ")
         self._clear()
 
     def _clear(self):
         self.index: dict[str, int] = {}
-        self.flat: list[np.ndarray] = []
-        self.starts, self.sizes, self.total = [], [], 0
+        # the ids of all words in a row; where each word's begin, how many they are
+        self.flat, self.starts, self.sizes = array("i"), array("q"), array("q")
 
     def _learn(self, words: list[str]) -> None:
         """Searches new words in order: a word's search goes on from the prefix that it
         shares with the word before."""
-        found, search, before = array("i"), StreamingViterbi(self.vocab, self.fits), ""
+        search, before = StreamingViterbi(self.vocab, self.fits), ""
         for word in sorted(words):
             if len(word) < 2 * self.vocab.longest:
                 shared = 0
@@ -320,11 +324,9 @@ class BatchEncoder:
             else:
                 ids = viterbi(self.vocab, word, self.fits)
             self.index[word] = len(self.starts)
-            self.starts.append(self.total)
+            self.starts.append(len(self.flat))
             self.sizes.append(len(ids))
-            self.total += len(ids)
-            found.extend(ids)
-        self.flat.append(np.frombuffer(found, dtype=np.int32))
+            self.flat.extend(ids)
 
     def chunks(self, text: str) -> Iterator[tuple[str, bool]]:
         """A text in parts of about ``SLICE_CHARS``, cut where paths are known to meet."""
@@ -348,30 +350,29 @@ class BatchEncoder:
         new = {x for part in words for x in part}.difference(self.index)
         if new:
             self._learn(list(new))
-        flat = np.concatenate(self.flat) if self.flat else np.zeros(0, dtype=np.int32)
-        self.flat = [flat]
         which = np.fromiter((self.index[x] for part in words for x in part), dtype=np.int64)
         per_text = np.array([len(part) for part in words], dtype=np.int64)
-        starts, sizes = np.array(self.starts, dtype=np.int64)[which], np.array(self.sizes, dtype=np.int64)[which]
+        starts, sizes = (np.frombuffer(x, dtype=np.int64)[which] for x in (self.starts, self.sizes))
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
-        out = flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+        out = np.frombuffer(self.flat, dtype=np.int32)[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
         upto = np.concatenate([[0], ends])
         bounds = upto[np.concatenate([[0], np.cumsum(per_text)])]
         if any(len(x) > CACHED_WORD for x in new):
             self._clear()
         return out, np.diff(bounds)
 
-    def encode_rows(self, texts: list[str]) -> Iterator[tuple[list[int], np.ndarray, list[bool]]]:
+    def encode_rows(self, texts: Iterable[str]) -> Iterator[tuple[list[int], np.ndarray, list[bool]]]:
         """The texts' ids, in slices of rows: how many each row has, all ids, exact or not."""
         part, held = [], 0
-        for text in [*texts, None]:
-            if part and (text is None or held + len(text) > SLICE_CHARS):
+        for text in texts:
+            if part and held + len(text) > SLICE_CHARS:
                 yield self._slice(part)
                 part, held = [], 0
-            if text is not None:
-                part.append(text)
-                held += len(text)
+            part.append(text)
+            held += len(text)
+        if part:
+            yield self._slice(part)
 
     def _slice(self, texts: list[str]) -> tuple[list[int], np.ndarray, list[bool]]:
         if sum(map(len, texts)) <= SLICE_CHARS:
@@ -391,15 +392,17 @@ class BatchEncoder:
         return sizes[0].tolist(), every[0], exact
 
 
-_CODER: BatchEncoder | None = None
+class Shared:
+    """What is broadcast: the vocabulary and, in a Python worker, the one encoder made of
+    it, in which later tasks find the words of earlier ones. Spark takes the broadcast
+    from a worker that goes on to tasks without it, and the encoder goes too."""
 
+    def __init__(self, vocab: Vocabulary):
+        self.vocab = vocab
 
-def _coder(vocab: Vocabulary) -> BatchEncoder:
-    """The encoder of this Python worker: later tasks find the words of earlier ones."""
-    global _CODER
-    if _CODER is None or _CODER.vocab is not vocab:
-        _CODER = BatchEncoder(vocab)
-    return _CODER
+    @cached_property
+    def coder(self) -> BatchEncoder:
+        return BatchEncoder(self.vocab)
 
 
 def decode(vocab: Vocabulary, ids, begins: bool = True) -> str:
@@ -414,16 +417,15 @@ def encode_documents(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id"
     ``exact`` says that the decoded ids are the text again.
     """
     S.ship_code(docs.sparkSession)
-    vocab = docs.sparkSession.sparkContext.broadcast(load_vocabulary(model))
+    shared = docs.sparkSession.sparkContext.broadcast(Shared(load_vocabulary(model)))
     rows = docs.select(F.col(id_col).alias("id"), S.text_or_empty(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = vocab.value
-        coder = _coder(v)
+        coder = shared.value.coder
         for batch in batches:
             lo = 0
-            for counts, ids, exact in coder.encode_rows(batch.column(1).to_pylist()):
+            for counts, ids, exact in coder.encode_rows(x.as_py() for x in batch.column(1)):
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, type=pa.int32()))
                 columns = [batch.column(0).slice(lo, len(counts)), pa.array(counts, type=pa.int64()), lists, pa.array(exact)]

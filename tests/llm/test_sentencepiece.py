@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+import gc
 import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 
 from eventtrails.llm import sentencepiece_codec as C
+from eventtrails.llm import shared as S
 
 ALPHABET = "abc theing▁ \n\té日😀 ﷐ "
 
@@ -116,3 +119,41 @@ def test_documents_round_trip(docs_of):
 
 def test_empty_table(docs_of):
     assert C.encode_documents(docs_of([(1, "a")]).limit(0)).count() == 0
+
+
+def encoders_left(batches):
+    """Reports how many encoders live in this Python worker."""
+    for batch in batches:
+        n = sum(type(x).__name__ == "BatchEncoder" for x in gc.get_objects())
+        yield pa.RecordBatch.from_arrays([pa.array([n] * batch.num_rows, pa.int64())], names=["n"])
+
+
+def test_workers_drop_the_encoder_with_the_first_other_task(spark, docs_of):
+    coded = C.encode_documents(docs_of([(i, f"some text {i}") for i in range(40)]).repartition(8))
+    assert coded.count() == 40
+    S.ship_code(spark)
+    count = spark.range(0, 64, 1, 16).mapInArrow(encoders_left, "n long")
+    assert [r.n for r in count.collect()] == [0] * 64
+
+
+def test_rows_are_read_a_slice_at_a_time(vocab, monkeypatch):
+    monkeypatch.setattr(C, "SLICE_CHARS", 100)
+    read = []
+    rows = (read.append(i) or "ten chars " for i in range(1000))
+    for k, (counts, _, exact) in enumerate(C.BatchEncoder(vocab).encode_rows(rows)):
+        assert len(counts) == 10 and all(exact)
+        assert len(read) <= 10 * (k + 1) + 1
+    assert len(read) == 1000
+
+
+def test_known_pairs_and_words_take_bounded_memory(vocab, monkeypatch):
+    monkeypatch.setattr(C, "CACHE_WORDS", 50)
+    monkeypatch.setattr(C, "CACHE_PAIRS", 40)
+    coder = C.BatchEncoder(vocab)
+    sp = sentencepiece.SentencePieceProcessor(model_file=C.MODEL)
+    for t in texts(3, 60):
+        ids, _ = coder.encode([t])
+        if C.MARK not in t:
+            assert ids.tolist() == sp.encode(t)
+        assert len(coder.fits.known) <= 40 and all(type(k) is int for k in coder.fits.known)
+        assert len(coder.index) <= 50 + len(t)
