@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from eventtrails.operators import hop_city, hop_geo, hops
 from eventtrails.session import cut_lineage
 
+from .test_skew import SKEW_CONF, conf
+
 
 def stored(df, path) -> int:
     df.coalesce(1).write.parquet(path)
@@ -43,6 +45,16 @@ def test_many_pairs_store_small(spark, tmp_path):
     assert a.agg(same).first() == b.agg(same).first()
 
 
+def test_geo_hop_is_divided_by_places_once(spark, monkeypatch):
+    for name, value in (("LEAST_PAIRS", 100), ("MOST_PAIRS", 100), ("FEW_ROWS", 2)):
+        monkeypatch.setattr(hops, name, value)
+    events = frame(spark, 300, 0, 20, 30)
+    with conf(spark, SKEW_CONF):
+        plan = hop_geo(events, events, 1, 50.0, spread=True)._jdf.queryExecution().executedPlan().toString()
+    # float keys are rewritten by a join, which dealt the pairs out anew by bytes
+    assert "Exchange" in plan and "ENSURE_REQUIREMENTS" not in plan.split("REPARTITION_BY_NUM")[0]
+
+
 def test_packs_lose_no_null_date_or_key(spark, monkeypatch):
     for name, value in (("LEAST_PAIRS", 10), ("MOST_PAIRS", 500), ("FEW_ROWS", 2), ("PACK", 4)):
         monkeypatch.setattr(hops, name, value)
