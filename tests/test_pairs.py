@@ -68,11 +68,11 @@ def test_packs_lose_no_null_date_or_key(spark, monkeypatch):
             assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 100
 
 
-def test_edges_take_ids_that_are_text_already(spark):
+def test_edges_take_targets_that_are_text_already(spark):
     from eventtrails.plans.graph import trail_graph
 
     events = frame(spark, 60, 0, 5, 30).withColumn("geo_name", F.lit("P"))
     last = events.orderBy(F.desc("time_norm"), "e_id").limit(1)
     edges = trail_graph(events, last, 3, 50.0)[1]
     # a cast here would be one for each pair, not for each event
-    assert edges.count() > 0 and "as string) AS Source" not in edges._jdf.queryExecution().executedPlan().toString()
+    assert edges.count() > 0 and "as string) AS Target" not in edges._jdf.queryExecution().executedPlan().toString()
